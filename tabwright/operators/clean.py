@@ -21,6 +21,11 @@ def percentile_trim(df: DataFrame, col: str, lo: float = 0.01, hi: float = 0.99,
     return filter_range(df, col, edges["lo"], edges["hi"])
 
 
+def trim_edges(df: DataFrame, col: str, lo: float = 0.01, hi: float = 0.99, method: str = "exact") -> tuple:
+    """The two quantiles as numbers, computed now. As literals they reach the scan's pushed filters."""
+    return tuple(quantile_row(df, col, {"lo": lo, "hi": hi}, method=method).first())
+
+
 def impute_median(df: DataFrame, col: str, method: str = "exact") -> DataFrame:
     return df.withColumn(col, F.coalesce(nan_to_null(col), median_point(df, col, method=method)))
 
@@ -59,8 +64,9 @@ def clean_survey(
 
     Columns the table lacks are skipped. The status is derived before the answer is
     filled, so a missing answer stays ``No``. Each later step needs a statistic of the
-    table so far: with ``store`` the deduplicated table is written once, and those
-    passes read single columns of it instead of repeating the deduplication.
+    table so far. With ``store`` the deduplicated table is written once and those passes
+    read single columns of it instead of repeating the deduplication; the statistics, one
+    row each, are computed now and enter the result as literals.
     """
     out = drop_duplicates(nan_as_missing(df))
     if store:
@@ -68,13 +74,14 @@ def clean_survey(
     out = derive_binary(out, answer, yes, status)
     if measure in out.columns:
         # Missing measures fall out here, so no median fill is left to do.
-        out = percentile_trim(out, measure)
+        out = filter_range(out, measure, *(F.lit(e) for e in trim_edges(out, measure)))
+    fills = {}
     present = [c for c in categories if c in out.columns]
     if present:
-        out = impute_mode(out, present)
+        fills.update(modes(out, present).first().asDict())
     if score in out.columns:
-        out = impute_median(out, score)
-    return out
+        fills[score] = quantile_row(out, score, {"median": 0.5}).first()["median"]
+    return out.withColumns({c: F.coalesce(F.col(c), F.lit(v)) for c, v in fills.items()})
 
 
 def scatter_dataset(df: DataFrame, x: str, y: str, group: str, key: Sequence[str] = ()) -> DataFrame:

@@ -17,6 +17,16 @@ from pyspark.sql import types as T
 from tabwright.functions.numbers import NUMBER_PATTERN, INFINITY_PATTERN
 from tabwright.functions.variants import kind_of, part
 
+def compute_once(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """Add columns that are evaluated a single time per row, however often they are used.
+
+    The optimizer copies projected expressions into a filter above them and into every
+    place that uses them. ``inline`` of one struct is a boundary it does not cross.
+    """
+    cells = F.struct(*[c.alias(n) for n, c in columns.items()])
+    return df.select("*", F.inline(F.array(cells)))
+
+
 ERROR_TYPE = "struct<loc:string,type:string,msg:string,input:string>"
 
 # Error codes and messages a rejected record carries.
@@ -87,18 +97,6 @@ class Contract:
     same_length: tuple[str, ...] = ()
 
 
-@dataclass(frozen=True)
-class _Cell:
-    """A raw value: is its key absent, is it null, its JSON kind, its text, its elements."""
-
-    absent: Column
-    null: Column
-    kind: Column
-    text: Column
-    source: Column
-    from_variant: bool
-
-
 _COLUMN_KINDS = (
     (T.StringType, "STRING"),
     (T.BooleanType, "BOOLEAN"),
@@ -123,21 +121,49 @@ def _dotted_type(schema: T.StructType, name: str) -> T.DataType | None:
     return at
 
 
-def _cell(df: DataFrame, name: str, variant: str | None) -> _Cell:
+def _cell(df: DataFrame, field: Field, variant: str | None) -> dict[str, Column]:
+    """A raw value: is its key absent, is it an explicit null, its JSON kind, its text, its elements."""
     if variant:
-        v = part(F.col(variant), f"$.{name}")
-        null = F.coalesce(F.is_variant_null(v), F.lit(False))
-        text = F.try_variant_get(F.col(variant), f"$.{name}", "string")
-        return _Cell(v.isNull(), null, kind_of(v), text, v, True)
-    data_type = _dotted_type(df.schema, name)
+        v = part(F.col(variant), f"$.{field.name}")
+        cell = {
+            "absent": v.isNull(),
+            "null": F.coalesce(F.is_variant_null(v), F.lit(False)),
+            "kind": kind_of(v),
+            "text": F.try_variant_get(F.col(variant), f"$.{field.name}", "string"),
+            "raw": v,
+        }
+        if field.is_list:
+            cell["raw"] = F.transform(
+                v.try_cast("array<variant>"),
+                lambda e: F.struct(
+                    F.coalesce(kind_of(e), F.lit("VOID")).alias("kind"),
+                    F.try_variant_get(e, "$", "string").alias("text"),
+                ),
+            )
+        return cell
+    data_type = _dotted_type(df.schema, field.name)
     if data_type is None:  # the column does not exist: every record lacks the key
         void = F.lit(None).cast("string")
-        return _Cell(F.lit(True), F.lit(False), F.lit("VOID"), void, void, False)
-    c = F.col(name)
-    # A column cannot tell an absent key from a null: a null counts as absent.
+        return {"absent": F.lit(True), "null": F.lit(False), "kind": F.lit("VOID"), "text": void, "raw": void}
+    c = F.col(field.name)
     nested = isinstance(data_type, (T.ArrayType, T.StructType, T.MapType))
-    text = F.to_json(c) if nested else c.cast("string")
-    return _Cell(c.isNull(), F.lit(False), F.lit(_json_kind(data_type)), text, c, False)
+    cell = {
+        # A column cannot tell an absent key from a null: a null counts as absent.
+        "absent": c.isNull(),
+        "null": F.lit(False),
+        "kind": F.lit(_json_kind(data_type)),
+        "text": F.to_json(c) if nested else c.cast("string"),
+        "raw": c,
+    }
+    if field.is_list and isinstance(data_type, T.ArrayType):
+        kind = _json_kind(data_type.elementType)
+        cell["raw"] = F.transform(
+            c,
+            lambda e: F.struct(
+                F.when(e.isNull(), F.lit("VOID")).otherwise(F.lit(kind)).alias("kind"), e.cast("string").alias("text")
+            ),
+        )
+    return cell
 
 
 def lax_integer(kind: Column, text: Column) -> Column:
@@ -227,109 +253,123 @@ def _message(field: Field, code: Column) -> Column:
         "less_than": field.lt,
         "less_than_equal": field.le,
     }
-    texts = {k: m.format(limits[k]) if k in limits else m for k, m in MESSAGES.items()}
+    texts = {k: m.format(limits.get(k)) for k, m in MESSAGES.items() if limits.get(k, "") is not None}
     if field.min_length not in (None, 1):
         texts["string_too_short"] += "s"
-    used = {k: t for k, t in texts.items() if "{}" not in t and limits.get(k, 0) is not None}
-    return reduce(lambda acc, kv: acc.when(code == kv[0], F.lit(kv[1])), list(used.items())[1:],
-                  F.when(code == "missing", F.lit(MESSAGES["missing"])))
+    table = F.create_map(*[F.lit(v) for pair in texts.items() for v in pair])
+    return F.try_element_at(table, code)
 
 
 def _error(field: Field, loc: Column, code: Column, given: Column) -> Column:
-    """An error struct, or NULL when there is no code."""
     body = F.struct(loc.alias("loc"), code.alias("type"), _message(field, code).alias("msg"), given.alias("input"))
-    return F.when(code.isNotNull(), body.cast(ERROR_TYPE))
+    return body.cast(ERROR_TYPE)
+
+
+def _no_errors() -> Column:
+    return F.array().cast(f"array<{ERROR_TYPE}>")
 
 
-def _check_scalar(field: Field, cell: _Cell) -> tuple[Column, Column]:
-    """``(value, errors)`` of one field."""
-    loc = F.lit(field.name)
+def _one_error(field: Field, loc: Column, code: Column, given: Column) -> Column:
+    """A list of the one error, or an empty list where there is no code."""
+    return F.when(code.isNotNull(), F.array(_error(field, loc, code, given))).otherwise(_no_errors())
+
+
+def _parse(field: Field, cell: dict[str, Column]) -> Column:
+    """The parsed value with the code of a failed parse; for a list, of every element."""
+    parser = _PARSERS.get(field.element)
     if field.kind == "any":
-        code = F.when(cell.absent, F.lit("missing")) if field.required else F.lit(None).cast("string")
-        value = cell.source if cell.from_variant else F.to_variant_object(F.struct(cell.source.alias("v")))
-        return value, F.array_compact(F.array(_error(field, loc, code, cell.text)))
-    parsed = _PARSERS[field.element](cell.kind, cell.text)
-    parsed_value, parsed_code = parsed["value"], parsed["code"]
-    kept = F.when(~cell.absent & ~cell.null, parsed_value)
-    if field.default is not None:
-        kept = F.when(cell.absent, F.lit(field.default)).otherwise(kept)
-    null_code = {"string": "string_type", "integer": "int_type", "number": "float_type"}[field.element]
-    code = (
-        F.when(cell.absent, F.lit("missing") if field.required else F.lit(None).cast("string"))
-        .when(cell.null, F.lit(None).cast("string") if field.nullable else F.lit(null_code))
-        .otherwise(F.coalesce(parsed_code, _bound_code(field, parsed_value)))
+        return F.struct(cell["raw"].alias("value"), F.lit(None).cast("string").alias("code"))
+    if not field.is_list:
+        return parser(cell["kind"], cell["text"])
+    # Each step binds what the next one uses more than once.
+    parsed = F.transform(
+        cell["raw"], lambda p: F.struct(parser(p["kind"], p["text"]).alias("r"), p["text"].alias("text"))
+    )
+    return F.transform(
+        parsed,
+        lambda q, i: F.struct(
+            i.alias("pos"),
+            q["r"]["value"].alias("value"),
+            F.coalesce(q["r"]["code"], _bound_code(field, q["r"]["value"])).alias("code"),
+            q["text"].alias("text"),
+        ),
     )
-    return kept.cast(field.sql_type), F.array_compact(F.array(_error(field, loc, code, cell.text)))
-
 
-def _check_list(field: Field, cell: _Cell, element_kind: str | None) -> tuple[Column, Column]:
-    """Every element is checked; an error names its position."""
-    parse = _PARSERS[field.element]
-    if cell.from_variant:
-        items = cell.source.try_cast("array<variant>")
 
-        def raw(e):
-            return F.coalesce(kind_of(e), F.lit("VOID")), F.try_variant_get(e, "$", "string")
-    else:
-        items = cell.source
+def _judge(field: Field, cell: dict[str, Column], parsed: Column) -> tuple[Column, Column]:
+    """``(value, code)``; for a list the value keeps its elements and the code is that of the list itself."""
+    missing = F.when(cell["absent"], F.lit("missing") if field.required else F.lit(None).cast("string"))
+    if field.kind == "any":
+        return parsed["value"], missing
+    if field.is_list:
+        is_list = cell["kind"].startswith("ARRAY")
+        return F.when(is_list, parsed), missing.when(~is_list, F.lit("list_type"))
+    value = F.when(~cell["absent"] & ~cell["null"], parsed["value"])
+    if field.default is not None:
+        value = F.when(cell["absent"], F.lit(field.default)).otherwise(value)
+    null_code = {"string": "string_type", "integer": "int_type", "number": "float_type"}[field.element]
+    code = missing.when(
+        cell["null"], F.lit(None).cast("string") if field.nullable else F.lit(null_code)
+    ).otherwise(F.coalesce(parsed["code"], _bound_code(field, parsed["value"])))
+    return value.cast(field.sql_type), code
 
-        def raw(e):
-            return F.when(e.isNull(), F.lit("VOID")).otherwise(F.lit(element_kind)), e.cast("string")
 
-    def broken(e, i):
-        kind, text = raw(e)
-        parsed = parse(kind, text)
-        code = F.coalesce(parsed["code"], _bound_code(field, parsed["value"]))
-        return _error(field, F.concat(F.lit(f"{field.name}."), i.cast("string")), code, text)
+def _element_errors(field: Field, elements: str) -> Column:
+    def error(e: Column) -> Column:
+        return _error(field, F.concat(F.lit(f"{field.name}."), e["pos"].cast("string")), e["code"], e["text"])
 
-    is_list = cell.kind.startswith("ARRAY")
-    whole = (
-        F.when(cell.absent, F.lit("missing") if field.required else F.lit(None).cast("string"))
-        .when(~is_list, F.lit("list_type"))
-    )
-    outer = F.array_compact(F.array(_error(field, F.lit(field.name), whole, cell.text)))
-    inner = F.when(is_list, F.array_compact(F.transform(items, broken)))
-    errors = F.concat(outer, F.coalesce(inner, F.array().cast(f"array<{ERROR_TYPE}>")))
-    value = F.when(is_list, F.transform(items, lambda e: parse(*raw(e))["value"]))
-    return value.cast(field.sql_type), errors
+    broken = F.filter(elements, lambda e: e["code"].isNotNull())
+    return F.coalesce(F.transform(broken, error), _no_errors())
 
 
 def check(df: DataFrame, contract: Contract, variant: str | None = None) -> DataFrame:
-    """Add ``record`` (the contract's fields, typed) and ``errors`` to every row.
+    """Add ``record`` (the contract's fields, typed), ``errors`` and ``valid`` to every row.
 
     Fields are columns of ``df`` (dots reach into structs), or paths into the
-    ``variant`` column. Field order is error order.
+    ``variant`` column. Field order is error order. Values and codes are computed as
+    columns first, so nothing is evaluated once per use; ``valid`` needs the codes only.
     """
-    values, errors = [], []
-    for field in contract.fields:
-        cell = _cell(df, field.name, variant)
+    raw, parsed, judged = {}, {}, {}
+    values, errors, clean = [], [], []
+    for i, field in enumerate(contract.fields):
+        raw.update({f"_{k}{i}": c for k, c in _cell(df, field, variant).items()})
+        cell = {k: F.col(f"_{k}{i}") for k in ("absent", "null", "kind", "text", "raw")}
+        parsed[f"_parsed{i}"] = _parse(field, cell)
+        value, code = f"_value{i}", f"_code{i}"
+        judged[value], judged[code] = _judge(field, cell, F.col(f"_parsed{i}"))
+        name = field.name.replace(".", "_")
+        errors.append(_one_error(field, F.lit(field.name), F.col(code), cell["text"]))
+        clean.append(F.col(code).isNull())
         if field.is_list:
-            data_type = None if variant else _dotted_type(df.schema, field.name)
-            kind = _json_kind(data_type.elementType) if isinstance(data_type, T.ArrayType) else None
-            value, error = _check_list(field, cell, kind)
+            values.append(F.col(f"{value}.value").cast(field.sql_type).alias(name))
+            errors.append(_element_errors(field, value))
+            clean.append(F.coalesce(~F.exists(value, lambda e: e["code"].isNotNull()), F.lit(True)))
         else:
-            value, error = _check_scalar(field, cell)
-        values.append(value.alias(field.name.replace(".", "_")))
-        errors.append(error)
-    out = df.withColumn("record", F.struct(*values))
+            values.append(F.col(value).alias(name))
     if contract.same_length:
-        names = [n.replace(".", "_") for n in contract.same_length]
-        sizes = [F.size(F.col(f"record.{n}")) for n in names]
-        differ = reduce(lambda a, b: a | b, [s != sizes[0] for s in sizes[1:]], F.lit(False))
-        known = reduce(lambda a, b: a & b, [F.col(f"record.{n}").isNotNull() for n in names])
+        lists = [f"_value{[f.name for f in contract.fields].index(n)}" for n in contract.same_length]
+        differ = reduce(lambda a, b: a | b, [F.size(c) != F.size(lists[0]) for c in lists[1:]], F.lit(False))
+        known = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in lists])
         listed = ", ".join(contract.same_length)
         body = F.struct(
             F.lit(listed).alias("loc"),
             F.lit("unequal_length").alias("type"),
             F.lit(MESSAGES["unequal_length"].format(listed)).alias("msg"),
-            F.concat_ws(", ", *[s.cast("string") for s in sizes]).alias("input"),
+            F.concat_ws(", ", *[F.size(c).cast("string") for c in lists]).alias("input"),
         ).cast(ERROR_TYPE)
-        errors.append(F.array_compact(F.array(F.when(known & differ, body))))
-    return out.withColumn("errors", F.concat(*errors))
+        errors.append(F.when(known & differ, F.array(body)).otherwise(_no_errors()))
+        clean.append(~(known & differ))
+    steps = compute_once(compute_once(compute_once(df, raw), parsed), judged)
+    return steps.select(
+        *df.columns,
+        F.struct(*values).alias("record"),
+        F.concat(*errors).alias("errors"),
+        reduce(lambda a, b: a & b, clean).alias("valid"),
+    )
 
 
 def is_valid() -> Column:
-    return F.size("errors") == 0
+    return F.col("valid")
 
 
 def valid_rows(checked: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
@@ -339,7 +379,7 @@ def valid_rows(checked: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
 
 def error_rows(checked: DataFrame, key: str | Column) -> DataFrame:
     """``(row_key, row_data, errors)``: the original record as JSON with all that is wrong with it."""
-    given = [c for c in checked.columns if c not in ("record", "errors")]
+    given = [c for c in checked.columns if c not in ("record", "errors", "valid")]
     if len(given) == 1 and isinstance(checked.schema[given[0]].dataType, T.VariantType):
         row_data = F.to_json(F.col(given[0]))
     else:
@@ -379,12 +419,12 @@ def all_or_nothing(feeds: dict[str, DataFrame]) -> tuple[dict[str, DataFrame], D
     Returns the valid rows of each feed, emptied if any feed holds an error, and the
     errors of all feeds as ``(feed, errors)``.
     """
-    failed = None
     rejected = None
     for name, checked in feeds.items():
         bad = checked.where(~is_valid()).select(F.lit(name).alias("feed"), "errors")
         rejected = bad if rejected is None else rejected.unionByName(bad)
-    failed = rejected.agg((F.count(F.lit(1)) > 0).alias("failed")).scalar()
+    # One reject decides: each task stops at its first.
+    failed = rejected.limit(1).agg((F.count(F.lit(1)) > 0).alias("failed")).scalar()
     return {name: valid_rows(checked.where(~failed)) for name, checked in feeds.items()}, rejected
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tabwright.operators import clean, groups, hypothesis, rows, summary
 from tabwright.operators.quantiles import median_point, quantiles
 from tabwright.plans.registry import query, table
+from tabwright.session import materialise
 
 
 def rounded(df, digits=6, skip=()):
@@ -253,10 +254,14 @@ def effect_input(spark, d):
 
 
 def effect_analysis(df):
-    """Deduplicate, derive the group, trim the measure, then one pass for both tests."""
-    df = rows.drop_duplicates(df)
+    """Deduplicate, derive the group, trim the measure, then one pass for both tests.
+
+    The deduplicated table is written once: the quantile passes and the tests read
+    only the columns they need of it.
+    """
+    df = materialise(rows.drop_duplicates(df), "deduplicated")
     df = rows.derive_binary(df, "status", "F", "done")
-    df = clean.percentile_trim(df, "price")
+    df = rows.filter_range(df, "price", *(F.lit(e) for e in clean.trim_edges(df, "price")))
     tests = hypothesis.welch_t_test(df, "done", ["price", "year"], "Yes", "No")
     return hypothesis.interpret_test(tests)
 

@@ -61,7 +61,7 @@ def n2_lengths(spark, d):
 
 @query(
     "N3_array_all",
-    """SELECT vec_id, coalesce(list_bool_and(list_transform(e, x -> coalesce(x BETWEEN -0.25 AND 0.25, false))), true) AS ok
+    """SELECT vec_id, coalesce((SELECT bool_and(coalesce(x BETWEEN -0.25 AND 0.25, false)) FROM unnest(e) t(x)), true) AS ok
        FROM (SELECT vec_id, CASE WHEN vec_id % 20 = 0 THEN list_append(embedding, NULL)
                                  WHEN vec_id % 20 = 1 THEN [] ELSE embedding END AS e FROM embeddings)""",
 )

@@ -29,15 +29,9 @@ def safe_load(spark: SparkSession, path: str | Sequence[str], schema: T.StructTy
     Other files are unaffected. A value of the wrong type is not a broken file: declare
     such a field as string and let a contract explain it.
     """
-    wanted = T.StructType([*schema.fields, T.StructField(_CORRUPT, T.StringType())])
     try:
-        rows = (
-            spark.read.schema(wanted)
-            .option("multiLine", not lines)
-            .option("columnNameOfCorruptRecord", _CORRUPT)
-            .json(path)
-            .withColumn("_file", F.col("_metadata.file_path"))
-        )
+        lines_read = spark.read.text(path) if lines else None
+        rows = _read_records(spark, path, schema, lines)
     except AnalysisException as e:
         if "PATH_NOT_FOUND" not in (e.getCondition() or str(e)):
             raise
@@ -48,10 +42,21 @@ def safe_load(spark: SparkSession, path: str | Sequence[str], schema: T.StructTy
     if not lines:
         # A multi-line file is parsed whole: if it is broken, its only row is the corrupt one.
         return rows.where(F.col(_CORRUPT).isNull()).select(*schema.names)
-    broken = settle_small(
-        rows.where(F.col(_CORRUPT).isNotNull()).groupBy("_file").agg(F.count(F.lit(1)).alias("_n")), "broken-files"
+    unreadable = (F.trim("value") != "") & F.try_parse_json("value").isNull()
+    broken = (
+        lines_read.where(unreadable)
+        .groupBy(F.col("_metadata.file_path").alias("_file"))
+        .agg(F.count(F.lit(1)).alias("_n"))
     )
-    return rows.join(broken, "_file", "left_anti").select(*schema.names)
+    return rows.join(settle_small(broken, "broken-files"), "_file", "left_anti").select(*schema.names)
+
+
+def _read_records(spark: SparkSession, path, schema: T.StructType, lines: bool) -> DataFrame:
+    if lines:
+        return spark.read.schema(schema).json(path).withColumn("_file", F.col("_metadata.file_path"))
+    wanted = T.StructType([*schema.fields, T.StructField(_CORRUPT, T.StringType())])
+    reader = spark.read.schema(wanted).option("multiLine", True).option("columnNameOfCorruptRecord", _CORRUPT)
+    return reader.json(path)
 
 
 def csv_scan(spark: SparkSession, path: str | Sequence[str], schema=None) -> DataFrame:
