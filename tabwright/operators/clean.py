@@ -21,7 +21,7 @@ def percentile_trim(df: DataFrame, col: str, lo: float = 0.01, hi: float = 0.99,
     return filter_range(df, col, edges["lo"], edges["hi"])
 
 
-def trim_edges(df: DataFrame, col: str, lo: float = 0.01, hi: float = 0.99, method: str = "exact") -> tuple:
+def trim_edges(df: DataFrame, col: str, lo: float = 0.01, hi: float = 0.99, method: str = "auto") -> tuple:
     """The two quantiles as numbers, computed now. As literals they reach the scan's pushed filters."""
     return tuple(quantile_row(df, col, {"lo": lo, "hi": hi}, method=method).first())
 
@@ -80,7 +80,7 @@ def clean_survey(
     if present:
         fills.update(modes(out, present).first().asDict())
     if score in out.columns:
-        fills[score] = quantile_row(out, score, {"median": 0.5}).first()["median"]
+        fills[score] = quantile_row(out, score, {"median": 0.5}, method="auto").first()["median"]
     return out.withColumns({c: F.coalesce(F.col(c), F.lit(v)) for c, v in fills.items()})
 
 

@@ -19,6 +19,9 @@ from pyspark.sql.window import Window
 from tabwright.functions.numbers import nan_to_null
 from tabwright.session import materialise, proven_small
 
+#: Up to this many rows, all values of a column may share one aggregation buffer.
+BUFFER_ROWS = 1_000_000
+
 _FAR = 1.7976931348623157e308  # largest double: infinities are binned with it
 
 
@@ -96,7 +99,9 @@ def quantiles(
 ) -> DataFrame:
     """``(by..., variable, n, q, value)``: linear interpolation, missing skipped.
 
-    ``method="approx"`` is the one-pass sketch with rank error ``1 / accuracy``.
+    ``method="exact"`` is lazy and safe at any size. ``"auto"`` first counts the rows and,
+    if they are few enough to fit one buffer, gets the same numbers in a single pass.
+    ``"approx"`` is the one-pass sketch with rank error ``1 / accuracy``.
     """
     qs = [float(q) for q in qs]
     if any(not 0.0 <= q <= 1.0 for q in qs):
@@ -104,6 +109,12 @@ def quantiles(
     keys = [*by, "variable"]
     long = _long(df, cols, by)
     wanted = F.array(*[F.lit(q) for q in qs])
+    if method == "auto":
+        method = "buffered" if proven_small(df, BUFFER_ROWS) else "exact"
+    if method == "buffered":
+        held = long.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.percentile("x", wanted).alias("_v"))
+        cells = F.explode(F.arrays_zip(wanted.alias("q"), F.col("_v").alias("value")))
+        return held.select(*keys, "n", cells.alias("_c")).select(*keys, "n", "_c.q", "_c.value")
     if method == "approx":
         sketch = long.groupBy(*keys).agg(
             F.count(F.lit(1)).alias("n"), F.percentile_approx("x", qs, accuracy).alias("_v")
