@@ -63,8 +63,12 @@ def materialise(df: DataFrame, label: str = "table") -> DataFrame:
 
 
 def proven_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Whether a bounded count shows at most ``max_rows`` rows."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """Whether a count shows at most ``max_rows`` rows.
+
+    A plain count adds up inside the tasks, and on a written table reads file footers
+    only; a limit would first move ``max_rows`` rows of every partition to one task.
+    """
+    return df.count() <= max_rows
 
 
 def settle_small(df: DataFrame, label: str = "fit", max_rows: int = BROADCAST_ROWS) -> DataFrame:

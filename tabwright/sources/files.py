@@ -15,8 +15,6 @@ from tabwright.session import scratch_path, settle_small
 
 log = logging.getLogger(__name__)
 
-_CORRUPT = "_corrupt_record"
-
 
 def json_array_scan(spark: SparkSession, path: str | Sequence[str], schema, lines: bool = False) -> DataFrame:
     """Records of UTF-8 JSON. A file holding one array is read by one task: use ``lines`` for anything large."""
@@ -30,8 +28,8 @@ def safe_load(spark: SparkSession, path: str | Sequence[str], schema: T.StructTy
     such a field as string and let a contract explain it.
     """
     try:
-        lines_read = spark.read.text(path) if lines else None
-        rows = _read_records(spark, path, schema, lines)
+        text = spark.read.text(path, wholetext=not lines)
+        rows = spark.read.schema(schema).json(path).withColumn("_file", F.col("_metadata.file_path"))
     except AnalysisException as e:
         if "PATH_NOT_FOUND" not in (e.getCondition() or str(e)):
             raise
@@ -39,26 +37,19 @@ def safe_load(spark: SparkSession, path: str | Sequence[str], schema: T.StructTy
         return spark.createDataFrame([], schema)
     finally:
         log.info("load finished: %s", path)
-    if not lines:
-        # A multi-line file is parsed whole: if it is broken, its only row is the corrupt one.
-        return rows.where(F.col(_CORRUPT).isNull()).select(*schema.names)
     unreadable = (F.trim("value") != "") & F.try_parse_json("value").isNull()
+    if not lines:
+        # One document per file: an unreadable one has no records to give.
+        records = F.from_json("value", T.ArrayType(schema))
+        return text.where(~unreadable).select(F.inline(records))
     broken = (
-        lines_read.where(unreadable)
+        text.where(unreadable)
         .groupBy(F.col("_metadata.file_path").alias("_file"))
         .agg(F.count(F.lit(1)).alias("_n"))
     )
     return rows.join(settle_small(broken, "broken-files"), "_file", "left_anti").select(*schema.names)
 
 
-def _read_records(spark: SparkSession, path, schema: T.StructType, lines: bool) -> DataFrame:
-    if lines:
-        return spark.read.schema(schema).json(path).withColumn("_file", F.col("_metadata.file_path"))
-    wanted = T.StructType([*schema.fields, T.StructField(_CORRUPT, T.StringType())])
-    reader = spark.read.schema(wanted).option("multiLine", True).option("columnNameOfCorruptRecord", _CORRUPT)
-    return reader.json(path)
-
-
 def csv_scan(spark: SparkSession, path: str | Sequence[str], schema=None) -> DataFrame:
     """CSV with a header row; an empty field is missing. Without a schema the types are inferred by an extra pass."""
     reader = spark.read.option("header", True).option("enforceSchema", False)
