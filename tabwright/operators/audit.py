@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,8 +17,11 @@ def text_policy_verdicts(df: DataFrame, col: str, name: str = "conforms") -> Dat
 
 def text_policy_audit(df: DataFrame, col: str) -> DataFrame:
     """``(rule, passed, failed)`` for each rule and for ``all_rules``, in one scan."""
-    tests = {**policy_rules(col), "all_rules": follows_policy(col)}
-    counted = df.agg(
+    # Each test is a column first, so the verdict reuses the results instead of matching again.
+    rules = policy_rules(col)
+    tested = df.select(*[test.alias(rule) for rule, test in rules.items()])
+    tests = {**{rule: F.col(rule) for rule in rules}, "all_rules": reduce(and_, [F.col(rule) for rule in rules])}
+    counted = tested.agg(
         F.count(F.lit(1)).alias("_n"), *[F.count_if(test).alias(rule) for rule, test in tests.items()]
     )
     cells = [

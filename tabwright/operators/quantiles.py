@@ -20,7 +20,7 @@ from tabwright.functions.numbers import nan_to_null
 from tabwright.session import materialise, proven_small
 
 #: Up to this many rows, all values of a column may share one aggregation buffer.
-BUFFER_ROWS = 1_000_000
+BUFFER_ROWS = 250_000
 
 _FAR = 1.7976931348623157e308  # largest double: infinities are binned with it
 
@@ -29,7 +29,7 @@ def _long(df: DataFrame, cols: Sequence[str], by: Sequence[str]) -> DataFrame:
     """One row per non-missing value: ``(by..., variable, x)``."""
     keep = [F.col(b) for b in by]
     if len(cols) == 1:
-        rows = df.select(*keep, F.lit(cols[0]).alias("variable"), nan_to_null(cols[0]).alias("x"))
+        rows = df.where(F.col(cols[0]).isNotNull()).select(*keep, F.lit(cols[0]).alias("variable"), nan_to_null(cols[0]).alias("x"))
     else:
         cells = F.array(*[F.struct(F.lit(c).alias("variable"), nan_to_null(c).alias("x")) for c in cols])
         rows = df.select(*keep, F.explode(cells).alias("_cell")).select(*by, "_cell.variable", "_cell.x")

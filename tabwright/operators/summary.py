@@ -60,10 +60,10 @@ def corr_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
     aggs = []
+    df = df.select(*[nan_to_null(c).alias(c) for c in cols])
     for i, (a, b) in enumerate(pairs):
-        x, y = nan_to_null(a), nan_to_null(b)
-        both = x.isNotNull() & y.isNotNull()
-        x, y = F.when(both, x), F.when(both, y)
+        both = F.col(a).isNotNull() & F.col(b).isNotNull()
+        x, y = F.when(both, F.col(a)), F.when(both, F.col(b))
         aggs.append(F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y)).alias(f"r{i}"))
     at = {pair: i for i, pair in enumerate(pairs)}
     cells = [

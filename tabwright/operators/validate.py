@@ -274,13 +274,31 @@ def _one_error(field: Field, loc: Column, code: Column, given: Column) -> Column
     return F.when(code.isNotNull(), F.array(_error(field, loc, code, given))).otherwise(_no_errors())
 
 
-def _parse(field: Field, cell: dict[str, Column]) -> Column:
+def _typed(field: Field, c: Column, data_type: T.DataType | None) -> Column | None:
+    """The parse of a column whose type already says it is a number; None for any other."""
+    no_code = F.lit(None).cast("string").alias("code")
+    if not isinstance(data_type, T.NumericType) or field.kind not in ("integer", "number"):
+        return None
+    if field.kind == "number":
+        return F.struct(c.cast("double").alias("value"), no_code)
+    if isinstance(data_type, T.IntegralType):
+        return F.struct(c.cast("bigint").alias("value"), no_code)
+    whole = F.when(c == F.floor(c), c.try_cast("bigint"))
+    fraction = F.when(c != F.floor(c), F.lit("int_from_float"))
+    if not isinstance(data_type, T.DecimalType):
+        fraction = F.when(F.isnan(c) | (F.abs(c) == float("inf")), F.lit("finite_number")).otherwise(fraction)
+    code = F.coalesce(fraction, F.when(c.isNotNull() & whole.isNull(), F.lit("int_parsing_size")))
+    return F.struct(whole.alias("value"), code.alias("code"))
+
+
+def _parse(field: Field, cell: dict[str, Column], data_type: T.DataType | None) -> Column:
     """The parsed value with the code of a failed parse; for a list, of every element."""
     parser = _PARSERS.get(field.element)
     if field.kind == "any":
         return F.struct(cell["raw"].alias("value"), F.lit(None).cast("string").alias("code"))
     if not field.is_list:
-        return parser(cell["kind"], cell["text"])
+        typed = _typed(field, cell["raw"], data_type)
+        return parser(cell["kind"], cell["text"]) if typed is None else typed
     # Each step binds what the next one uses more than once.
     parsed = F.transform(
         cell["raw"], lambda p: F.struct(parser(p["kind"], p["text"]).alias("r"), p["text"].alias("text"))
@@ -332,9 +350,11 @@ def check(df: DataFrame, contract: Contract, variant: str | None = None) -> Data
     raw, parsed, judged = {}, {}, {}
     values, errors, clean = [], [], []
     for i, field in enumerate(contract.fields):
-        raw.update({f"_{k}{i}": c for k, c in _cell(df, field, variant).items()})
-        cell = {k: F.col(f"_{k}{i}") for k in ("absent", "null", "kind", "text", "raw")}
-        parsed[f"_parsed{i}"] = _parse(field, cell)
+        cell = _cell(df, field, variant)
+        if variant or field.is_list:  # taken out of the document once; a plain column needs no step of its own
+            raw.update({f"_{k}{i}": c for k, c in cell.items()})
+            cell = {k: F.col(f"_{k}{i}") for k in cell}
+        parsed[f"_parsed{i}"] = _parse(field, cell, None if variant else _dotted_type(df.schema, field.name))
         value, code = f"_value{i}", f"_code{i}"
         judged[value], judged[code] = _judge(field, cell, F.col(f"_parsed{i}"))
         name = field.name.replace(".", "_")
@@ -359,7 +379,7 @@ def check(df: DataFrame, contract: Contract, variant: str | None = None) -> Data
         ).cast(ERROR_TYPE)
         errors.append(F.when(known & differ, F.array(body)).otherwise(_no_errors()))
         clean.append(~(known & differ))
-    steps = compute_once(compute_once(compute_once(df, raw), parsed), judged)
+    steps = compute_once(compute_once(compute_once(df, raw) if raw else df, parsed), judged)
     return steps.select(
         *df.columns,
         F.struct(*values).alias("record"),
