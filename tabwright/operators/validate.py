@@ -125,29 +125,20 @@ def _cell(df: DataFrame, field: Field, variant: str | None) -> dict[str, Column]
     """A raw value: is its key absent, is it an explicit null, its JSON kind, its text, its elements."""
     if variant:
         v = part(F.col(variant), f"$.{field.name}")
-        cell = {
+        return {
             "absent": v.isNull(),
             "null": F.coalesce(F.is_variant_null(v), F.lit(False)),
             "kind": kind_of(v),
             "text": F.try_variant_get(F.col(variant), f"$.{field.name}", "string"),
             "raw": v,
         }
-        if field.is_list:
-            cell["raw"] = F.transform(
-                v.try_cast("array<variant>"),
-                lambda e: F.struct(
-                    F.coalesce(kind_of(e), F.lit("VOID")).alias("kind"),
-                    F.try_variant_get(e, "$", "string").alias("text"),
-                ),
-            )
-        return cell
     data_type = _dotted_type(df.schema, field.name)
     if data_type is None:  # the column does not exist: every record lacks the key
         void = F.lit(None).cast("string")
         return {"absent": F.lit(True), "null": F.lit(False), "kind": F.lit("VOID"), "text": void, "raw": void}
     c = F.col(field.name)
     nested = isinstance(data_type, (T.ArrayType, T.StructType, T.MapType))
-    cell = {
+    return {
         # A column cannot tell an absent key from a null: a null counts as absent.
         "absent": c.isNull(),
         "null": F.lit(False),
@@ -155,15 +146,6 @@ def _cell(df: DataFrame, field: Field, variant: str | None) -> dict[str, Column]
         "text": F.to_json(c) if nested else c.cast("string"),
         "raw": c,
     }
-    if field.is_list and isinstance(data_type, T.ArrayType):
-        kind = _json_kind(data_type.elementType)
-        cell["raw"] = F.transform(
-            c,
-            lambda e: F.struct(
-                F.when(e.isNull(), F.lit("VOID")).otherwise(F.lit(kind)).alias("kind"), e.cast("string").alias("text")
-            ),
-        )
-    return cell
 
 
 def lax_integer(kind: Column, text: Column) -> Column:
@@ -299,19 +281,72 @@ def _parse(field: Field, cell: dict[str, Column], data_type: T.DataType | None)
     if not field.is_list:
         typed = _typed(field, cell["raw"], data_type)
         return parser(cell["kind"], cell["text"]) if typed is None else typed
-    # Each step binds what the next one uses more than once.
-    parsed = F.transform(
-        cell["raw"], lambda p: F.struct(parser(p["kind"], p["text"]).alias("r"), p["text"].alias("text"))
-    )
-    return F.transform(
-        parsed,
-        lambda q, i: F.struct(
-            i.alias("pos"),
-            q["r"]["value"].alias("value"),
-            F.coalesce(q["r"]["code"], _bound_code(field, q["r"]["value"])).alias("code"),
-            q["text"].alias("text"),
+    return _parse_list(field, cell, data_type)
+
+
+_NULL_CODES = {"string": "string_type", "integer": "int_type", "number": "float_type"}
+# Kinds of a list whose elements need no look at each one's own kind.
+_EVEN_LISTS = {
+    "string": r"^ARRAY<STRING>$",
+    "integer": r"^ARRAY<BIGINT>$",
+    "number": r"^ARRAY<(BIGINT|DOUBLE|FLOAT|DECIMAL\([0-9]+,[0-9]+\))>$",
+}
+_EVEN_TYPES = {"string": T.StringType, "integer": T.IntegralType, "number": T.NumericType}
+
+
+def _parse_list(field: Field, cell: dict[str, Column], data_type: T.DataType | None) -> Column:
+    """``array<struct<pos, value, code, text>>`` of a list; ``text`` is kept only where the value may be lost."""
+
+    def even(array: Column) -> Column:
+        def element(x: Column, i: Column) -> Column:
+            code = F.coalesce(F.when(x.isNull(), F.lit(_NULL_CODES[field.element])), _bound_code(field, x))
+            return F.struct(
+                i.alias("pos"), x.alias("value"), code.alias("code"), F.lit(None).cast("string").alias("text")
+            )
+
+        return F.transform(array, element)
+
+    def mixed(pairs: Column) -> Column:
+        # Each step binds what the next one uses more than once.
+        parser = _PARSERS[field.element]
+        parsed = F.transform(
+            pairs, lambda p: F.struct(parser(p["kind"], p["text"]).alias("r"), p["text"].alias("text"))
+        )
+        return F.transform(
+            parsed,
+            lambda q, i: F.struct(
+                i.alias("pos"),
+                q["r"]["value"].alias("value"),
+                F.coalesce(q["r"]["code"], _bound_code(field, q["r"]["value"])).alias("code"),
+                q["text"].alias("text"),
+            ),
+        )
+
+    raw = cell["raw"]
+    if isinstance(data_type, T.ArrayType):
+        if isinstance(data_type.elementType, _EVEN_TYPES[field.element]):
+            return even(raw.cast(field.sql_type))
+        kind = _json_kind(data_type.elementType)
+        return mixed(
+            F.transform(
+                raw,
+                lambda e: F.struct(
+                    F.when(e.isNull(), F.lit("VOID")).otherwise(F.lit(kind)).alias("kind"),
+                    e.cast("string").alias("text"),
+                ),
+            )
+        )
+    if data_type is not None:  # a column that is no list: judged by its kind alone
+        return F.lit(None).cast(f"array<struct<pos:int,value:{_TYPES[field.element]},code:string,text:string>>")
+    pairs = F.transform(
+        raw.try_cast("array<variant>"),
+        lambda e: F.struct(
+            F.coalesce(kind_of(e), F.lit("VOID")).alias("kind"), F.try_variant_get(e, "$", "string").alias("text")
         ),
     )
+    return F.when(cell["kind"].rlike(_EVEN_LISTS[field.element]), even(raw.try_cast(field.sql_type))).otherwise(
+        mixed(pairs)
+    )
 
 
 def _judge(field: Field, cell: dict[str, Column], parsed: Column) -> tuple[Column, Column]:
@@ -325,16 +360,16 @@ def _judge(field: Field, cell: dict[str, Column], parsed: Column) -> tuple[Colum
     value = F.when(~cell["absent"] & ~cell["null"], parsed["value"])
     if field.default is not None:
         value = F.when(cell["absent"], F.lit(field.default)).otherwise(value)
-    null_code = {"string": "string_type", "integer": "int_type", "number": "float_type"}[field.element]
     code = missing.when(
-        cell["null"], F.lit(None).cast("string") if field.nullable else F.lit(null_code)
+        cell["null"], F.lit(None).cast("string") if field.nullable else F.lit(_NULL_CODES[field.element])
     ).otherwise(F.coalesce(parsed["code"], _bound_code(field, parsed["value"])))
     return value.cast(field.sql_type), code
 
 
 def _element_errors(field: Field, elements: str) -> Column:
     def error(e: Column) -> Column:
-        return _error(field, F.concat(F.lit(f"{field.name}."), e["pos"].cast("string")), e["code"], e["text"])
+        given = F.coalesce(e["text"], e["value"].cast("string"))
+        return _error(field, F.concat(F.lit(f"{field.name}."), e["pos"].cast("string")), e["code"], given)
 
     broken = F.filter(elements, lambda e: e["code"].isNotNull())
     return F.coalesce(F.transform(broken, error), _no_errors())
@@ -354,7 +389,8 @@ def check(df: DataFrame, contract: Contract, variant: str | None = None) -> Data
         if variant or field.is_list:  # taken out of the document once; a plain column needs no step of its own
             raw.update({f"_{k}{i}": c for k, c in cell.items()})
             cell = {k: F.col(f"_{k}{i}") for k in cell}
-        parsed[f"_parsed{i}"] = _parse(field, cell, None if variant else _dotted_type(df.schema, field.name))
+        data_type = None if variant else _dotted_type(df.schema, field.name) or T.NullType()
+        parsed[f"_parsed{i}"] = _parse(field, cell, data_type)
         value, code = f"_value{i}", f"_code{i}"
         judged[value], judged[code] = _judge(field, cell, F.col(f"_parsed{i}"))
         name = field.name.replace(".", "_")
