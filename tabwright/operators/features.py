@@ -16,7 +16,7 @@ from tabwright.functions.hashing import digest
 from tabwright.functions.numbers import nan_to_null
 from tabwright.operators.groups import modes
 from tabwright.operators.quantiles import quantiles
-from tabwright.session import settle_small
+from tabwright.session import materialise, settle_small
 
 _WIDE = "decimal(38,0)"  # products of two row counts pass 64 bits
 
@@ -45,7 +45,8 @@ def stratified_split(
     ident = F.concat_ws("|", *[F.col(k).cast("string") for k in keys])
     scored = df.select(F.col(label).alias("_y"), digest(ident, seed, "split").alias("_s"), ident.alias("_k"))
     prefix = F.substring("_s", 1, digits)
-    counts = scored.groupBy("_y", prefix.alias("_p")).agg(F.count(F.lit(1)).alias("_c"))
+    # At most 16**digits rows per class, used several times below.
+    counts = materialise(scored.groupBy("_y", prefix.alias("_p")).agg(F.count(F.lit(1)).alias("_c")), "split-counts")
 
     classes = counts.groupBy("_y").agg(F.sum("_c").alias("_n"))
     everything = classes.agg(F.sum("_n").alias("n")).scalar().cast(_WIDE)

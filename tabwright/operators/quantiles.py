@@ -46,45 +46,46 @@ def _bin(bins: int) -> Column:
     return F.coalesce(F.least(F.floor(share * bins), F.lit(bins - 1)), F.lit(0).cast("bigint"))
 
 
+def _ranks(wanted: Column) -> Column:
+    """The 0-based ranks the wanted quantiles of ``n`` values stand at, or between."""
+    position = F.transform(wanted, lambda q: q * (F.col("n") - 1))
+    return F.array_distinct(F.flatten(F.transform(position, lambda p: F.array(F.floor(p), F.ceil(p)))))
+
+
 def _inside(long: DataFrame, brackets: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows whose value lies in a bracket of their own group."""
-    b = brackets.select(*[F.col(k).alias(f"_{k}") for k in keys], "n", "lo", "hi", "below", "ranks")
-    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+    """Rows whose value lies in a bracket of their own group; brackets of a group never overlap."""
+    b = brackets.select(*[F.col(k).alias(f"_{k}") for k in keys], "n", "lo", "hi", "below")
     match = (F.col("x") >= F.col("lo")) & (F.col("x") <= F.col("hi"))
-    for s in same:
-        match = match & s
-    return long.join(b, match).select(*keys, "x", "n", "lo", "hi", "below", "ranks")
+    for k in keys:
+        match = match & F.col(k).eqNullSafe(F.col(f"_{k}"))
+    return long.join(b, match).select(*keys, "x", "n", "lo", "hi", "below")
 
 
-def _holding(cells: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
+def _holding(cells: DataFrame, keys: Sequence[str], order: str, wanted: Column) -> DataFrame:
     """From counted cells in order, those that hold a wanted rank, with the ranks they hold."""
     w = Window.partitionBy(*keys, "lo", "hi").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     placed = cells.withColumn("start", F.col("below") + F.sum("c").over(w) - F.col("c"))
-    held = F.filter("ranks", lambda r: (r >= F.col("start")) & (r < F.col("start") + F.col("c")))
+    held = F.filter(_ranks(wanted), lambda r: (r >= F.col("start")) & (r < F.col("start") + F.col("c")))
     return placed.withColumn("held", held).where(F.size("held") > 0)
 
 
 def _values_at(
-    long: DataFrame, brackets: DataFrame, keys: Sequence[str], bins: int, passes: int, hint: Callable
+    long: DataFrame, brackets: DataFrame, keys: Sequence[str], wanted: Column, bins: int, passes: int, hint: Callable
 ) -> DataFrame:
-    """``(keys..., n, held, x)``: each wanted rank and the value that stands there."""
-    state = [*keys, "n", "lo", "hi", "below", "ranks"]
+    """``(keys..., n, held, x)``: the wanted ranks and the value that stands there."""
+    # All numbers of fixed width: the aggregate's hash keys stay short.
+    state = [*keys, "n", "lo", "hi", "below"]
     for _ in range(passes):
         counted = (
             _inside(long, hint(brackets), keys)
             .groupBy(*state, _bin(bins).alias("bin"))
             .agg(F.count(F.lit(1)).alias("c"), F.min("x").alias("mn"), F.max("x").alias("mx"))
         )
-        brackets = _holding(counted, keys, "bin").select(
-            *keys,
-            "n",
-            F.col("mn").alias("lo"),
-            F.col("mx").alias("hi"),
-            F.col("start").alias("below"),
-            F.col("held").alias("ranks"),
+        brackets = _holding(counted, keys, "bin", wanted).select(
+            *keys, "n", F.col("mn").alias("lo"), F.col("mx").alias("hi"), F.col("start").alias("below")
         )
     counted = _inside(long, hint(brackets), keys).groupBy(*state, "x").agg(F.count(F.lit(1)).alias("c"))
-    return _holding(counted, keys, "x").select(*keys, "n", "held", "x")
+    return _holding(counted, keys, "x", wanted).select(*keys, "n", "held", "x")
 
 
 def quantiles(
@@ -133,12 +134,8 @@ def quantiles(
         hint = F.broadcast if proven_small(spans) else (lambda f: f)
     else:
         hint = F.broadcast  # at most len(cols) * 2 * len(qs) rows, by construction
-    position = F.transform(wanted, lambda q: q * (F.col("n") - 1))
-    ranks = F.array_distinct(
-        F.flatten(F.transform(position, lambda p: F.array(F.floor(p), F.ceil(p))))
-    )
-    first = spans.select(*keys, "n", "lo", "hi", F.lit(0).cast("bigint").alias("below"), ranks.alias("ranks"))
-    found = _values_at(long, first, keys, bins, passes, hint)
+    first = spans.select(*keys, "n", "lo", "hi", F.lit(0).cast("bigint").alias("below"))
+    found = _values_at(long, first, keys, wanted, bins, passes, hint)
 
     pairs = F.transform("held", lambda r: F.struct(r.alias("rank"), F.col("x").alias("value")))
     by_rank = found.groupBy(*keys, "n").agg(
