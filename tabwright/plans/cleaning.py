@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 from tabwright.functions import numbers as num
 from tabwright.operators import clean
 from tabwright.plans.registry import query, table
-from tabwright.plans.relational import _gappy_lineitem
-from tabwright.plans.statistics import _EFFECT_INPUT, effect_input, rounded
+from tabwright.plans.relational import gappy_lineitem
+from tabwright.plans.statistics import EFFECT_INPUT_SQL, effect_input, rounded
 
 
 @query(
@@ -31,7 +31,7 @@ _GAPPY_SQL = """(SELECT l_orderkey, l_linenumber, CASE WHEN l_linenumber <> 7 TH
                coalesce(l_quantity, (SELECT median(l_quantity) FROM {_GAPPY_SQL})) AS l_quantity FROM {_GAPPY_SQL}""",
 )
 def c2(spark, d):
-    df = clean.impute_median(_gappy_lineitem(spark, d), "l_quantity")
+    df = clean.impute_median(gappy_lineitem(spark, d), "l_quantity")
     return df.select("l_orderkey", "l_linenumber", "l_quantity")
 
 
@@ -42,7 +42,7 @@ def c2(spark, d):
                l_linestatus FROM {_GAPPY_SQL}""",
 )
 def c3(spark, d):
-    df = clean.impute_mode(_gappy_lineitem(spark, d), ["l_returnflag", "l_linestatus"])
+    df = clean.impute_mode(gappy_lineitem(spark, d), ["l_returnflag", "l_linestatus"])
     return df.select("l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus")
 
 
@@ -88,7 +88,7 @@ def c5(spark, d):
 
 @query(
     "C6_clean_survey",
-    f"""{_EFFECT_INPUT}
+    f"""{EFFECT_INPUT_SQL}
         SELECT o_orderkey, o_custkey, price, year, done,
                coalesce(status, (SELECT status FROM cleaned WHERE status IS NOT NULL
                                  GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1)) AS status FROM cleaned""",

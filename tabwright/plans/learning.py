@@ -9,7 +9,7 @@ from tabwright.operators import features, models
 from tabwright.operators.clean import clean_survey
 from tabwright.operators.rows import derive_threshold_flag
 from tabwright.plans.registry import query, table
-from tabwright.plans.storage import _SURVEY_SQL
+from tabwright.plans.storage import SURVEY_SQL
 from tabwright.session import materialise, scratch_path
 from tabwright.sources.synthetic import synthetic_survey
 
@@ -226,7 +226,7 @@ def m14(spark, d):
     return picked.results.withColumn("chosen", F.col("model") == F.lit(picked.best_name))
 
 
-_CLEAN_COUNT_SQL = f"""(WITH s AS (SELECT DISTINCT * FROM ({_SURVEY_SQL}))
+_CLEAN_COUNT_SQL = f"""(WITH s AS (SELECT DISTINCT * FROM ({SURVEY_SQL}))
     SELECT count(*) AS n FROM s WHERE "ConvertedCompYearly" >= (SELECT quantile_cont("ConvertedCompYearly", 0.01) FROM s)
        AND "ConvertedCompYearly" <= (SELECT quantile_cont("ConvertedCompYearly", 0.99) FROM s))"""
 

@@ -37,7 +37,7 @@ def p4(spark, d):
     return rows.filter_group(table(spark, d, "orders"), "o_orderstatus", "F", "o_totalprice")
 
 
-def _gappy_lineitem(spark, d):
+def gappy_lineitem(spark, d):
     """lineitem with holes: quantity missing (as NaN) on lines 7, return flag missing on lines 5."""
     line = F.col("l_linenumber")
     return table(spark, d, "lineitem").withColumns(
@@ -54,7 +54,7 @@ def _gappy_lineitem(spark, d):
        WHERE l_linenumber NOT IN (5, 7)""",
 )
 def p5(spark, d):
-    df = _gappy_lineitem(spark, d).withColumn("l_quantity", num.nan_to_null("l_quantity"))
+    df = gappy_lineitem(spark, d).withColumn("l_quantity", num.nan_to_null("l_quantity"))
     return rows.drop_missing(df, ["l_quantity", "l_returnflag"]).select(
         "l_orderkey", "l_linenumber", "l_quantity", "l_returnflag"
     )
@@ -66,7 +66,7 @@ def p5(spark, d):
               THEN 'Yes' ELSE 'No' END AS returned FROM lineitem""",
 )
 def p6(spark, d):
-    return rows.derive_binary(_gappy_lineitem(spark, d), "l_returnflag", "R", "returned").select(
+    return rows.derive_binary(gappy_lineitem(spark, d), "l_returnflag", "R", "returned").select(
         "l_orderkey", "l_linenumber", "returned"
     )
 
@@ -284,7 +284,7 @@ def a6(spark, d):
        UNION ALL SELECT 2, 'large', c.n, 11, b.n - c.n FROM b, c""",
 )
 def a7(spark, d):
-    read = _gappy_lineitem(spark, d).withColumn("l_quantity", num.nan_to_null("l_quantity"))
+    read = gappy_lineitem(spark, d).withColumn("l_quantity", num.nan_to_null("l_quantity"))
     present = rows.drop_missing(read, ["l_quantity"])
     return groups.shapes({"read": read, "present": present, "large": rows.filter_ge(present, "l_quantity", 10)})
 
@@ -295,7 +295,7 @@ def a7(spark, d):
        FROM lineitem WHERE l_linenumber <> 5 GROUP BY l_returnflag""",
 )
 def a8(spark, d):
-    df = _gappy_lineitem(spark, d).where(F.col("l_returnflag").isNotNull())
+    df = gappy_lineitem(spark, d).where(F.col("l_returnflag").isNotNull())
     return groups.mean_by_group(df, "l_returnflag", "l_quantity").withColumn("mean", F.round("mean", 6))
 
 
@@ -308,7 +308,7 @@ def a8(spark, d):
                 GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1) AS l_quantity""",
 )
 def a12(spark, d):
-    df = _gappy_lineitem(spark, d).withColumn("l_quantity", num.nan_to_null("l_quantity"))
+    df = gappy_lineitem(spark, d).withColumn("l_quantity", num.nan_to_null("l_quantity"))
     return groups.modes(df, ["l_returnflag", "l_linestatus", "l_quantity"])
 
 
@@ -372,10 +372,9 @@ def u1(spark, d):
               CASE WHEN l_linenumber <> 5 THEN l_returnflag END AS l_returnflag FROM lineitem""",
 )
 def u2(spark, d):
-    df = _gappy_lineitem(spark, d).withColumn("l_quantity", num.nan_to_null("l_quantity"))
+    df = gappy_lineitem(spark, d).withColumn("l_quantity", num.nan_to_null("l_quantity"))
     df = df.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_returnflag")
-    repeated = df.where(F.col("l_orderkey") % 40 == 0)
-    return rows.drop_duplicates(rows.append(df, repeated))
+    return rows.drop_duplicates(rows.append(df, df))
 
 
 @query(

@@ -230,7 +230,7 @@ def d6(spark, d):
 
 
 # The flagship: clean, then test the effect of one group on two measures.
-_EFFECT_INPUT = """
+EFFECT_INPUT_SQL = """
     WITH raw AS (SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 23 <> 0 THEN o_orderstatus END AS status,
                         CASE WHEN o_orderkey % 13 <> 0 THEN o_totalprice END AS price,
                         CAST(strftime(o_orderdate, '%Y') AS DOUBLE) AS year
@@ -241,7 +241,7 @@ _EFFECT_INPUT = """
 
 
 def effect_input(spark, d):
-    """orders with planted gaps and repeated rows."""
+    """orders with planted gaps, every row twice."""
     key = F.col("o_orderkey")
     raw = table(spark, d, "orders").select(
         "o_orderkey",
@@ -250,7 +250,7 @@ def effect_input(spark, d):
         F.when(key % 13 != 0, F.col("o_totalprice")).alias("price"),
         F.date_format("o_orderdate", "yyyy").cast("double").alias("year"),
     )
-    return rows.append(raw, raw.where(key % 40 == 0))
+    return rows.append(raw, raw)
 
 
 def effect_analysis(df):
@@ -268,7 +268,7 @@ def effect_analysis(df):
 
 @query(
     "effect_analysis",
-    f"""{_EFFECT_INPUT}, tests AS ({welch_sql("cleaned", "done", "Yes", "No", "price")}
+    f"""{EFFECT_INPUT_SQL}, tests AS ({welch_sql("cleaned", "done", "Yes", "No", "price")}
           UNION ALL {welch_sql("cleaned", "done", "Yes", "No", "year")})
         SELECT *, CASE WHEN p < 0.05 THEN CASE WHEN t > 0 THEN 'higher' ELSE 'lower' END
                   ELSE 'not_significant' END AS verdict FROM tests""",

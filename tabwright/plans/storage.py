@@ -9,7 +9,7 @@ from tabwright.operators import hypothesis, summary, validate
 from tabwright.operators.clean import clean_survey
 from tabwright.operators.validate import Contract, Field
 from tabwright.plans.registry import query, table
-from tabwright.plans.statistics import _EFFECT_INPUT, effect_input, welch_sql
+from tabwright.plans.statistics import EFFECT_INPUT_SQL, effect_input, welch_sql
 from tabwright.plans.validation import CUSTOMER, customer_input
 from tabwright.session import materialise, scratch_path
 from tabwright.sources import feeds, files, report
@@ -238,7 +238,7 @@ def _quoted(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
 
-_SURVEY_SQL = f"""
+SURVEY_SQL = f"""
 WITH drawn AS (
   SELECT o_orderkey,
          CASE WHEN {_u("ai")} < 0.55 THEN {_quoted(AI_SELECT[0])} WHEN {_u("ai")} < 0.55::DOUBLE + 0.35::DOUBLE
@@ -259,7 +259,7 @@ rows_ AS (
 SELECT * FROM rows_ UNION ALL (SELECT * FROM rows_ ORDER BY o_orderkey LIMIT 25)"""
 
 
-@query("S12_synthetic_survey", _SURVEY_SQL)
+@query("S12_synthetic_survey", SURVEY_SQL)
 def s12(spark, d):
     survey = synthetic_survey(table(spark, d, "orders"), "o_orderkey")
     return survey.withColumns(
@@ -272,7 +272,7 @@ def _report_part(section: str, metric: str, group: str, value: str, text: str =
                       CAST({value} AS DOUBLE) AS value_double, {text} AS value_string"""
 
 
-_LOAD_SQL = """(SELECT 'read' AS step, (SELECT count(*) FROM orders) + (SELECT count(*) FROM orders WHERE o_orderkey % 40 = 0) AS n, 5 AS w
+_LOAD_SQL = """(SELECT 'read' AS step, 2 * (SELECT count(*) FROM orders) AS n, 5 AS w
                 UNION ALL SELECT 'cleaned', (SELECT count(*) FROM cleaned), 6)"""
 _REPORT_PARTS = [
     _report_part("load", "row_count", "step", "n") + f" FROM {_LOAD_SQL}",
@@ -305,7 +305,7 @@ for _m in ("price", "year"):
 
 @query(
     "S13_report_metrics",
-    f"""{_EFFECT_INPUT}, tests AS ({welch_sql("cleaned", "done", "Yes", "No", "price")}
+    f"""{EFFECT_INPUT_SQL}, tests AS ({welch_sql("cleaned", "done", "Yes", "No", "price")}
           UNION ALL {welch_sql("cleaned", "done", "Yes", "No", "year")})
         {" UNION ALL ".join(_REPORT_PARTS)}""",
 )

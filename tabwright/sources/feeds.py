@@ -9,34 +9,28 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabwright.functions.variants import string_or_object, unwrap_first
-from tabwright.operators.validate import (
-    COUNTRY,
-    IP,
-    WEATHER,
-    all_or_nothing,
-    check,
-    zip_arrays_to_rows,
-)
 from tabwright.operators.rows import attach_scalar
+from tabwright.operators.validate import COUNTRY, IP, WEATHER, all_or_nothing, check, zip_arrays_to_rows
 
 log = logging.getLogger(__name__)
 
 
-def feed_scan(spark: SparkSession, path: str) -> DataFrame:
-    """One JSON document per line as column ``v``; text that is no JSON becomes ``v = NULL``."""
-    lines = spark.read.text(path)
-    return lines.select(F.try_parse_json("value").alias("v"))
+def feed_scan(spark: SparkSession, path: str, whole: bool = False) -> DataFrame:
+    """One JSON document per line, or per file with ``whole``, as column ``v``; text that is no JSON becomes NULL."""
+    documents = spark.read.text(path, wholetext=whole)
+    return documents.select(F.try_parse_json("value").alias("v"))
 
 
-def feed_landing_scan(spark: SparkSession, paths: dict[str, str]) -> dict[str, DataFrame]:
-    """A frame per feed. A feed that has not landed is reported and comes out as one unreadable record,
+def feed_landing_scan(spark: SparkSession, paths: dict[str, str], whole: bool = False) -> dict[str, DataFrame]:
+    """A frame per feed.
 
-    so the other feeds are still read and a later check still sees the gap.
+    A feed that has not landed is reported and comes out as one unreadable record, so the
+    other feeds are still read and a later check still sees the gap.
     """
     out = {}
     for name, path in paths.items():
         try:
-            out[name] = feed_scan(spark, path)
+            out[name] = feed_scan(spark, path, whole)
         except AnalysisException as e:
             if "PATH_NOT_FOUND" not in (e.getCondition() or str(e)):
                 raise

@@ -50,10 +50,15 @@ def safe_load(spark: SparkSession, path: str | Sequence[str], schema: T.StructTy
     return rows.join(settle_small(broken, "broken-files"), "_file", "left_anti").select(*schema.names)
 
 
-def csv_scan(spark: SparkSession, path: str | Sequence[str], schema=None) -> DataFrame:
-    """CSV with a header row; an empty field is missing. Without a schema the types are inferred by an extra pass."""
-    reader = spark.read.option("header", True).option("enforceSchema", False)
-    return (reader.schema(schema) if schema is not None else reader.option("inferSchema", True)).csv(path)
+def csv_scan(spark: SparkSession, path: str | Sequence[str], schema=None, line_breaks: bool = False) -> DataFrame:
+    """CSV with a header row; an empty field is missing and a doubled quote is a quote.
+
+    Without a schema the types are inferred by an extra pass. ``line_breaks`` allows them
+    inside quoted fields; such files cannot be split between tasks.
+    """
+    reader = spark.read.option("header", True).option("escape", '"').option("multiLine", line_breaks)
+    reader = reader.option("enforceSchema", False) if schema is not None else reader.option("inferSchema", True)
+    return (reader.schema(schema) if schema is not None else reader).csv(path)
 
 
 def csv_sink(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
@@ -83,9 +88,7 @@ def write_and_verify(valid: DataFrame, errors: DataFrame, valid_path: str, error
     spark = valid.sparkSession
     csv_sink(valid, valid_path)
     reject_sink(errors, errors_path)
-    back = (
-        spark.read.schema(valid.schema).option("header", True).option("multiLine", True).option("escape", '"').csv(valid_path)
-    )
+    back = csv_scan(spark, valid_path, valid.schema, line_breaks=True)
     sides = (
         ("valid", valid, back),
         ("error", errors, spark.read.schema(errors.schema).json(errors_path)),
@@ -114,10 +117,7 @@ def multi_format_materialise(tables: dict[str, DataFrame], root: str | None = No
             path = f"{base}/{name}.{fmt}"
             if fmt == "csv":
                 csv_sink(df, path)
-                back = (
-                    df.sparkSession.read.schema(df.schema)
-                    .option("header", True).option("multiLine", True).option("escape", '"').csv(path)
-                )
+                back = csv_scan(df.sparkSession, path, df.schema, line_breaks=True)
             else:
                 parquet_sink(df, path)
                 back = parquet_scan(df.sparkSession, path, df.schema)

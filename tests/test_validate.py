@@ -183,6 +183,13 @@ def test_one_bad_feed_holds_back_all(spark, tmp_path, change):
     assert {r["feed"] for r in rejected.collect()} == set(change)
 
 
+def test_indented_documents(spark, tmp_path):
+    docs_by_feed = {"weather": weather(["a"], [1.0], [1]), "country": COUNTRY_DOC, "ip": IP_DOC}
+    paths = land(tmp_path, **{k: json.dumps(d, indent=2) for k, d in docs_by_feed.items()})
+    rows, rejected = feeds.weather_report(feeds.feed_landing_scan(spark, paths, whole=True))
+    assert (rows.count(), rejected.count()) == (1, 0)
+
+
 def test_name_as_plain_text(spark, tmp_path):
     paths = land(tmp_path, weather=weather(["a"], [1.0], [1]), country={"name": "Korea"}, ip=IP_DOC)
     rows, _ = feeds.weather_report(feeds.feed_landing_scan(spark, paths))
