@@ -52,11 +52,12 @@ def stratified_split(
     everything = classes.agg(F.sum("_n").alias("n")).scalar().cast(_WIDE)
     share = Decimal(str(test_share))
     seats = F.ceil(everything * F.lit(share)).cast(_WIDE)
-    product = F.col("_n").cast(_WIDE) * seats
     # One row per class: the remainders are compared over classes, not over rows.
-    seated = classes.withColumns(
-        {"_floor": F.floor(F.try_divide(product, everything)).cast(_WIDE), "_seats": seats, "_all": everything}
-    ).withColumn("_rest", product - F.col("_floor") * F.col("_all"))
+    seated = classes.select(
+        "_y", seats.alias("_seats"), everything.alias("_all"), (F.col("_n").cast(_WIDE) * seats).alias("_product")
+    )
+    seated = seated.withColumn("_floor", F.expr("_product div _all").cast(_WIDE))
+    seated = seated.withColumn("_rest", F.col("_product") - F.col("_floor") * F.col("_all"))
     by_rest = Window.orderBy(F.desc("_rest"), "_y")
     left = F.col("_seats") - F.sum("_floor").over(Window.partitionBy())
     quota = seated.select(

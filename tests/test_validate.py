@@ -256,3 +256,19 @@ def test_stream_resumes_without_repeats(spark, tmp_path, monkeypatch):
     assert run() == (4, 3)
     (tmp_path / "in" / "2.json").write_text("\n".join([json.dumps(SALES[0]), "{broken"]))
     assert run() == (5, 4)
+
+
+def test_running_totals_of_a_stream(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "1.json").write_text("\n".join(json.dumps(r) for r in SALES))
+    stream = landing.landing_stream(spark, str(tmp_path / "in")).select(
+        F.try_variant_get("v", "$.region", "string").alias("region"), F.try_variant_get("v", "$.amount", "bigint").alias("amount")
+    )
+    q = (
+        landing.running_totals(stream, "region", "amount")
+        .writeStream.format("memory").queryName("totals").outputMode("complete")
+        .option("checkpointLocation", str(tmp_path / "checkpoint")).trigger(availableNow=True).start()
+    )
+    q.awaitTermination()
+    got = {r["region"]: (r["n"], r["total"]) for r in spark.table("totals").collect()}
+    assert got == {"서울": (3, 2200), "부산": (1, 800), "대구": (1, 950), "": (1, 1500), "   ": (1, 300)}
