@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tabwright.llm import near_dup
+from tabwright.llm import decontaminate, near_dup, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -49,3 +50,31 @@ NEAR_DUP_SQL = f"""WITH RECURSIVE {shingle_sql(4)},
 @_query("op6_near_dup", NEAR_DUP_SQL)
 def op6_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(_table(spark, sf_dir, "documents"), width=4, percent=80)
+
+
+LEAKS_SQL = f"""WITH {shingle_sql(5)},
+      item_words AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM benchmark),
+      item_shingles AS (SELECT DISTINCT item_id, s FROM (
+        SELECT item_id, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] || ' ' || w[i + 3] || ' ' || w[i + 4] AS s FROM (SELECT item_id, w, unnest(range(1, len(w) - 3)) AS i FROM item_words WHERE len(w) >= 5)
+        UNION ALL SELECT item_id, '#' || array_to_string(w, ' ') FROM item_words WHERE len(w) BETWEEN 1 AND 4)),
+      sizes AS (SELECT item_id, count(*) AS item_size FROM item_shingles GROUP BY item_id),
+      shared AS (SELECT doc_id, item_id, count(*) AS shared FROM shingles JOIN item_shingles USING (s) GROUP BY 1, 2)
+    SELECT doc_id, item_id, shared::BIGINT AS shared, item_size::BIGINT AS item_size FROM shared JOIN sizes USING (item_id) WHERE 100 * shared >= 80 * item_size"""
+
+
+@_query("op10_decontaminate", LEAKS_SQL)
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def _held_out(folds: int, fold: int) -> Column:
+    return F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(folds)) == fold, F.lit(False))
+
+
+@_query("op8_toxicity")
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    model = toxicity.fit_from_labels(docs, labels.where(~_held_out(3, 1)))
+    scored = toxicity.score(docs, model)
+    predicted = (F.col("score") >= 0.7).cast("int")
+    return scored.select("doc_id", _held_out(3, 1).alias("held_out"), "score", predicted.alias("predicted"), F.size("spans").alias("n_spans"))
