@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabwright.llm import decontaminate, near_dup, toxicity
+from tabwright.llm import decontaminate, near_dup, secrets, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -78,3 +78,37 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = toxicity.score(docs, model)
     predicted = (F.col("score") >= 0.7).cast("int")
     return scored.select("doc_id", _held_out(3, 1).alias("held_out"), "score", predicted.alias("predicted"), F.size("spans").alias("n_spans"))
+
+
+_ASSIGN = "(?i:(password|passwd|secret|token|api_?key)[\"'']?\\x20*[:=]\\x20*[\"'']?)([A-Za-z0-9+/_.=-]+)"
+
+
+def _span_sql(kind: str, rank: int, pattern: str, group: int, least: int) -> str:
+    return f"""SELECT doc_id, '{kind}' AS kind, {rank} AS rank, kept,
+        sum(gap) OVER w + coalesce(sum(whole) OVER b, 0) AS start, whole FROM (
+          SELECT doc_id, length(unnest(string_split_regex(text, '{pattern}'))) AS gap, length(unnest(regexp_extract_all(text, '{pattern}', 0))) AS whole,
+            length(unnest(regexp_extract_all(text, '{pattern}', {group}))) >= {least} AS kept, generate_subscripts(string_split_regex(text, '{pattern}'), 1) AS i FROM docs)
+        WINDOW w AS (PARTITION BY doc_id ORDER BY i), b AS (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"""
+
+
+SECRETS_SQL = f"""WITH docs AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+      found AS ({_span_sql("assign", 0, _ASSIGN, 2, 6)} UNION ALL {_span_sql("access", 1, "AKIA[A-Z0-9]+", 0, 20)} UNION ALL {_span_sql("hex", 2, "[0-9a-f]+", 0, 24)}
+        UNION ALL {_span_sql("private_key", 3, "-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----", 0, 1)}
+        UNION ALL {_span_sql("web_token", 4, "eyJ[A-Za-z0-9_-]{10,}[.]eyJ[A-Za-z0-9_-]{10,}[.][A-Za-z0-9_-]{10,}", 0, 1)}
+        UNION ALL {_span_sql("service_token", 5, "(?:ghp|gho|ghs|xoxb|xoxp)[_-][A-Za-z0-9-]{20,}", 0, 1)}),
+      spans AS (SELECT doc_id, kind, rank, start, kind || ':' || start::BIGINT || ':' || (start + whole)::BIGINT AS span FROM found WHERE kept),
+      per AS (SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex,
+        string_agg(span, ',' ORDER BY start, rank) FILTER (rank < 3) AS base, string_agg(span, ',' ORDER BY start, rank) AS spans FROM spans GROUP BY doc_id)
+    SELECT doc_id, coalesce(n_assign, 0)::BIGINT AS n_assign, coalesce(n_access, 0)::BIGINT AS n_access, coalesce(n_hex, 0)::BIGINT AS n_hex,
+      sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans FROM documents LEFT JOIN per USING (doc_id)"""
+
+
+@_query("op3_secrets", SECRETS_SQL)
+def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.find_secrets(_table(spark, sf_dir, "documents"))
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+
+    base = secrets.listed(F.filter("spans", lambda s: s["kind_rank"] < len(secrets.BASE_RULES)))
+    return found.select("doc_id", *map(count, ("assign", "access", "hex")), F.sha2(base, 256).alias("base_sha256"), secrets.listed(F.col("spans")).alias("spans"))
