@@ -27,6 +27,7 @@ from tabwright.llm.shipping import ship
 from tabwright.session import materialise
 
 COORDINATES = 32
+UNIT_SHINGLES = 1_000_000  # about as many shingles as two blocks hold each
 ROWS_AT_ONCE = 2_000
 
 
@@ -136,8 +137,8 @@ def _compared(percent: int):
 
 
 def _meeting(rows: DataFrame) -> DataFrame:
-    """Rows of nodes that at least two classes reach, with the node's size."""
-    sizes = rows.groupBy("node").agg(F.count("*").alias("size")).where("size > 1")
+    """Rows of nodes that at least two classes reach, with the node's classes and shingles."""
+    sizes = rows.groupBy("node").agg(F.count("*").alias("size"), F.sum("n_shingles").alias("total")).where("size > 1")
     return materialise(rows.join(sizes, "node"), "tree")
 
 
@@ -148,16 +149,16 @@ def _branch(node: F.Column, coordinate: F.Column) -> F.Column:
 def _leaves(classes: DataFrame, trees: int, depth: int, leaf: int, block: int) -> DataFrame:
     """``(unit, digest)``: classes to compare with each other, each unit of bounded size."""
     first = [F.xxhash64(F.lit(t), F.lit(c), F.col("mins")[c]) for t in range(trees) for c in (2 * t, 2 * t + 1)]
-    rows = _meeting(classes.select(F.explode(F.array(*first)).alias("node"), "digest"))
-    units = []
+    rows = _meeting(classes.select(F.explode(F.array(*first)).alias("node"), "digest", "n_shingles"))
+    units, small = [], (F.col("size") <= leaf) & (F.col("total") <= UNIT_SHINGLES)
     for _ in range(1, depth):
         node = F.col("node")
         one = F.pmod(F.xxhash64(node, F.lit("one")), F.lit(COORDINATES)).cast("int")
         two = F.pmod(one + 1 + F.pmod(F.xxhash64(node, F.lit("two")), F.lit(COORDINATES - 1)), F.lit(COORDINATES)).cast("int")
-        sent = rows.join(classes.select("digest", "mins"), "digest")
-        rows = _meeting(sent.select(F.explode(F.array(_branch(node, one), _branch(node, two))).alias("node"), "digest"))
-        units.append(rows.where(F.col("size") <= leaf))
-        rows = rows.where(F.col("size") > leaf)
+        sent = rows.select("node", "digest", "n_shingles").join(classes.select("digest", "mins"), "digest")
+        rows = _meeting(sent.select(F.explode(F.array(_branch(node, one), _branch(node, two))).alias("node"), "digest", "n_shingles"))
+        units.append(rows.where(small))
+        rows = rows.where(~small)
         if rows.isEmpty():
             break
     else:
@@ -166,14 +167,12 @@ def _leaves(classes: DataFrame, trees: int, depth: int, leaf: int, block: int) -
     for more in units[1:]:
         nodes = nodes.union(more)
     # Several trees often gather the very same classes: compare them once.
-    held = nodes.groupBy("node").agg(F.first("size").alias("size"), *(F.bit_xor(F.xxhash64("digest", F.lit(k))).alias(f"x{k}") for k in (0, 1)))
+    held = nodes.groupBy("node").agg(F.first("size").alias("size"), F.first("total").alias("total"), *(F.bit_xor(F.xxhash64("digest", F.lit(k))).alias(f"x{k}") for k in (0, 1)))
     once = held.groupBy("x0", "x1", "size").agg(F.min("node").alias("node")).select("node")
-    blocks = F.ceil(F.col("size") / block).cast("int")
+    blocks = F.greatest(F.ceil(F.col("size") / block), F.ceil(F.col("total") / UNIT_SHINGLES)).cast("int")
     own = F.pmod(F.xxhash64("digest", F.lit("block")), blocks).cast("int")
-    other = F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other")
-    parts = nodes.join(once, "node").select("node", "digest", "size", own.alias("own"), other)
-    whole = F.col("size") <= leaf
-    unit = F.when(whole, F.col("node")).otherwise(F.xxhash64("node", F.least("own", "other"), F.greatest("own", "other")))
+    parts = nodes.join(once, "node").select("node", "digest", small.alias("small"), own.alias("own"), F.explode(F.when(small, F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), blocks - 1))).alias("other"))
+    unit = F.when(F.col("small"), F.col("node")).otherwise(F.xxhash64("node", F.least("own", "other"), F.greatest("own", "other")))
     return materialise(parts.select(unit.alias("unit"), "digest"), "units")
 
 
@@ -185,9 +184,9 @@ def near_duplicates(
     width: int = 5,
     percent: int = 80,
     trees: int = 4,
-    depth: int = 5,
-    leaf: int = 32,
-    block: int = 256,
+    depth: int = 3,
+    leaf: int = 512,
+    block: int = 768,
 ) -> DataFrame:
     """``(doc_id, n_shingles, component_id, kept)``, one row for every row of ``docs``.
 
@@ -226,3 +225,17 @@ def near_duplicates(
     out = sketches.select("doc_id", "n_shingles", "digest").join(named, "digest", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("root", "doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept"))
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The rows of ``docs``, whole, less those whose component keeps another document.
+
+    Of rows that share an id one stays, whichever comes first. Rows without an id stay, all of them.
+    """
+    marks = near_duplicates(docs, id_col, text_col, **options).where("doc_id is not null")
+    marks = materialise(marks.groupBy(F.col("doc_id").alias("_id")).agg(F.count("*").alias("_times"), F.bool_or("kept").alias("_kept")).where("not _kept or _times > 1"), "marks")
+    joined = docs.join(marks, docs[id_col] == marks["_id"], "left").where(F.coalesce("_kept", F.lit(True)))
+    if marks.where("_kept").isEmpty():
+        return joined.drop("_id", "_times", "_kept")
+    once = joined.where("_times > 1").dropDuplicates(["_id"])
+    return joined.where("_times is null").union(once).drop("_id", "_times", "_kept")
