@@ -94,17 +94,18 @@ def leaks(
     percent: int = 80,
     sent_shingles: int = 2_000_000,
 ) -> DataFrame:
-    """``(doc_id, item_id, shared, item_size)`` for every item that leaks into a document.
+    """``(doc_id, mark, item_id, shared, item_size)`` for every item that leaks into a document.
 
+    ``mark`` is a digest of the document's text.
     Items of fewer than ``width`` words are one shingle, their whole sequence, and leak into documents of that very
     sequence only; null, empty or blank texts on either side match nothing. A null id on either side is kept like any
-    other value: the row's text decides. Rows that share a document id are one document, its shingles united; rows that
-    share an item id are one item as well. Repeated rows add nothing, and other columns are not read. Item tables of more
+    other value. Rows that share a document id are told apart by their texts, and rows of one id and text are reported
+    once; rows that share an item id are one item, its shingles united. Other columns are not read. Item tables of more
     than ``sent_shingles`` distinct shingles (16 bytes each) are not sent to the tasks: sketch hashes are then joined.
     """
     spark = docs.sparkSession
     ship(spark)
-    plain = docs.select(F.col(id_col).alias("_row"), F.col(text_col).alias("text"))
+    plain = docs.select(F.struct(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("mark")).alias("_row"), F.col(text_col).alias("text"))
     kind = plain.schema["_row"].dataType.simpleString()
     wanted = items.select(F.col(item_col).alias("item_id"), F.col(item_text_col).alias("text"))
     item_kind = wanted.schema["item_id"].dataType.simpleString()
@@ -124,4 +125,10 @@ def leaks(
     pairs = found.distinct().join(index, "shingle")
     shared = pairs.groupBy("_row", "item_id").agg(F.count("*").alias("shared"), F.bool_or("sketched").alias("met")).where("met")
     verified = shared.join(sizes.withColumnRenamed("item_id", "_item"), F.expr("item_id <=> _item"))
-    return verified.where(F.col("shared") * 100 >= F.col("item_size") * percent).select(F.col("_row").alias("doc_id"), "item_id", "shared", "item_size")
+    return verified.where(F.col("shared") * 100 >= F.col("item_size") * percent).select("_row.doc_id", "_row.mark", "item_id", "shared", "item_size")
+
+
+def drop_leaking(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The rows of ``docs``, whole, into which no item leaks."""
+    found = materialise(leaks(docs, items, id_col, text_col, **options).select(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark")).distinct(), "leaks")
+    return docs.join(found, docs[id_col].eqNullSafe(found["_id"]) & (F.xxhash64(docs[text_col]) == found["_mark"]), "left_anti")

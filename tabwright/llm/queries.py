@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
+import numpy as np
+import pandas as pd
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabwright.llm import decontaminate, near_dup, secrets, toxicity
+from tabwright.llm import bpe, decontaminate, near_dup, secrets, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -64,7 +68,7 @@ LEAKS_SQL = f"""WITH {shingle_sql(5)},
 
 @_query("op10_decontaminate", LEAKS_SQL)
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontaminate.leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return decontaminate.leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")).drop("mark")
 
 
 def _held_out(folds: int, fold: int) -> Column:
@@ -112,3 +116,14 @@ def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     base = secrets.listed(F.filter("spans", lambda s: s["kind_rank"] < len(secrets.BASE_RULES)))
     return found.select("doc_id", *map(count, ("assign", "access", "hex")), F.sha2(base, 256).alias("base_sha256"), secrets.listed(F.col("spans")).alias("spans"))
+
+
+@F.pandas_udf("string")
+def _ids_digest(ids: pd.Series) -> pd.Series:
+    return ids.map(lambda x: hashlib.sha256(np.asarray(x).astype("<u4").tobytes()).hexdigest())
+
+
+@_query("op7_bpe")
+def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = bpe.encode_documents(_table(spark, sf_dir, "documents"), bpe.load(public_tokenizers.path("byte_bpe_50k.json")))
+    return coded.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), _ids_digest("ids").alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))

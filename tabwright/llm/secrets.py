@@ -18,6 +18,8 @@ from tabwright.llm.trigrams import Query, query_of
 from tabwright.session import materialise
 
 BITS = 62
+_SAME = F.expr("doc_id <=> _id and mark = _mark")
+_SPANS = "array<struct<start:bigint,kind_rank:int,kind:string,end:bigint>>"
 
 
 @dataclass(frozen=True)
@@ -83,8 +85,37 @@ def find_secrets(docs: DataFrame, rules: Sequence[Rule] = BASE_RULES + MORE_RULE
     text has no spans. Null ids pass through; rows that share an id are told apart by their texts; repeated rows come out
     repeated; other columns are not read; an empty table gives no rows.
     """
+    rows = _rows(docs, id_col, text_col)
+    joined = rows.select("doc_id", "mark").join(_found(rows, rules), _SAME, "left")
+    return joined.select("doc_id", F.coalesce("spans", F.array().cast(_SPANS)).alias("spans"))
+
+
+def redact(docs: DataFrame, rules: Sequence[Rule] = BASE_RULES + MORE_RULES, id_col: str = "doc_id", text_col: str = "text", cover: str = "[secret]") -> DataFrame:
+    """``docs``, whole, with every run of text that spans cover replaced by ``cover``; other rows are as they were."""
+    found = _found(_rows(docs, id_col, text_col), rules)
+    mark = F.xxhash64(F.coalesce(docs[text_col], F.lit("")))
+    joined = docs.join(found, docs[id_col].eqNullSafe(found["_id"]) & (mark == found["_mark"]), "left")
+    text = docs[text_col]
+    start = F.struct(F.lit("").alias("out"), F.lit(0).cast("bigint").alias("at"))
+
+    def add(state: Column, s: Column) -> Column:
+        # Spans come by start: one that begins inside the last only moves its end.
+        between = F.substr(text, (state["at"] + 1).cast("int"), F.greatest(s["start"] - state["at"], F.lit(0)).cast("int"))
+        new = s["start"] >= state["at"]
+        return F.struct(F.when(new, F.concat(state["out"], between, F.lit(cover))).otherwise(state["out"]).alias("out"), F.greatest(s["end"], state["at"]).alias("at"))
+
+    clean = F.aggregate("spans", start, add, lambda s: F.concat(s["out"], F.substr(text, (s["at"] + 1).cast("int"))))
+    columns = [F.when(F.col("spans").isNull(), docs[c]).otherwise(clean).alias(c) if c == text_col else docs[c] for c in docs.columns]
+    return joined.select(*columns)
+
+
+def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    rows = rows.select("doc_id", "text", F.xxhash64("text").alias("mark"))
+    return rows.select("doc_id", "text", F.xxhash64("text").alias("mark"))
+
+
+def _found(rows: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """``(_id, _mark, spans)`` of the rows that hold secrets."""
     queries = {r.kind: query_of(r.pattern) for r in rules}
     vocabulary = sorted(set().union(*(q.trigrams() for q in queries.values())))
     hits = [_matches(rows, r) for r in rules if queries[r.kind].scans_all]
@@ -98,15 +129,12 @@ def find_secrets(docs: DataFrame, rules: Sequence[Rule] = BASE_RULES + MORE_RULE
         asked = [r for r in rules if not queries[r.kind].scans_all]
         found = F.array_compact(F.array(*(F.when(_meets(queries[r.kind], vocabulary), F.lit(r.kind)) for r in asked)))
         candidates = materialise(held.select(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark"), found.alias("rules")).where("size(rules) > 0"), "candidates")
-        same = F.expr("doc_id <=> _id and mark = _mark")
-        checked = rows.join(candidates, same).select("doc_id", "mark", "text", "rules")
+        checked = rows.join(candidates, _SAME).select("doc_id", "mark", "text", "rules")
         hits += [_matches(checked.where(F.array_contains("rules", r.kind)), r) for r in asked]
     rank = F.element_at(F.create_map(*(F.lit(x) for k, r in enumerate(rules) for x in (r.kind, k))), F.col("kind"))
     every = reduce(DataFrame.union, hits).distinct()
     spans = F.sort_array(F.collect_list(F.struct("start", rank.alias("kind_rank"), "kind", "end"))).alias("spans")
-    by_row = every.groupBy(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark")).agg(spans)
-    none = F.array().cast("array<struct<start:bigint,kind_rank:int,kind:string,end:bigint>>")
-    return rows.select("doc_id", "mark").join(by_row, F.expr("doc_id <=> _id and mark = _mark"), "left").select("doc_id", F.coalesce("spans", none).alias("spans"))
+    return every.groupBy(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark")).agg(spans)
 
 
 def listed(spans: Column) -> Column:

@@ -18,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tabwright.llm import words
 from tabwright.llm.shipping import ship
@@ -239,10 +240,21 @@ def score(docs: DataFrame, model: Field, id_col: str = "doc_id", text_col: str =
     exclusive. A null, empty or blank text has no spans and the curve's lowest score. Ids, nulls among them, pass
     through; repeated rows come out repeated; other columns are not read; an empty table gives no rows.
     """
-    ship(docs.sparkSession)
-    plain = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    sent = docs.sparkSession.sparkContext.broadcast(model)  # bounded by the fitting sample's vocabulary
+    return _scored(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), model, confident)
+
+
+def drop_toxic(docs: DataFrame, model: Field, text_col: str = "text", threshold: float = 0.7) -> DataFrame:
+    """The rows of ``docs``, whole, whose text scores under ``threshold``. Rows never leave their task."""
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col(text_col).alias("text"))
+    return _scored(rows, model, 2.0).where(F.col("score") < threshold).select("row.*")
+
+
+def _scored(plain: DataFrame, model: Field, confident: float) -> DataFrame:
+    """The first column of ``plain``, passed through, with score and spans of its second."""
+    ship(plain.sparkSession)
+    sent = plain.sparkSession.sparkContext.broadcast(model)  # bounded by the fitting sample's vocabulary
     span = pa.struct([("start", pa.int64()), ("end", pa.int64()), ("chance", pa.float64())])
+    name = plain.columns[0]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         field_ = sent.value
@@ -255,10 +267,11 @@ def score(docs: DataFrame, model: Field, id_col: str = "doc_id", text_col: str =
                 x = _summary(chance, bounds)
                 scores = 1 / (1 + np.exp(-np.clip(x @ np.array(field_.curve), -40, 40)))
                 spans = [_spans(part.column("text")[i].as_py(), chance[a:b], confident) if x[i, 2] > confident else [] for i, (a, b) in enumerate(zip(bounds[:-1], bounds[1:], strict=True))]
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(scores), pa.array(spans, pa.list_(span))], ["doc_id", "score", "spans"])
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(scores), pa.array(spans, pa.list_(span))], [name, "score", "spans"])
 
-    kind = plain.schema["doc_id"].dataType.simpleString()
-    return plain.mapInArrow(run, f"doc_id {kind}, score double, spans array<struct<start:bigint,end:bigint,chance:double>>")
+    kinds = [plain.schema[0], T.StructField("score", T.DoubleType())]
+    spans = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType()), T.StructField("chance", T.DoubleType())]))
+    return plain.mapInArrow(run, T.StructType([*kinds, T.StructField("spans", spans)]))
 
 
 def _spans(text: str, chance: np.ndarray, confident: float) -> list[dict]:
