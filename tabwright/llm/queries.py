@@ -11,7 +11,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabwright.llm import bpe, decontaminate, near_dup, secrets, toxicity
+from tabwright.llm import bpe, decontaminate, language, near_dup, quality, secrets, top_k, toxicity
+from tabwright.session import materialise
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -127,3 +128,30 @@ def _ids_digest(ids: pd.Series) -> pd.Series:
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = bpe.encode_documents(_table(spark, sf_dir, "documents"), bpe.load(public_tokenizers.path("byte_bpe_50k.json")))
     return coded.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), _ids_digest("ids").alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@_query("op1_language")
+def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    profiles = language.fit(docs.where(~_held_out(3, 1)))
+    found = language.identify(docs, profiles)
+    return found.select("doc_id", _held_out(3, 1).alias("held_out"), "lang_pred", "score", F.size("mixture").alias("n_languages"))
+
+
+@_query("op2_quality")
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    measured = materialise(quality.statistics(_table(spark, sf_dir, "documents")), "statistics")
+    ensemble = quality.fit(measured, _table(spark, sf_dir, "labels").where(~_held_out(4, 2)))
+    return quality.score(measured, ensemble).select("doc_id", _held_out(4, 2).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+TOP_K_SQL = """WITH v AS (SELECT vec_id, [floor(64 * x::DOUBLE)::BIGINT for x in embedding] AS v FROM embeddings
+        WHERE embedding IS NOT NULL AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
+      scored AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v::DOUBLE[], c.v::DOUBLE[])::BIGINT AS score FROM v q JOIN v c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id),
+      ranked AS (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score FROM scored)
+    SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20"""
+
+
+@_query("op9_top_k", TOP_K_SQL)
+def op9_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k.top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
