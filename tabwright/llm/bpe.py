@@ -244,6 +244,39 @@ class Codec:
             del self._memory
         return text_bounds, ids
 
+    def pre_tokens(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Each text's pre-tokens: their characters, and their tokens. An added token is one of its own."""
+        split, memory, found = self._parts[3], self._memory, []
+        for text in texts:
+            words, numbers, at = [], [], 0
+            for m in (*(split.finditer(text) if split else ()), None):
+                piece = self._words.findall(text[at : m.start()] if m else text[at:] if at else text)
+                words += piece
+                numbers += [memory[w] for w in piece]
+                if m:
+                    words.append(m.group())
+                    numbers.append(-1)
+                    at = m.end()
+            found.append((np.fromiter(map(len, words), np.int64, len(words)), np.array(numbers, np.int64)))
+        memory.settle(self)
+        counts = np.append(memory.counts, 1)
+        if len(memory) > REMEMBERED:
+            del self._memory
+        return [(lengths, counts[numbers]) for lengths, numbers in found]
+
+    def split_from(self, text: str, at: int) -> Iterator[str]:
+        """The pre-tokens from a pre-token's start to the end of a text without added tokens, one by one."""
+        return (m.group() for m in self._words.finditer(text, at))
+
+    def count_words(self, words: list[str]) -> list[int]:
+        memory = self._memory
+        numbers = [memory[w] for w in words]
+        memory.settle(self)
+        return memory.counts[numbers].tolist() if numbers else []
+
+    def holds_added(self, text: str) -> bool:
+        return any(t in text for t in self._parts[2])
+
     def encode(self, text: str) -> list[int]:
         return self.encode_all([text])[1].tolist()
 

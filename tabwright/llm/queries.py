@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabwright.llm import bpe, decontaminate, language, near_dup, quality, secrets, top_k, toxicity
+from tabwright.llm import bpe, decontaminate, html_text, language, near_dup, quality, secrets, token_counts, top_k, toxicity
 from tabwright.session import materialise
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -155,3 +155,21 @@ TOP_K_SQL = """WITH v AS (SELECT vec_id, [floor(64 * x::DOUBLE)::BIGINT for x in
 @_query("op9_top_k", TOP_K_SQL)
 def op9_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k.top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+#: What a privacy pass would put in the place of addresses and long numbers.
+ADDRESS = "[A-Za-z0-9_]+(?:[.][A-Za-z0-9_]+)*@[A-Za-z0-9-]+(?:[.][A-Za-z0-9-]+)+"
+LONG_NUMBER = "[0-9]{9,}"
+
+
+@_query("op4_token_counts")
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    edits = token_counts.edits_of(F.col("text"), f"(?:{ADDRESS})|(?:{LONG_NUMBER})", "<private>")
+    counted = token_counts.recount(docs, edits, bpe.load(public_tokenizers.path("byte_bpe_50k.json")))
+    return counted.select("doc_id", "n_before", "n_edits", "n_after", "n_renewed", F.sha2("text", 256).alias("text_sha256"))
+
+
+@_query("op5_html_text")
+def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(_table(spark, sf_dir, "pages"))
