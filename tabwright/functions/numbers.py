@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # The text forms a lenient numeric parse accepts.
 NUMBER_PATTERN = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
@@ -19,6 +20,12 @@ def nan_to_null(c: str | Column) -> Column:
     return F.nanvl(col_of(c).cast("double"), F.lit(None).cast("double"))
 
 
+def missing_as_null(df: DataFrame, c: str) -> Column:
+    """The column with NaN as NULL and its type kept; a column that cannot hold NaN stays bare."""
+    kind = df.schema[c].dataType
+    return F.nanvl(F.col(c), F.lit(None).cast(kind)) if isinstance(kind, (T.DoubleType, T.FloatType)) else F.col(c)
+
+
 def parse_number(c: str | Column) -> Column:
     """Text to double, NULL where it is not a plain number.
 
@@ -40,8 +47,8 @@ def round_half_even(c: str | Column, digits: int = 0) -> Column:
 
 
 def safe_ratio(a: str | Column, b: str | Column, otherwise: float = 1.0) -> Column:
-    """``a / b``, or ``otherwise`` where the divisor is zero."""
-    return F.coalesce(F.try_divide(col_of(a), col_of(b)), F.lit(float(otherwise)))
+    """``a / b``, or ``otherwise`` where the divisor is zero; missing where either side is."""
+    return F.when((col_of(b) == 0) & col_of(a).isNotNull(), F.lit(float(otherwise))).otherwise(F.try_divide(col_of(a), col_of(b)))
 
 
 def linear_score(intercept: float, weights: dict[str, float]) -> Column:

@@ -8,32 +8,32 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabwright.functions.numbers import clip, nan_to_null, parse_number
+from tabwright.functions.numbers import clip, missing_as_null, nan_to_null, parse_number
 from tabwright.operators.groups import modes
 from tabwright.operators.quantiles import median_point, quantile_row
 from tabwright.operators.rows import derive_binary, drop_duplicates, filter_range, sort_rows
 from tabwright.session import materialise
 
 
-def percentile_trim(df: DataFrame, col: str, lo: float = 0.01, hi: float = 0.99, method: str = "exact") -> DataFrame:
+def percentile_trim(df: DataFrame, col: str, lo: float = 0.01, hi: float = 0.99) -> DataFrame:
     """Rows whose value lies between two of the column's quantiles, inclusive; missing rows go."""
-    edges = quantile_row(df, col, {"lo": lo, "hi": hi}, method=method).select(F.struct("lo", "hi").alias("e")).scalar()
+    edges = quantile_row(df, col, {"lo": lo, "hi": hi}).select(F.struct("lo", "hi").alias("e")).scalar()
     return filter_range(df, col, edges["lo"], edges["hi"])
 
 
-def trim_edges(df: DataFrame, col: str, lo: float = 0.01, hi: float = 0.99, method: str = "auto") -> tuple:
+def trim_edges(df: DataFrame, col: str, lo: float = 0.01, hi: float = 0.99) -> tuple:
     """The two quantiles as numbers, computed now. As literals they reach the scan's pushed filters."""
-    return tuple(quantile_row(df, col, {"lo": lo, "hi": hi}, method=method).first())
+    return tuple(quantile_row(df, col, {"lo": lo, "hi": hi}).first())
 
 
-def impute_median(df: DataFrame, col: str, method: str = "exact") -> DataFrame:
-    return df.withColumn(col, F.coalesce(nan_to_null(col), median_point(df, col, method=method)))
+def impute_median(df: DataFrame, col: str) -> DataFrame:
+    return df.withColumn(col, F.coalesce(nan_to_null(col), median_point(df, col)))
 
 
 def impute_mode(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Every listed column filled from one shared pass."""
     fill = modes(df, cols).select(F.struct(*cols).alias("m")).scalar()
-    return df.withColumns({c: F.coalesce(F.col(c), fill[c]) for c in cols})
+    return df.withColumns({c: F.coalesce(missing_as_null(df, c), fill[c]) for c in cols})
 
 
 def coerce_numeric(df: DataFrame, col: str, name: str | None = None) -> DataFrame:
@@ -80,7 +80,7 @@ def clean_survey(
     if present:
         fills.update(modes(out, present).first().asDict())
     if score in out.columns:
-        fills[score] = quantile_row(out, score, {"median": 0.5}, method="auto").first()["median"]
+        fills[score] = quantile_row(out, score, {"median": 0.5}).first()["median"]
     return out.withColumns({c: F.coalesce(F.col(c), F.lit(v)) for c, v in fills.items()})
 
 

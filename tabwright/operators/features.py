@@ -109,7 +109,7 @@ def fit_numeric(train: DataFrame, cols: Sequence[str]) -> dict[str, NumericFit]:
     """Interpolated medians, then mean and population deviation of the filled column."""
     if not cols:
         return {}
-    medians = {r["variable"]: r["value"] for r in quantiles(train, cols, [0.5], method="auto").collect()}
+    medians = {r["variable"]: r["value"] for r in quantiles(train, cols, [0.5]).collect()}
     aggs = []
     for i, c in enumerate(cols):
         filled = F.coalesce(nan_to_null(c), F.lit(medians.get(c, 0.0)))

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabwright.functions.numbers import nan_to_null
+from tabwright.functions.numbers import missing_as_null, nan_to_null
 
 
 def exact_money(c: str | Column) -> Column:
@@ -95,7 +95,7 @@ def modes(df: DataFrame, cols: Sequence[str]) -> DataFrame:
         by_type.setdefault(df.schema[c].dataType.simpleString(), []).append(c)
     picked = {}
     for same in by_type.values():
-        cells = F.array(*[F.struct(F.lit(c).alias("variable"), F.col(c).alias("value")) for c in same])
+        cells = F.array(*[F.struct(F.lit(c).alias("variable"), missing_as_null(df, c).alias("value")) for c in same])
         counted = (
             df.select(F.explode(cells).alias("_c"))
             .select("_c.variable", "_c.value")

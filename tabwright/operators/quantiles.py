@@ -1,28 +1,29 @@
 """Exact quantiles without sorting the data or gathering a group in one task.
 
 Spark's ``percentile`` keeps a value-to-count map per group in one buffer, which grows
-with the number of distinct values. Here each order statistic is narrowed instead:
-count rows per bin between the group's minimum and maximum, keep the one bin that holds
-the wanted rank, and repeat inside it. Every pass is a scan with a map-side aggregate of
-at most ``bins`` rows per open bracket, so a hot group costs no more than a cold one.
-What is left after ``passes`` rounds is counted per distinct value and ranked exactly.
+with the number of distinct values. Here a sketch of bounded size first cuts each group
+into brackets of equal depth, whatever the distribution. A second pass counts the rows
+between the wanted brackets, and the rows inside them per distinct value: a fixed small
+share of the rows is left, and a hot value is one row. While more than ``ranked`` values
+of a group are left, their own equal-depth cuts narrow them again. Only then are they
+ranked, and the ranks found prove the brackets right; if one is not there, the brackets
+are widened and counted again. The same path serves every size.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tabwright.functions.numbers import nan_to_null
-from tabwright.session import materialise, proven_small
+from tabwright.session import materialise
 
-#: Up to this many rows, all values of a column may share one aggregation buffer.
-BUFFER_ROWS = 250_000
-
-_FAR = 1.7976931348623157e308  # largest double: infinities are binned with it
+GRID = 1_000  # cuts of the sketch
+ACCURACY = 10_000  # the sketch's ranks are off by at most a 10,000th of the rows
 
 
 def _long(df: DataFrame, cols: Sequence[str], by: Sequence[str]) -> DataFrame:
@@ -36,56 +37,55 @@ def _long(df: DataFrame, cols: Sequence[str], by: Sequence[str]) -> DataFrame:
     return rows.where(F.col("x").isNotNull())
 
 
-def _bin(bins: int) -> Column:
-    """Bin number of ``x`` in its bracket; each step is monotone, so bins never cross.
-
-    Halving first keeps the width finite for extreme values.
-    """
-    near = [F.greatest(F.lit(-_FAR), F.least(F.col(c), F.lit(_FAR))) / 2 for c in ("x", "lo", "hi")]
-    share = F.try_divide(near[0] - near[1], near[2] - near[1])
-    return F.coalesce(F.least(F.floor(share * bins), F.lit(bins - 1)), F.lit(0).cast("bigint"))
-
-
 def _ranks(wanted: Column) -> Column:
     """The 0-based ranks the wanted quantiles of ``n`` values stand at, or between."""
     position = F.transform(wanted, lambda q: q * (F.col("n") - 1))
     return F.array_distinct(F.flatten(F.transform(position, lambda p: F.array(F.floor(p), F.ceil(p)))))
 
 
-def _inside(long: DataFrame, brackets: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows whose value lies in a bracket of their own group; brackets of a group never overlap."""
-    b = brackets.select(*[F.col(k).alias(f"_{k}") for k in keys], "n", "lo", "hi", "below")
-    match = (F.col("x") >= F.col("lo")) & (F.col("x") <= F.col("hi"))
-    for k in keys:
-        match = match & F.col(k).eqNullSafe(F.col(f"_{k}"))
-    return long.join(b, match).select(*keys, "x", "n", "lo", "hi", "below")
+def _spans(wanted: Sequence[float], slack: float) -> Column:
+    """Per wanted quantile the two cuts, among ``grid``, that its two ranks surely lie between."""
+    spread = F.lit(slack) * (F.lit(2 / ACCURACY + 1 / GRID) + F.lit(2.0) / F.col("n"))
 
+    def cut(place: Column) -> Column:
+        return F.get("grid", F.greatest(F.lit(0), F.least(F.lit(GRID), place)).cast("int"))
 
-def _holding(cells: DataFrame, keys: Sequence[str], order: str, wanted: Column) -> DataFrame:
-    """From counted cells in order, those that hold a wanted rank, with the ranks they hold."""
-    w = Window.partitionBy(*keys, "lo", "hi").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    placed = cells.withColumn("start", F.col("below") + F.sum("c").over(w) - F.col("c"))
-    held = F.filter(_ranks(wanted), lambda r: (r >= F.col("start")) & (r < F.col("start") + F.col("c")))
-    return placed.withColumn("held", held).where(F.size("held") > 0)
+    return F.array(*[F.struct(cut(F.floor((F.lit(q) - spread) * GRID)).alias("lo"), cut(F.ceil((F.lit(q) + spread) * GRID)).alias("hi")) for q in wanted])
 
 
-def _values_at(
-    long: DataFrame, brackets: DataFrame, keys: Sequence[str], wanted: Column, bins: int, passes: int, hint: Callable
-) -> DataFrame:
-    """``(keys..., n, held, x)``: the wanted ranks and the value that stands there."""
-    # All numbers of fixed width: the aggregate's hash keys stay short.
-    state = [*keys, "n", "lo", "hi", "below"]
-    for _ in range(passes):
-        counted = (
-            _inside(long, hint(brackets), keys)
-            .groupBy(*state, _bin(bins).alias("bin"))
-            .agg(F.count(F.lit(1)).alias("c"), F.min("x").alias("mn"), F.max("x").alias("mx"))
-        )
-        brackets = _holding(counted, keys, "bin", wanted).select(
-            *keys, "n", F.col("mn").alias("lo"), F.col("mx").alias("hi"), F.col("start").alias("below")
-        )
-    counted = _inside(long, hint(brackets), keys).groupBy(*state, "x").agg(F.count(F.lit(1)).alias("c"))
-    return _holding(counted, keys, "x", wanted).select(*keys, "n", "held", "x")
+def _counted(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows inside a span counted per value, the others per stretch between spans; ``at`` puts them in order."""
+    inside = F.exists("spans", lambda s: (F.col("x") >= s["lo"]) & (F.col("x") <= s["hi"]))
+    stretch = F.aggregate("spans", F.lit(0), lambda n, s: n + (s["lo"] <= F.col("x")).cast("int"))
+    cells = rows.select(*keys, "n", "x", F.when(inside, F.col("x")).alias("value"), F.when(~inside, stretch).alias("stretch"))
+    return cells.groupBy(*keys, "n", "value", "stretch").agg(F.count(F.lit(1)).alias("c"), F.min("x").alias("at"))
+
+
+def _ranked(counted: DataFrame, keys: Sequence[str], wanted: Column) -> DataFrame:
+    """The values that hold a wanted rank, with the ranks they hold."""
+    w = Window.partitionBy(*keys).orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
+    placed = counted.withColumn("start", F.sum("c").over(w) - F.col("c"))
+    held = F.filter(_ranks(wanted), lambda r: (r >= F.col("start")) & (r < F.col("start") + F.col("c")))
+    return placed.where(F.col("value").isNotNull()).select(*keys, "n", held.alias("held"), F.col("value").alias("x")).where(F.size("held") > 0)
+
+
+def _narrowed(counted: DataFrame, keys: Sequence[str], wanted: Column) -> DataFrame:
+    """Counted cells once more, with only the values near a wanted rank kept apart."""
+    cuts = counted.groupBy(*keys).agg(_cuts("at").alias("cuts"))
+    same = reduce(Column.__and__, (F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys))
+    cuts = cuts.select(*[F.col(k).alias(f"_{k}") for k in keys], "cuts")
+    part = F.aggregate("cuts", F.lit(0), lambda n, x: n + (x <= F.col("at")).cast("int"))
+    cells = materialise(counted.join(cuts, same).select(*counted.columns, part.alias("part")), "quantile-cells")
+    w = Window.partitionBy(*keys).orderBy("part").rowsBetween(Window.unboundedPreceding, 0)
+    parts = cells.groupBy(*keys, "n", "part").agg(F.sum("c").alias("c")).withColumn("start", F.sum("c").over(w) - F.col("c"))
+    wanted_here = F.exists(_ranks(wanted), lambda r: (r >= F.col("start")) & (r < F.col("start") + F.col("c")))
+    parts = parts.withColumn("near", wanted_here).withColumn("stretch", F.sum(F.col("near").cast("int")).over(w))
+    near = parts.select(*[F.col(k).alias(f"_{k}") for k in keys], F.col("part").alias("_part"), "near", F.col("stretch").alias("_stretch"))
+    marked = cells.join(near, same & (F.col("part") == F.col("_part")))
+    kept = F.col("near") & F.col("value").isNotNull()
+    # What is not kept: between two parts near a rank all is one cell; inside such a part each cell stays its own.
+    gap = F.when(~kept, F.struct("_stretch", F.when(F.col("near"), F.col("at")).alias("at")))
+    return marked.groupBy(*keys, "n", F.when(kept, F.col("value")).alias("value"), gap.alias("gap")).agg(F.sum("c").alias("c"), F.min("at").alias("at")).drop("gap")
 
 
 def quantiles(
@@ -94,49 +94,31 @@ def quantiles(
     qs: Sequence[float],
     by: Sequence[str] = (),
     method: str = "exact",
-    bins: int = 4096,
-    passes: int = 2,
     accuracy: int = 10_000,
+    ranked: int = 200_000,
 ) -> DataFrame:
     """``(by..., variable, n, q, value)``: linear interpolation, missing skipped.
 
-    ``method="exact"`` is lazy and safe at any size. ``"auto"`` first counts the rows and,
-    if they are few enough to fit one buffer, gets the same numbers in a single pass.
-    ``"approx"`` is the one-pass sketch with rank error ``1 / accuracy``.
+    ``method="exact"`` computes now, in two scans of ``df``, and ranks at most ``ranked``
+    values of a group in one task. ``"approx"`` is the lazy one-pass sketch with rank
+    error ``1 / accuracy``.
     """
     qs = [float(q) for q in qs]
     if any(not 0.0 <= q <= 1.0 for q in qs):
         raise ValueError("quantiles must lie in [0, 1]")
+    if method not in ("exact", "approx"):
+        raise ValueError(f"unknown method {method!r}")
     keys = [*by, "variable"]
     long = _long(df, cols, by)
     wanted = F.array(*[F.lit(q) for q in qs])
-    if method == "auto":
-        method = "buffered" if proven_small(df, BUFFER_ROWS) else "exact"
-    if method == "buffered":
-        held = long.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.percentile("x", wanted).alias("_v"))
-        cells = F.explode(F.arrays_zip(wanted.alias("q"), F.col("_v").alias("value")))
-        return held.select(*keys, "n", cells.alias("_c")).select(*keys, "n", "_c.q", "_c.value")
     if method == "approx":
         sketch = long.groupBy(*keys).agg(
             F.count(F.lit(1)).alias("n"), F.percentile_approx("x", qs, accuracy).alias("_v")
         )
         cells = F.explode(F.arrays_zip(wanted.alias("q"), F.col("_v").alias("value")))
         return sketch.select(*keys, "n", cells.alias("_c")).select(*keys, "n", "_c.q", "_c.value")
-    if method != "exact":
-        raise ValueError(f"unknown method {method!r}")
-
-    spans = long.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi")
-    )
-    if by:
-        # The number of groups is data: it is counted before anything is broadcast.
-        spans = materialise(spans, "quantile-groups")
-        hint = F.broadcast if proven_small(spans) else (lambda f: f)
-    else:
-        hint = F.broadcast  # at most len(cols) * 2 * len(qs) rows, by construction
-    first = spans.select(*keys, "n", "lo", "hi", F.lit(0).cast("bigint").alias("below"))
-    found = _values_at(long, first, keys, wanted, bins, passes, hint)
 
+    found = _values_at(long, keys, bool(by), qs, wanted, ranked)
     pairs = F.transform("held", lambda r: F.struct(r.alias("rank"), F.col("x").alias("value")))
     by_rank = found.groupBy(*keys, "n").agg(
         F.map_from_entries(F.flatten(F.collect_list(pairs))).alias("_at")
@@ -148,6 +130,55 @@ def quantiles(
     return by_rank.withColumn("q", F.explode(wanted)).select(*keys, "n", "q", value.alias("value"))
 
 
+def _cuts(column: str) -> Column:
+    places = ",".join(f"{i / GRID}D" for i in range(GRID + 1))
+    return F.expr(f"percentile_approx({column}, array({places}), {ACCURACY})")
+
+
+def _values_at(long: DataFrame, keys: Sequence[str], grouped: bool, qs: Sequence[float], wanted: Column, ranked: int) -> DataFrame:
+    """``(keys..., n, held, x)``: the wanted ranks and the value that stands there."""
+    # Without groups there is a row per column asked for, which the driver may hold; groups stay a table.
+    settle = _held_on_driver if not grouped else lambda df: materialise(df, "quantile-groups")
+    sketch = settle(long.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), _cuts("x").alias("grid")))
+    groups = sketch.count()
+    slack = 1.0
+    while True:
+        spans = sketch.select(*keys, "n", _spans(qs, slack).alias("spans"))
+        if grouped:
+            same = reduce(Column.__and__, (F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys))
+            rows = long.join(spans.select(*[F.col(k).alias(f"_{k}") for k in keys], "n", "spans"), same).select(*keys, "n", "x", "spans")
+        else:
+            rows = long.withColumn("_s", _literal(spans.collect())).select(*keys, "_s.n", "x", "_s.spans")
+        counted = materialise(_counted(rows, keys), "quantile-cells")
+        while _most(counted, keys, ranked) > ranked:
+            counted = materialise(_narrowed(counted, keys, wanted), "quantile-cells")
+        found = settle(_ranked(counted, keys, wanted))
+        proven = found.groupBy(*keys, "n").agg(F.sum(F.size("held")).alias("have")).where(F.col("have") == F.size(_ranks(wanted)))
+        if proven.count() == groups:
+            return found
+        slack *= 20
+
+
+def _held_on_driver(df: DataFrame) -> DataFrame:
+    return df.sparkSession.createDataFrame(df.collect(), df.schema)
+
+
+def _most(counted: DataFrame, keys: Sequence[str], ranked: int) -> int:
+    """The cells of the largest group; all of them, from the file footers, where that is few enough."""
+    total = counted.count()
+    return total if total <= ranked else counted.groupBy(*keys).count().agg(F.max("count")).first()[0]
+
+
+def _literal(rows: list) -> Column:
+    """The spans of the row's variable, from a handful of rows on the driver."""
+    out = F.lit(None)
+    for r in rows:
+        spans = F.array(*[F.struct(F.lit(s["lo"]).alias("lo"), F.lit(s["hi"]).alias("hi")) for s in r["spans"]])
+        out = F.when(F.col("variable") == r["variable"], F.struct(F.lit(r["n"]).alias("n"), spans.alias("spans"))).otherwise(out)
+    kind = "struct<n:bigint,spans:array<struct<lo:double,hi:double>>>"
+    return out.cast(kind)
+
+
 def quantile_row(df: DataFrame, col: str, names: dict[str, float], **options) -> DataFrame:
     """The quantiles of one column as a one-row frame with a column per name."""
     q = quantiles(df, [col], sorted(set(names.values())), **options)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabwright.functions.numbers import flag_equal, nan_to_null
+from tabwright.functions.numbers import flag_equal, missing_as_null, nan_to_null
 from tabwright.operators.quantiles import quantile_point
 
 
@@ -17,17 +17,18 @@ def project(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def filter_ge(df: DataFrame, col: str, bound) -> DataFrame:
-    return df.where(F.col(col) >= bound)
+    """Missing never passes; types without NaN compare as they are, so the filter reaches the scan."""
+    return df.where(missing_as_null(df, col) >= bound)
 
 
 def filter_gt(df: DataFrame, col: str, bound) -> DataFrame:
-    return df.where(F.col(col) > bound)
+    """As ``filter_ge``, strictly."""
+    return df.where(missing_as_null(df, col) > bound)
 
 
 def filter_range(df: DataFrame, col: str, lo: float | Column, hi: float | Column) -> DataFrame:
     """Inclusive at both ends; missing never passes."""
-    x = nan_to_null(col) if _is_fractional(df, col) else F.col(col)
-    return df.where(x.between(lo, hi))
+    return df.where(missing_as_null(df, col).between(lo, hi))
 
 
 def filter_group(df: DataFrame, group: str, value, measure: str) -> DataFrame:
@@ -91,12 +92,13 @@ def drop_duplicates(df: DataFrame, subset: Sequence[str] | None = None) -> DataF
 
 
 def sort_rows(df: DataFrame, by: Sequence[str], descending: bool = False, tiebreak: Sequence[str] = ()) -> DataFrame:
-    """Global order by range partitions.
+    """Global order by range partitions; missing, NaN among it, comes last either way.
 
     ``tiebreak`` (a row key) lets rows that share one sort value spread over several
     partitions, and makes the order total.
     """
-    order = [F.desc(c) if descending else F.asc(c) for c in by]
+    keys = [missing_as_null(df, c) for c in by]
+    order = [k.desc_nulls_last() if descending else k.asc_nulls_last() for k in keys]
     return df.orderBy(*order, *tiebreak)
 
 
@@ -111,8 +113,4 @@ def argmax(df: DataFrame, score: str, order: str) -> DataFrame:
     The search starts at 0.0 and needs a strictly greater score, so a table without
     a positive score yields no row.
     """
-    return df.where(F.col(score) > 0.0).orderBy(F.desc(score), order).limit(1)
-
-
-def _is_fractional(df: DataFrame, col: str) -> bool:
-    return isinstance(df.schema[col].dataType, (T.DoubleType, T.FloatType))
+    return df.where(missing_as_null(df, score) > 0.0).orderBy(F.desc(score), order).limit(1)

@@ -193,22 +193,32 @@ def s10_missing(spark, d):
     return codes.agg(F.count(F.lit(1)).alias("n")).withColumn("rows_passed", n)
 
 
-@query(
-    "S10_landing_stream",
-    """SELECT event_id, event_type, CASE WHEN event_id % 7 <> 0 THEN value END AS value,
-              CASE WHEN event_id % 7 = 0 THEN 'missing' END AS error FROM events""",
-)
+_STREAM_SQL = """SELECT event_id, event_type, CASE WHEN event_id % 7 <> 0 THEN value END AS value,
+              CASE WHEN event_id % 7 = 0 THEN 'missing' END AS error FROM events"""
+
+
+@query("S10_landing_stream", _STREAM_SQL)
 def s10_stream(spark, d):
+    return _streamed(spark, table(spark, d, "events"), landings=1)
+
+
+@query("S10_stream_restart", _STREAM_SQL)
+def s10_restart(spark, d):
+    """Three landings, each followed by a new start with the same checkpoint: every record once."""
+    return _streamed(spark, table(spark, d, "events"), landings=3)
+
+
+def _streamed(spark, events, landings):
     base = scratch_path(spark, "stream")
     value = F.when(F.col("event_id") % 7 != 0, F.col("value"))
     record = F.to_json(F.struct(F.col("event_id").alias("id"), "event_type", value.alias("value")))
-    table(spark, d, "events").select(record.alias("value")).write.text(f"{base}/landing")
     contract = Contract((Field("id", "integer"), Field("event_type", min_length=1), Field("value", "number")))
-    running = landing.start_validation(
-        landing.landing_stream(spark, f"{base}/landing"), contract, f"{base}/valid", f"{base}/errors"
-    )
-    for q in running:
-        q.awaitTermination()
+    for k in range(landings):
+        landed = events.where(F.pmod("event_id", F.lit(landings)) == k)
+        landed.select(record.alias("value")).write.mode("append").text(f"{base}/landing")
+        stream = landing.landing_stream(spark, f"{base}/landing")
+        for q in landing.start_validation(stream, contract, f"{base}/valid", f"{base}/errors", f"{base}/checkpoint"):
+            q.awaitTermination()
     valid = spark.read.schema("id bigint, event_type string, value double").parquet(f"{base}/valid")
     errors = spark.read.schema(
         f"row_key string, row_data string, errors array<{validate.ERROR_TYPE}>"
@@ -314,7 +324,7 @@ def s13(spark, d):
     cleaned = materialise(clean_survey(raw, "status", "price", ["status"], "year", yes="F", status="done"), "cleaned")
     out = report.report_metrics(
         {"read": raw, "cleaned": cleaned},
-        summary.describe(cleaned, ["price", "year"], method="auto"),
+        summary.describe(cleaned, ["price", "year"]),
         hypothesis.interpret_test(hypothesis.welch_t_test(cleaned, "done", ["price", "year"], "Yes", "No")),
         corr=summary.corr_matrix(cleaned, ["price", "year"]),
     )

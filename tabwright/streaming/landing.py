@@ -1,8 +1,9 @@
 """Record contracts on a landing folder as a stream.
 
 A check is stateless, so the batch expressions run unchanged on every micro-batch.
-Valid and rejected rows go to two sinks, each with its own checkpoint under the shared
-folder, so a restarted query neither loses nor repeats a file.
+Valid and rejected rows go to two sinks, each with its own checkpoint below the folder the
+caller names. A restart with that same folder goes on where the last run ended, so it
+neither loses nor repeats a file; sinks and checkpoint belong together.
 """
 
 from __future__ import annotations
@@ -12,7 +13,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tabwright.operators.validate import Contract, check, error_rows, valid_rows
-from tabwright.session import scratch_path
 
 
 def landing_stream(spark: SparkSession, folder: str) -> DataFrame:
@@ -22,21 +22,23 @@ def landing_stream(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def start_validation(
-    stream: DataFrame, contract: Contract, valid_path: str, errors_path: str, key: str = "$.id"
+    stream: DataFrame, contract: Contract, valid_path: str, errors_path: str, checkpoint: str, key: str = "$.id"
 ) -> tuple[StreamingQuery, StreamingQuery]:
-    """Start both sinks on what has landed so far and stop when it is read (``availableNow``)."""
-    spark = stream.sparkSession
+    """Start both sinks on what has landed so far and stop when it is read (``availableNow``).
+
+    ``checkpoint`` is a folder all executors reach, the same on every start for the same sinks.
+    """
     checked = check(stream, contract, variant="v")
     row_key = F.try_variant_get("v", key, "string")
-    sides = ((valid_rows(checked), "parquet", valid_path), (error_rows(checked, row_key), "json", errors_path))
+    sides = (("valid", valid_rows(checked), "parquet", valid_path), ("errors", error_rows(checked, row_key), "json", errors_path))
     return tuple(
         df.writeStream.format(fmt)
         .option("path", path)
-        .option("checkpointLocation", scratch_path(spark, f"stream-{fmt}"))
+        .option("checkpointLocation", f"{checkpoint.rstrip('/')}/{side}")
         .outputMode("append")
         .trigger(availableNow=True)
         .start()
-        for df, fmt, path in sides
+        for side, df, fmt, path in sides
     )
 
 
