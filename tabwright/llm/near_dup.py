@@ -234,8 +234,9 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
     """
     marks = near_duplicates(docs, id_col, text_col, **options).where("doc_id is not null")
     marks = materialise(marks.groupBy(F.col("doc_id").alias("_id")).agg(F.count("*").alias("_times"), F.bool_or("kept").alias("_kept")).where("not _kept or _times > 1"), "marks")
-    joined = docs.join(marks, docs[id_col] == marks["_id"], "left").where(F.coalesce("_kept", F.lit(True)))
+    rows = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"))
+    joined = rows.join(marks, F.col("row")[id_col] == marks["_id"], "left").where(F.coalesce("_kept", F.lit(True)))
     if marks.where("_kept").isEmpty():
-        return joined.drop("_id", "_times", "_kept")
+        return joined.select("row.*")
     once = joined.where("_times > 1").dropDuplicates(["_id"])
-    return joined.where("_times is null").union(once).drop("_id", "_times", "_kept")
+    return joined.where("_times is null").union(once).select("row.*")

@@ -10,6 +10,7 @@ import pandas as pd
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tabwright.llm import bpe, decontaminate, html_text, language, near_dup, quality, secrets, token_counts, top_k, toxicity
 from tabwright.session import materialise
@@ -119,7 +120,7 @@ def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *map(count, ("assign", "access", "hex")), F.sha2(base, 256).alias("base_sha256"), secrets.listed(F.col("spans")).alias("spans"))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _ids_digest(ids: pd.Series) -> pd.Series:
     return ids.map(lambda x: hashlib.sha256(np.asarray(x).astype("<u4").tobytes()).hexdigest())
 

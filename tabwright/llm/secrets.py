@@ -18,7 +18,7 @@ from tabwright.llm.trigrams import Query, query_of
 from tabwright.session import materialise
 
 BITS = 62
-_SAME = F.expr("doc_id <=> _id and mark = _mark")
+_SAME = "doc_id <=> _id and mark = _mark"
 _SPANS = "array<struct<start:bigint,kind_rank:int,kind:string,end:bigint>>"
 
 
@@ -86,16 +86,16 @@ def find_secrets(docs: DataFrame, rules: Sequence[Rule] = BASE_RULES + MORE_RULE
     repeated; other columns are not read; an empty table gives no rows.
     """
     rows = _rows(docs, id_col, text_col)
-    joined = rows.select("doc_id", "mark").join(_found(rows, rules), _SAME, "left")
+    joined = rows.select("doc_id", "mark").join(_found(rows, rules), F.expr(_SAME), "left")
     return joined.select("doc_id", F.coalesce("spans", F.array().cast(_SPANS)).alias("spans"))
 
 
 def redact(docs: DataFrame, rules: Sequence[Rule] = BASE_RULES + MORE_RULES, id_col: str = "doc_id", text_col: str = "text", cover: str = "[secret]") -> DataFrame:
     """``docs``, whole, with every run of text that spans cover replaced by ``cover``; other rows are as they were."""
     found = _found(_rows(docs, id_col, text_col), rules)
-    mark = F.xxhash64(F.coalesce(docs[text_col], F.lit("")))
-    joined = docs.join(found, docs[id_col].eqNullSafe(found["_id"]) & (mark == found["_mark"]), "left")
-    text = docs[text_col]
+    rows = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"))
+    text = F.col("row")[text_col]
+    joined = rows.join(found, F.col("row")[id_col].eqNullSafe(found["_id"]) & (F.xxhash64(F.coalesce(text, F.lit(""))) == found["_mark"]), "left")
     start = F.struct(F.lit("").alias("out"), F.lit(0).cast("bigint").alias("at"))
 
     def add(state: Column, s: Column) -> Column:
@@ -105,8 +105,8 @@ def redact(docs: DataFrame, rules: Sequence[Rule] = BASE_RULES + MORE_RULES, id_
         return F.struct(F.when(new, F.concat(state["out"], between, F.lit(cover))).otherwise(state["out"]).alias("out"), F.greatest(s["end"], state["at"]).alias("at"))
 
     clean = F.aggregate("spans", start, add, lambda s: F.concat(s["out"], F.substr(text, (s["at"] + 1).cast("int"))))
-    columns = [F.when(F.col("spans").isNull(), docs[c]).otherwise(clean).alias(c) if c == text_col else docs[c] for c in docs.columns]
-    return joined.select(*columns)
+    columns = [F.col("row")[c] if c != text_col else F.when(F.col("spans").isNull(), text).otherwise(clean) for c in docs.columns]
+    return joined.select(*(x.alias(c) for x, c in zip(columns, docs.columns, strict=True)))
 
 
 def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -129,7 +129,7 @@ def _found(rows: DataFrame, rules: Sequence[Rule]) -> DataFrame:
         asked = [r for r in rules if not queries[r.kind].scans_all]
         found = F.array_compact(F.array(*(F.when(_meets(queries[r.kind], vocabulary), F.lit(r.kind)) for r in asked)))
         candidates = materialise(held.select(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark"), found.alias("rules")).where("size(rules) > 0"), "candidates")
-        checked = rows.join(candidates, _SAME).select("doc_id", "mark", "text", "rules")
+        checked = rows.join(candidates, F.expr(_SAME)).select("doc_id", "mark", "text", "rules")
         hits += [_matches(checked.where(F.array_contains("rules", r.kind)), r) for r in asked]
     rank = F.element_at(F.create_map(*(F.lit(x) for k, r in enumerate(rules) for x in (r.kind, k))), F.col("kind"))
     every = reduce(DataFrame.union, hits).distinct()
