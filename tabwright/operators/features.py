@@ -16,7 +16,7 @@ from tabwright.functions.hashing import digest
 from tabwright.functions.numbers import nan_to_null
 from tabwright.operators.groups import modes
 from tabwright.operators.quantiles import quantiles
-from tabwright.session import materialise, settle_small
+from tabwright.session import materialise
 
 _WIDE = "decimal(38,0)"  # products of two row counts pass 64 bits
 
@@ -28,6 +28,7 @@ def stratified_split(
     test_share: float = 0.2,
     seed: int = 42,
     digits: int = 4,
+    ranked: int = 100_000,
     name: str = "is_test",
 ) -> DataFrame:
     """Mark an exact share of each class as test rows.
@@ -36,18 +37,17 @@ def stratified_split(
     seats left by rounding go to the largest remainders. Within a class the rows with
     the smallest digests of ``key`` (unique) are taken.
 
-    No class is ever sorted: rows are counted per class and digest prefix, the prefix in
-    which a class's quota falls is found, and only the rows of that one prefix, about
-    n / 16**digits, are ranked to get the last accepted digest. The rows themselves are
-    then marked in place, without a shuffle.
+    Rows without a label are a class like any other. No class is ever sorted: rows are
+    counted per class and digest prefix, and the prefix in which a class's quota falls is
+    found; its rows are narrowed by the next digits in the same way until at most
+    ``ranked`` of a class are left, which are ranked to get the last accepted digest. The
+    rows themselves are then marked in place, without a shuffle.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    ident = F.concat_ws("|", *[F.col(k).cast("string") for k in keys])
+    # Several keys are written so that neither their bounds nor a missing one can be mistaken.
+    ident = F.col(keys[0]).cast("string") if len(keys) == 1 else F.to_json(F.struct(*keys), {"ignoreNullFields": "false"})
     scored = df.select(F.col(label).alias("_y"), digest(ident, seed, "split").alias("_s"), ident.alias("_k"))
-    prefix = F.substring("_s", 1, digits)
-    # At most 16**digits rows per class, used several times below.
-    counts = materialise(scored.groupBy("_y", prefix.alias("_p")).agg(F.count(F.lit(1)).alias("_c")), "split-counts")
-
+    counts = _prefix_counts(scored, 0, digits)
     classes = counts.groupBy("_y").agg(F.sum("_c").alias("_n"))
     everything = classes.agg(F.sum("_n").alias("n")).scalar().cast(_WIDE)
     share = Decimal(str(test_share))
@@ -61,22 +61,19 @@ def stratified_split(
     by_rest = Window.orderBy(F.desc("_rest"), "_y")
     left = F.col("_seats") - F.sum("_floor").over(Window.partitionBy())
     quota = seated.select(
-        "_y", (F.col("_floor") + F.when(F.row_number().over(by_rest) <= left, 1).otherwise(0)).cast("bigint").alias("_q")
-    )
-
-    running = Window.partitionBy("_y").orderBy("_p").rowsBetween(Window.unboundedPreceding, 0)
-    placed = counts.withColumn("_end", F.sum("_c").over(running)).join(quota, "_y")
-    cut = placed.where((F.col("_end") >= F.col("_q")) & (F.col("_end") - F.col("_c") < F.col("_q"))).select(
-        "_y", F.col("_p").alias("_cut"), (F.col("_q") - (F.col("_end") - F.col("_c"))).alias("_take")
-    )
-    cut = settle_small(cut, "split-cut")
-    ranked = (
-        scored.join(cut, "_y")
-        .where(prefix == F.col("_cut"))
-        .withColumn("_rank", F.row_number().over(Window.partitionBy("_y").orderBy("_s", "_k")))
+        "_y", (F.col("_floor") + F.when(F.row_number().over(by_rest) <= left, 1).otherwise(0)).cast("bigint").alias("_take")
     )
-    last = settle_small(
-        ranked.where(F.col("_rank") == F.col("_take")).select(
+    depth = digits
+    cut = _cut(counts, quota)
+    while cut.agg(F.coalesce(F.max("_c"), F.lit(0))).first()[0] > ranked and depth < 32:
+        near = _within(scored, cut, depth)
+        cut = _cut(_prefix_counts(near, depth, digits), cut)
+        depth += digits
+    rank = F.row_number().over(Window.partitionBy("_y").orderBy("_s", "_k"))
+    rows = _within(scored, cut, depth).withColumn("_rank", rank)
+    chosen = rows.join(cut.select(F.col("_y").alias("_y2"), "_take"), F.expr("_y <=> _y2"))
+    last = materialise(
+        chosen.where(F.col("_rank") == F.col("_take")).select(
             F.col("_y").alias("_y_cut"), F.col("_s").alias("_s_cut"), F.col("_k").alias("_k_cut")
         ),
         "split-last",
@@ -84,16 +81,31 @@ def stratified_split(
     s = digest(ident, seed, "split")
     taken = (s < F.col("_s_cut")) | ((s == F.col("_s_cut")) & (ident <= F.col("_k_cut")))
     return (
-        df.join(last, F.col(label) == F.col("_y_cut"), "left")
+        df.join(last, F.col(label).eqNullSafe(F.col("_y_cut")), "left")
         .withColumn(name, F.coalesce(taken, F.lit(False)))
         .drop("_y_cut", "_s_cut", "_k_cut")
     )
 
 
-def approximate_split(df: DataFrame, label: str, test_share: float = 0.2, seed: int = 42) -> DataFrame:
-    """The same with a share that holds on average only: one narrow pass."""
-    draw = F.xxhash64(F.lit(seed), *[F.col(c) for c in df.columns])
-    return df.withColumn("is_test", F.pmod(draw, F.lit(1_000_000)) < int(test_share * 1_000_000))
+def _prefix_counts(scored: DataFrame, start: int, digits: int) -> DataFrame:
+    """Rows per class and digits of the digest: at most 16**digits rows a class."""
+    prefix = F.substring("_s", 1, start + digits)
+    return materialise(scored.groupBy("_y", prefix.alias("_p")).agg(F.count(F.lit(1)).alias("_c")), "split-counts")
+
+
+def _cut(counts: DataFrame, quota: DataFrame) -> DataFrame:
+    """Per class the prefix in which its last seat falls, the seats taken there, and the rows there."""
+    running = Window.partitionBy("_y").orderBy("_p").rowsBetween(Window.unboundedPreceding, 0)
+    wanted = quota.select(F.col("_y").alias("_y2"), "_take")
+    placed = counts.withColumn("_end", F.sum("_c").over(running)).join(wanted, F.expr("_y <=> _y2"))
+    here = placed.where((F.col("_end") >= F.col("_take")) & (F.col("_end") - F.col("_c") < F.col("_take")))
+    return materialise(here.select("_y", F.col("_p").alias("_cut"), (F.col("_take") - (F.col("_end") - F.col("_c"))).alias("_take"), "_c"), "split-cut")
+
+
+def _within(scored: DataFrame, cut: DataFrame, depth: int) -> DataFrame:
+    """Rows of the cut prefixes."""
+    near = cut.select(F.col("_y").alias("_y2"), "_cut")
+    return scored.join(near, F.expr("_y <=> _y2") & (F.substring("_s", 1, depth) == F.col("_cut"))).select("_y", "_s", "_k")
 
 
 @dataclass(frozen=True)
@@ -143,18 +155,20 @@ def fill_stage(fills: dict[str, str], suffix: str = "_filled") -> SQLTransformer
 
 
 def fit_features(
-    train: DataFrame, numeric: Sequence[str], categorical: Sequence[str], output: str = "features"
+    train: DataFrame, numeric: Sequence[str], categorical: Sequence[str], output: str = "features", max_categories: int = 100_000
 ) -> PipelineModel:
     """Numeric columns filled and scaled, text columns filled and one-hot, in one vector.
 
     Categories are in alphabetical order; one unseen in training gives all zeros.
-    Everything is learned from ``train`` alone.
+    Everything is learned from ``train`` alone. The fitted model holds every category, so a
+    column with more than ``max_categories`` is refused.
     """
     stages, inputs = [], []
     if numeric:
         stages.append(numeric_stage(fit_numeric(train, numeric)))
         inputs += [f"{c}_scaled" for c in numeric]
     if categorical:
+        _refuse_many(train, categorical, max_categories)
         fills = modes(train, categorical).first().asDict()
         indexer = StringIndexer(
             inputCols=[f"{c}_filled" for c in categorical],
@@ -172,9 +186,17 @@ def fit_features(
     return Pipeline(stages=stages).fit(train)
 
 
+def _refuse_many(train: DataFrame, cols: Sequence[str], most: int) -> None:
+    cells = F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v")) for c in cols])).alias("_x")
+    sizes = train.select(cells).select("_x.*").distinct().groupBy("c").agg(F.count("v").alias("n"))
+    many = [f"{r['c']} ({r['n']})" for r in sizes.where(F.col("n") > most).collect()]
+    if many:
+        raise ValueError(f"more than {most} categories: {', '.join(sorted(many))}")
+
+
 def balanced_weights(df: DataFrame, label: str, name: str = "weight") -> DataFrame:
-    """Weight n / (classes * n_class) on every row."""
+    """Weight n / (classes * n_class) on every row; rows without a label are a class like any other."""
     sizes = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
     totals = sizes.agg(F.struct(F.sum("_n").alias("n"), F.count(F.lit(1)).alias("k")).alias("t")).scalar()
-    weights = sizes.select(F.col(label), (totals["n"] / (totals["k"] * F.col("_n"))).alias(name))
-    return df.join(settle_small(weights, "weights"), label)
+    weights = materialise(sizes.select(F.col(label).alias("_y"), (totals["n"] / (totals["k"] * F.col("_n"))).alias(name)), "weights")
+    return df.join(weights, F.col(label).eqNullSafe(F.col("_y"))).drop("_y")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tabwright.functions.numbers import nan_to_null
 from tabwright.functions.tails import two_sided_t, upper_f
 from tabwright.operators.quantiles import quantiles
-from tabwright.session import settle_small
+from tabwright.session import materialise
 
 
 def welch_t_test(df: DataFrame, group: str, measures: str | Sequence[str], a, b) -> DataFrame:
@@ -98,7 +98,7 @@ def levene_test(df: DataFrame, group: str, measure: str, center: str = "median")
         centres = quantiles(rows, ["x"], [0.5], by=["g"]).select("g", F.col("value").alias("c"))
     else:
         raise ValueError("center is 'mean' or 'median'")
-    spread = rows.join(settle_small(centres, "levene"), "g").select("g", F.abs(F.col("x") - F.col("c")).alias("z"))
+    spread = rows.join(materialise(centres, "levene"), "g").select("g", F.abs(F.col("x") - F.col("c")).alias("z"))
     return anova_oneway(spread, "g", "z")
 
 

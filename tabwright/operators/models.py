@@ -163,8 +163,9 @@ def compare_and_select(
     for place, name in enumerate(candidates):
         model = builders[name]().fit(ready)
         scored = model.transform(prepared_test)
-        row = binary_scores(scored, label).first()
-        f1 = weighted_f1(scored, label).first()[0]
+        # One pass over the scored rows gives the counts that both scores are made of.
+        cells = scored.groupBy(label, "prediction").count().collect()
+        row, f1 = _scores_of_counts(cells)
         rows.append((place, name, row["accuracy"], row["precision"], row["recall"], row["f1"], f1))
         if row["accuracy"] > best[0]:
             best = (row["accuracy"], name, PipelineModel([*prepare.stages, model]), scored)
@@ -173,6 +174,22 @@ def compare_and_select(
     return Selection(spark.createDataFrame(rows, schema).orderBy(F.desc("accuracy"), "place"), *best[1:])
 
 
+def _scores_of_counts(cells: Sequence) -> tuple[dict[str, float], float]:
+    """Binary scores and the weighted f1 from ``(label, prediction, n)``, a row for each pair that occurs."""
+    counts = {(float(y), float(p)): n for y, p, n in cells}
+    total = sum(counts.values())
+
+    def f1(c: float) -> tuple[float, float, float, int]:
+        hits, said, held = counts.get((c, c), 0), sum(n for (_, p), n in counts.items() if p == c), sum(n for (y, _), n in counts.items() if y == c)
+        return hits / said if said else 0.0, hits / held if held else 0.0, 2 * hits / (said + held) if said + held else 0.0, held
+
+    precision, recall, own, _ = f1(1.0)
+    accuracy = sum(n for (y, p), n in counts.items() if y == p) / total if total else 0.0
+    per_class = [f1(c) for c in sorted({y for y, _ in counts} | {p for _, p in counts})]
+    weighted = sum(s[2] * s[3] for s in per_class) / total if total else 0.0
+    return {"accuracy": accuracy, "precision": precision, "recall": recall, "f1": own}, weighted
+
+
 def save_model(model: PipelineModel, path: str) -> None:
     """The whole chain, preparation included."""
     model.write().overwrite().save(path)

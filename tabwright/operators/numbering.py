@@ -6,36 +6,26 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tabwright.session import settle_small
+from tabwright.session import materialise
 
-_GROUP = 1_000  # buckets per running-sum block
 
+def row_position(df: DataFrame, key: str, name: str = "position") -> DataFrame:
+    """0-based position of each row in the order of a unique ``key`` of any type that sorts.
 
-def row_position(df: DataFrame, key: str, name: str = "position", width: int = 100_000) -> DataFrame:
-    """0-based position of each row by a unique integer ``key``.
-
-    Keys are cut into ranges of ``width``; a range holds at most ``width`` rows because
-    the key is unique. Rows are numbered inside their range and shifted by the number of
-    rows in earlier ranges, itself summed in blocks.
+    The rows are sorted into ranges of even size, whatever the keys' spread, and written
+    with their place in their range; the ranges, one row for each sorting task, are summed
+    up and their starts added.
     """
-    bucket = F.floor(F.col(key) / width).cast("bigint")
-    counts = df.groupBy(bucket.alias("_bucket")).agg(F.count(F.lit(1)).alias("_n"))
-    counts = counts.withColumn("_block", F.floor(F.col("_bucket") / _GROUP).cast("bigint"))
-    blocks = counts.groupBy("_block").agg(F.sum("_n").alias("_block_n"))
-    earlier = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = blocks.select("_block", F.coalesce(F.sum("_block_n").over(earlier), F.lit(0)).alias("_block_at"))
-    within = Window.partitionBy("_block").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = settle_small(
-        counts.withColumn("_in_block", F.coalesce(F.sum("_n").over(within), F.lit(0)))
-        .join(blocks, "_block")
-        .select("_bucket", (F.col("_block_at") + F.col("_in_block")).alias("_start")),
-        "row-position",
-    )
-    local = Window.partitionBy("_bucket").orderBy(key)
-    return (
-        df.withColumn("_bucket", bucket)
-        .withColumn("_local", F.row_number().over(local) - 1)
-        .join(starts, "_bucket")
-        .withColumn(name, F.col("_start") + F.col("_local"))
-        .drop("_bucket", "_local", "_start")
-    )
+    place = F.monotonically_increasing_id()  # the task in the upper bits, the row in the lower 33
+    ranges = materialise(df.orderBy(key).withColumn("_place", place), "row-position")
+    counts = ranges.groupBy(F.shiftright("_place", 33).alias("_range")).agg(F.count(F.lit(1)).alias("_n"))
+    earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select("_range", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_start"))
+    local = F.col("_place").bitwiseAND(F.lit((1 << 33) - 1))
+    joined = ranges.join(F.broadcast(starts), F.shiftright("_place", 33) == F.col("_range"))  # one row per sorting task
+    return joined.withColumn(name, F.col("_start") + local).drop("_place", "_range", "_start")
+
+
+def file_position(df: DataFrame, name: str = "position") -> DataFrame:
+    """0-based position of each row in its file, from a scan of a format that keeps it, as Parquet does."""
+    return df.withColumn(name, F.col("_metadata.row_index"))

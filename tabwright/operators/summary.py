@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tabwright.functions.numbers import nan_to_null
 from tabwright.operators.quantiles import quantiles
 from tabwright.operators.rows import columns_by_type
-from tabwright.session import settle_small
+from tabwright.session import materialise
 
 _QUARTILES = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
 
@@ -84,7 +84,7 @@ def _fences(df: DataFrame, group: str, measure: str) -> tuple[DataFrame, DataFra
     q = _by_name(quantiles(rows, ["x"], list(_QUARTILES.values()), by=[group]), [group, "n"], _QUARTILES)
     reach = (F.col("q75") - F.col("q25")) * 1.5
     fences = q.withColumns({"low_fence": F.col("q25") - reach, "high_fence": F.col("q75") + reach})
-    return rows, settle_small(fences, "box")
+    return rows, materialise(fences, "box")
 
 
 def box_summary(df: DataFrame, group: str, measure: str) -> DataFrame:

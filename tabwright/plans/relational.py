@@ -191,9 +191,13 @@ def f2(spark, d):
     )
 
 
-@query("F11_stamp")
+@query("F11_stamp", "SELECT r_name, true AS well_formed, true AS recent FROM region")
 def f11(spark, d):
-    return table(spark, d, "region").select("r_name", num.stamp().alias("generated_at"))
+    """The stamp itself changes with every run; its form and its age do not."""
+    stamped = table(spark, d, "region").select("r_name", num.stamp().alias("generated_at"))
+    text = F.col("generated_at").cast("string")
+    age = F.abs(F.unix_timestamp(F.current_timestamp()) - F.unix_timestamp(text.cast("timestamp")))
+    return stamped.select("r_name", text.rlike("^\\d{4}-\\d{2}-\\d{2} \\d{2}:\\d{2}:\\d{2}").alias("well_formed"), (age < 3600).alias("recent"))
 
 
 @query(
@@ -383,3 +387,12 @@ def u2(spark, d):
 )
 def w1(spark, d):
     return numbering.row_position(table(spark, d, "events").select("event_id"), "event_id")
+
+
+@query(
+    "W1_hashed_key",
+    "SELECT event_id, md5(event_id::VARCHAR) AS k, row_number() OVER (ORDER BY md5(event_id::VARCHAR)) - 1 AS position FROM events",
+)
+def w1_hashed(spark, d):
+    events = table(spark, d, "events").select("event_id", F.md5(F.col("event_id").cast("string").cast("binary")).alias("k"))
+    return numbering.row_position(events, "k")

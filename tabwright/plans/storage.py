@@ -78,12 +78,19 @@ def s3(spark, d):
     return files.csv_scan(spark, path, df.schema)
 
 
-@query("S4_csv_sink", "SELECT o_orderkey, o_totalprice, o_orderpriority FROM orders")
+@query(
+    "S4_csv_sink",
+    """SELECT o_orderkey, o_totalprice, o_orderpriority, CASE o_orderkey % 5 WHEN 0 THEN '  ' || o_orderstatus || ' ' WHEN 1 THEN ''
+              WHEN 2 THEN 'a "b", c' WHEN 3 THEN NULL ELSE E'one\\ntwo' END AS note FROM orders""",
+)
 def s4(spark, d):
-    df = table(spark, d, "orders").select("o_orderkey", "o_totalprice", "o_orderpriority")
+    """Text with outer blanks, empty and missing text, quotes and line breaks comes back as it was."""
+    kind = F.col("o_orderkey") % 5
+    note = F.when(kind == 0, F.concat(F.lit("  "), "o_orderstatus", F.lit(" "))).when(kind == 1, "").when(kind == 2, 'a "b", c').when(kind == 4, "one\ntwo")
+    df = table(spark, d, "orders").select("o_orderkey", "o_totalprice", "o_orderpriority", note.alias("note"))
     path = scratch_path(spark, "csv")
     files.csv_sink(df, path)
-    return files.csv_scan(spark, path, df.schema)
+    return files.csv_scan(spark, path, df.schema, line_breaks=True)
 
 
 @query("S5_parquet_sink", "SELECT * FROM lineitem")

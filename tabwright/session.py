@@ -1,4 +1,4 @@
-"""Session set-up, shared scratch storage and size-checked broadcasts."""
+"""Session set-up and shared scratch storage."""
 
 from __future__ import annotations
 
@@ -8,8 +8,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: A frame is broadcast only after a count proved it holds at most this many rows.
-BROADCAST_ROWS = 100_000
+#: Scratch paths handed out by this process, by application.
+_WRITTEN: dict[str, list[str]] = {}
 
 
 def local_session(app: str = "tabwright", cores: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
@@ -39,7 +39,7 @@ def shared_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if root:
         return root
-    if not spark.sparkContext.master.startswith("local"):
+    if spark.sparkContext.master.split("[")[0] != "local":
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     root = tempfile.mkdtemp(prefix="tabwright-")
     spark.sparkContext.setCheckpointDir(root)
@@ -48,35 +48,28 @@ def shared_root(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new, unused path under the shared folder."""
-    return f"{shared_root(spark).rstrip('/')}/tabwright-{label}-{uuid.uuid4().hex}"
+    path = f"{shared_root(spark).rstrip('/')}/tabwright-{label}-{uuid.uuid4().hex}"
+    _WRITTEN.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def release_scratch(spark: SparkSession) -> int:
+    """Delete what this process wrote to the shared folder for this application; frames read from it end with it."""
+    paths = _WRITTEN.pop(spark.sparkContext.applicationId, [])
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    for name in paths:
+        path = spark._jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(hadoop).delete(path, True)
+    return len(paths)
 
 
 def materialise(df: DataFrame, label: str = "table") -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     Cuts the lineage reliably and leaves a columnar table, so that later passes
-    read only the columns they use.
+    read only the columns they use, and whose bytes tell the planner whether a join
+    may broadcast it.
     """
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def proven_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Whether a count shows at most ``max_rows`` rows.
-
-    A plain count adds up inside the tasks, and on a written table reads file footers
-    only; a limit would first move ``max_rows`` rows of every partition to one task.
-    """
-    return df.count() <= max_rows
-
-
-def settle_small(df: DataFrame, label: str = "fit", max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Materialise an aggregate once, then hint a broadcast if it proved small.
-
-    For per-group statistics that go back onto the rows: the count reads the
-    written result, so the aggregation itself runs a single time. A frame that is
-    not small joins by shuffle, where adaptive execution splits a hot key.
-    """
-    table = materialise(df, label)
-    return F.broadcast(table) if proven_small(table, max_rows) else table

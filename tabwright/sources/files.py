@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabwright.session import scratch_path, settle_small
+from tabwright.session import materialise, scratch_path
 
 log = logging.getLogger(__name__)
 
@@ -47,23 +47,26 @@ def safe_load(spark: SparkSession, path: str | Sequence[str], schema: T.StructTy
         .groupBy(F.col("_metadata.file_path").alias("_file"))
         .agg(F.count(F.lit(1)).alias("_n"))
     )
-    return rows.join(settle_small(broken, "broken-files"), "_file", "left_anti").select(*schema.names)
+    return rows.join(materialise(broken, "broken-files"), "_file", "left_anti").select(*schema.names)
 
 
 def csv_scan(spark: SparkSession, path: str | Sequence[str], schema=None, line_breaks: bool = False) -> DataFrame:
-    """CSV with a header row; an empty field is missing and a doubled quote is a quote.
+    """CSV with a header row; an empty field is missing, a quoted empty one is "", a doubled quote is a quote.
 
     Without a schema the types are inferred by an extra pass. ``line_breaks`` allows them
     inside quoted fields; such files cannot be split between tasks.
     """
     reader = spark.read.option("header", True).option("escape", '"').option("multiLine", line_breaks)
+    # No text equals this mark, so that only a field without any character reads as missing.
+    reader = reader.option("nullValue", "\u0001").option("emptyValue", "")
     reader = reader.option("enforceSchema", False) if schema is not None else reader.option("inferSchema", True)
     return (reader.schema(schema) if schema is not None else reader).csv(path)
 
 
 def csv_sink(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """Header, no index column, text with quotes and line breaks kept."""
-    df.write.mode(mode).option("header", True).option("escape", '"').csv(path)
+    """Header, no index column; text is kept as it is: quotes, line breaks, outer blanks, and "" apart from missing."""
+    kept = df.write.mode(mode).option("header", True).option("escape", '"').option("emptyValue", '""')
+    kept.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
 
 
 def parquet_scan(spark: SparkSession, path: str | Sequence[str], schema=None) -> DataFrame:
@@ -84,7 +87,7 @@ def _count(df: DataFrame, name: str) -> DataFrame:
 
 
 def write_and_verify(valid: DataFrame, errors: DataFrame, valid_path: str, errors_path: str) -> DataFrame:
-    """Write valid rows as CSV and rejects as JSON, read both back: ``(side, expected, reloaded, ok)``."""
+    """Write valid rows as CSV and rejects as JSON, read both back: ``(side, expected, reloaded, ok)``; ``ok`` compares content."""
     spark = valid.sparkSession
     csv_sink(valid, valid_path)
     reject_sink(errors, errors_path)
@@ -94,12 +97,12 @@ def write_and_verify(valid: DataFrame, errors: DataFrame, valid_path: str, error
         ("error", errors, spark.read.schema(errors.schema).json(errors_path)),
     )
     rows = [
-        _count(given, "expected").select(
-            F.lit(side).alias("side"), "expected", _count(read, "r").scalar().alias("reloaded")
+        _fingerprint(given, "_given", count="expected").select(
+            F.lit(side).alias("side"), "expected", _count(read, "r").scalar().alias("reloaded"), (F.col("_given") == _fingerprint(read).scalar()).alias("ok")
         )
         for side, given, read in sides
     ]
-    return rows[0].unionByName(rows[1]).withColumn("ok", F.col("expected") == F.col("reloaded"))
+    return rows[0].unionByName(rows[1])
 
 
 FORMATS = ("csv", "parquet")

@@ -110,7 +110,7 @@ def test_trim_drops_missing(spark):
 def test_row_position_over_gaps_and_negative_keys(spark):
     keys = [-7, -1, 0, 3, 4, 250, 10**12]
     df = spark.createDataFrame([(k,) for k in reversed(keys)], "k long")
-    got = numbering.row_position(df, "k", width=3).orderBy("k").collect()
+    got = numbering.row_position(df, "k").orderBy("k").collect()
     assert [tuple(r) for r in got] == [(k, i) for i, k in enumerate(keys)]
 
 
