@@ -90,19 +90,28 @@ def _summary(chance: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return out
 
 
-def _telling(docs: list[list[str]], toxic: np.ndarray, least: int, precision: float) -> set[str]:
+def _telling(docs: list[np.ndarray], distinct: list[str], toxic: np.ndarray, least: int, precision: float) -> set[str]:
     """Features that explain the toxic documents: chosen greedily by the documents that still lack two of them."""
-    has = [{f for w in set(d) for f in features(w)} for d in docs]
+
+    def held(d: np.ndarray, among: set[str] | None = None) -> set[str]:
+        found = {f for w in np.unique(d).tolist() for f in features(distinct[w])}
+        return found if among is None else found & among
+
+    places = np.flatnonzero(toxic).tolist()
     good, bad = Counter(), Counter()
-    for h, y in zip(has, toxic, strict=True):
-        (good if y else bad).update(h)
+    for i in places:
+        good.update(held(docs[i]))
+    frequent = {f for f, n in good.items() if n >= least}
+    for i in np.flatnonzero(~toxic).tolist():
+        bad.update(held(docs[i], frequent))
     weight = (~toxic).sum() / max(1, toxic.sum())
-    likely = {f for f, n in good.items() if n >= least and n * weight >= precision * (n * weight + bad[f])}
+    likely = {f for f in frequent if good[f] * weight >= precision * (good[f] * weight + bad[f])}
+    has = {i: held(docs[i], likely) for i in places}
     where: dict[str, list[int]] = {f: [] for f in likely}
-    for i in np.flatnonzero(toxic).tolist():
-        for f in has[i] & likely:
+    for i in places:
+        for f in has[i]:
             where[f].append(i)
-    need = {i: 2 for i in np.flatnonzero(toxic).tolist()}
+    need = dict.fromkeys(places, 2)
     gain, chosen = {f: len(x) for f, x in where.items()}, set()
     while gain:
         best = max(gain, key=lambda f: (gain[f] - weight * bad[f], -len(f), f))
@@ -118,26 +127,27 @@ def _telling(docs: list[list[str]], toxic: np.ndarray, least: int, precision: fl
     return chosen
 
 
-def _windows(docs: list[list[str]], marks: list[np.ndarray], width: int, rng: np.random.Generator) -> tuple[list, list]:
+def _windows(docs: list[np.ndarray], marks: list[np.ndarray], width: int, rng: np.random.Generator) -> tuple[list, list]:
+    """Stretches of ``width`` words: those with marked words, four a document at most, or a random one."""
     texts, tags = [], []
     for d, m in zip(docs, marks, strict=True):
         at = {int(k) // width for k in np.flatnonzero(m)} or {int(rng.integers(0, max(1, -(-len(d) // width))))}
-        for k in sorted(at)[:8]:
+        for k in sorted(at)[:4]:
             texts.append(d[k * width : (k + 1) * width])
             tags.append(m[k * width : (k + 1) * width])
     return texts, tags
 
 
-def _fit_field(docs: list[list[str]], marks: list[np.ndarray], steps: int, seed: int) -> Field:
+def _fit_field(docs: list[np.ndarray], distinct: list[str], marks: list[np.ndarray], steps: int, seed: int) -> Field:
     """Maximise the penalised likelihood of the tags by Adam over all windows."""
     texts, tags = _windows(docs, marks, 32, np.random.default_rng(seed))
     bounds = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
     y = np.concatenate(tags).astype(float)
-    vocabulary, distinct = {}, {}
-    token = np.array([distinct.setdefault(w, len(distinct)) for t in texts for w in t])
-    slots = np.full((len(distinct), 1 + len(PREFIXES)), -1)
-    for w, i in distinct.items():
-        for k, f in enumerate(features(w)):
+    used, token = np.unique(np.concatenate(texts), return_inverse=True)
+    vocabulary: dict[str, int] = {}
+    slots = np.full((len(used), 1 + len(PREFIXES)), -1, np.int32)
+    for i, w in enumerate(used.tolist()):
+        for k, f in enumerate(features(distinct[w])):
             slots[i, k] = vocabulary.setdefault(f, len(vocabulary))
     ids = slots[token]
     inner = np.ones(len(token), bool)
@@ -197,29 +207,29 @@ def _fit_curve(x: np.ndarray, toxic: np.ndarray) -> tuple[float, ...]:
 
 def fit(texts: list[str], toxic: list[int], *, least: int = 4, precision: float = 0.9, steps: int = 80, seed: int = 7) -> Field:
     """Fit on labelled texts. Without both labels, or without any telling feature, the share of toxic texts is the score."""
-    docs = [_RUN.findall(t or "") for t in texts]
+    names: dict[str, int] = {}
+    docs = [np.array([names.setdefault(w, len(names)) for w in _RUN.findall(t or "")], np.int32) for t in texts]
+    distinct = list(names)
     y = np.asarray(toxic, dtype=int) == 1
     share = (y.sum() + 0.5) / (len(y) + 1)
     flat = Field(curve=(float(np.log(share / (1 - share))), 0.0, 0.0, 0.0))
     if y.all() or not y.any():
         return flat
-    chosen = _telling(docs, y, max(least, int(0.002 * y.sum())), precision)
-    marks = []
-    for d, t in zip(docs, y, strict=True):
-        hit = {w for w in set(d) if not chosen.isdisjoint(features(w))} if t else set()
-        marks.append(np.fromiter((w in hit for w in d), bool, len(d)))
-    kept = [i for i, d in enumerate(docs) if d]
+    chosen = _telling(docs, distinct, y, max(least, int(0.002 * y.sum())), precision)
+    hit = np.fromiter((not chosen.isdisjoint(features(w)) for w in distinct), bool, len(distinct))
+    marks = [hit[d] & t for d, t in zip(docs, y, strict=True)]
+    kept = [i for i, d in enumerate(docs) if len(d)]
     if not any(marks[i].any() for i in kept):
         return flat
-    model = _fit_field([docs[i] for i in kept], [marks[i] for i in kept], steps, seed)
+    model = _fit_field([docs[i] for i in kept], distinct, [marks[i] for i in kept], steps, seed)
+    table = np.fromiter(map(model.emission, distinct), float, len(distinct))
     bounds = np.concatenate([[0], np.cumsum([len(d) for d in docs])])
-    known: dict[str, float] = {}
-    scores = np.fromiter((known[w] if w in known else known.setdefault(w, model.emission(w)) for d in docs for w in d), float, int(bounds[-1]))
-    model.curve = _fit_curve(_summary(marginals(scores, bounds, model.transitions), bounds), y.astype(float))
+    chance = marginals(table[np.concatenate(docs)], bounds, model.transitions)
+    model.curve = _fit_curve(_summary(chance, bounds), y.astype(float))
     return model
 
 
-def fit_from_labels(docs: DataFrame, labels: DataFrame, *, per_label: int = 2_000, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", **options) -> Field:
+def fit_from_labels(docs: DataFrame, labels: DataFrame, *, per_label: int = 1_500, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", **options) -> Field:
     """Fit on at most ``per_label`` labelled documents of each label, chosen by a digest of their id.
 
     The bound is what may reach the driver; rows without an id, a text or a label take no part, and equal texts count
@@ -229,8 +239,8 @@ def fit_from_labels(docs: DataFrame, labels: DataFrame, *, per_label: int = 2_00
     picks = [known.where(c).orderBy(F.xxhash64("_id"), "_id").limit(per_label) for c in (F.col("_label") == 1, F.col("_label") != 1)]
     chosen = F.broadcast(picks[0].union(picks[1]))  # at most 2 * per_label short rows
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).join(chosen, "_id").dropna()
-    rows = texts.toPandas().drop_duplicates("_text").sort_values(["_id", "_label"], kind="stable")
-    return fit(rows["_text"].tolist(), rows["_label"].tolist(), **options)
+    rows = texts.dropDuplicates(["_text"]).orderBy("_id", "_label").toArrow()
+    return fit(rows.column("_text").to_pylist(), rows.column("_label").to_pylist(), **options)
 
 
 def score(docs: DataFrame, model: Field, id_col: str = "doc_id", text_col: str = "text", confident: float = 0.5) -> DataFrame:
