@@ -76,6 +76,7 @@ def anova_oneway(df: DataFrame, group: str, measure: str) -> DataFrame:
         .groupBy("g")
         .agg(F.count("x").alias("n"), F.avg("x").alias("m"), F.var_samp("x").alias("v"))
     )
+    per_group = materialise(per_group, "anova")  # a row per group, used twice
     grand = per_group.agg(F.try_divide(F.sum(F.col("n") * F.col("m")), F.sum("n"))).scalar()
     gap = F.col("m") - grand
     total = per_group.agg(

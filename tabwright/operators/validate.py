@@ -383,16 +383,19 @@ def check(df: DataFrame, contract: Contract, variant: str | None = None) -> Data
     columns first, so nothing is evaluated once per use; ``valid`` needs the codes only.
     """
     raw, parsed, judged = {}, {}, {}
+    own = "_"  # no input column begins like the columns added on the way
+    while any(c.startswith(own) for c in df.columns):
+        own += "_"
     values, errors, clean = [], [], []
     for i, field in enumerate(contract.fields):
         cell = _cell(df, field, variant)
         if variant or field.is_list:  # taken out of the document once; a plain column needs no step of its own
-            raw.update({f"_{k}{i}": c for k, c in cell.items()})
-            cell = {k: F.col(f"_{k}{i}") for k in cell}
+            raw.update({f"{own}{k}{i}": c for k, c in cell.items()})
+            cell = {k: F.col(f"{own}{k}{i}") for k in cell}
         data_type = None if variant else _dotted_type(df.schema, field.name) or T.NullType()
-        parsed[f"_parsed{i}"] = _parse(field, cell, data_type)
-        value, code = f"_value{i}", f"_code{i}"
-        judged[value], judged[code] = _judge(field, cell, F.col(f"_parsed{i}"))
+        parsed[f"{own}parsed{i}"] = _parse(field, cell, data_type)
+        value, code = f"{own}value{i}", f"{own}code{i}"
+        judged[value], judged[code] = _judge(field, cell, F.col(f"{own}parsed{i}"))
         name = field.name.replace(".", "_")
         errors.append(_one_error(field, F.lit(field.name), F.col(code), cell["text"]))
         clean.append(F.col(code).isNull())
@@ -403,7 +406,7 @@ def check(df: DataFrame, contract: Contract, variant: str | None = None) -> Data
         else:
             values.append(F.col(value).alias(name))
     if contract.same_length:
-        lists = [f"_value{[f.name for f in contract.fields].index(n)}" for n in contract.same_length]
+        lists = [f"{own}value{[f.name for f in contract.fields].index(n)}" for n in contract.same_length]
         differ = reduce(lambda a, b: a | b, [F.size(c) != F.size(lists[0]) for c in lists[1:]], F.lit(False))
         known = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in lists])
         listed = ", ".join(contract.same_length)

@@ -39,11 +39,12 @@ def c2(spark, d):
     "C3_impute_mode",
     f"""SELECT l_orderkey, l_linenumber, coalesce(l_returnflag, (SELECT l_returnflag FROM {_GAPPY_SQL}
                  WHERE l_returnflag IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1)) AS l_returnflag,
-               l_linestatus FROM {_GAPPY_SQL}""",
+               l_linestatus, coalesce(l_quantity, (SELECT l_quantity FROM {_GAPPY_SQL}
+                 WHERE l_quantity IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1)) AS l_quantity FROM {_GAPPY_SQL}""",
 )
 def c3(spark, d):
-    df = clean.impute_mode(gappy_lineitem(spark, d), ["l_returnflag", "l_linestatus"])
-    return df.select("l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus")
+    df = clean.impute_mode(gappy_lineitem(spark, d), ["l_returnflag", "l_linestatus", "l_quantity"])
+    return df.select("l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus", "l_quantity")
 
 
 _NUMBER_TEXT_SQL = """(SELECT p_partkey, CASE p_partkey % 8

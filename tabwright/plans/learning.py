@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from tabwright.operators import features, models
+from tabwright.operators import features, hypothesis, models, summary
 from tabwright.operators.rows import derive_threshold_flag
 from tabwright.plans.registry import query, table
 from tabwright.session import materialise, scratch_path
+from tabwright.sources import report
 
 # Labels with one in eleven missing: rows without a label are a class like any other.
 _LABELS_SQL = "(SELECT doc_id, CASE WHEN doc_id % 11 <> 0 THEN quality END AS quality FROM labels)"
@@ -224,6 +225,39 @@ def _rounded(df, digits=9):
     return df.withColumns({f.name: F.round(f.name, digits) for f in df.schema.fields if f.dataType.typeName() == "double"})
 
 
+_RULES = {"long": 400, "longer": 4000}
+_RULE_ROWS_SQL = "(" + " UNION ALL ".join(
+    f"SELECT '{name}' AS model, {k} AS place, quality = 1 AS y, n_chars >= {least} AS p FROM labels JOIN documents USING (doc_id)"
+    for k, (name, least) in enumerate(_RULES.items())
+) + ")"
+
+
+@query(
+    "S13_report_models",
+    f"""WITH c AS (SELECT model, place, count(*) FILTER (WHERE y = p) / count(*) AS accuracy,
+                  coalesce(2 * count(*) FILTER (WHERE y AND p) / nullif(count(*) FILTER (WHERE y) + count(*) FILTER (WHERE p), 0), 0) AS f1
+                  FROM {_RULE_ROWS_SQL} GROUP BY 1, 2)
+        SELECT 'models' AS section, 'accuracy' AS metric, model AS "group", round(accuracy, 6) AS value_double, true AS printed FROM c
+        UNION ALL SELECT 'models', 'f1', model, round(f1, 6), true FROM c
+        UNION ALL (SELECT 'chosen', 'accuracy', model, round(accuracy, 6), true FROM c ORDER BY accuracy DESC, place LIMIT 1)""",
+)
+def s13_models(spark, d):
+    """The report's model table and chosen model, for two fixed rules in the place of models."""
+    rows = []
+    for place, (name, least) in enumerate(_RULES.items()):
+        rule = F.when(F.col("n_chars") >= least, 1.0).otherwise(0.0)
+        scored = table(spark, d, "labels").join(table(spark, d, "documents").select("doc_id", rule.alias("prediction")), "doc_id")
+        rows.append(models.binary_scores(scored, "quality").select(F.lit(name).alias("model"), F.lit(place).alias("place"), "accuracy", "f1"))
+    scores = materialise(rows[0].unionByName(rows[1]), "scores")
+    chosen = scores.orderBy(F.desc("accuracy"), "place").first()["model"]
+    labels = table(spark, d, "labels")
+    stats = summary.describe(labels, ["quality"])
+    tests = hypothesis.interpret_test(hypothesis.welch_t_test(labels, "toxic", ["quality"], 1, 0))
+    out = report.report_metrics({"read": labels}, stats, tests, models=scores, chosen=chosen)
+    shown = out.where(F.col("section").isin("models", "chosen"))
+    return shown.select("section", "metric", "group", F.round("value_double", 6).alias("value_double"), F.col("value_string").rlike("^[0-9.]+%?$").alias("printed"))
+
+
 _PER_CLASS_SQL = f"""(SELECT c, count(*) FILTER (WHERE y = c) AS support,
        coalesce(count(*) FILTER (WHERE y = c AND p = c) / nullif(count(*) FILTER (WHERE p = c), 0), 0) AS precision,
        coalesce(count(*) FILTER (WHERE y = c AND p = c) / nullif(count(*) FILTER (WHERE y = c), 0), 0) AS recall,

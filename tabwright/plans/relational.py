@@ -17,9 +17,18 @@ def p1(spark, d):
     return rows.project(table(spark, d, "orders"), ["o_orderkey", "o_custkey", "o_totalprice"])
 
 
-@query("P2_filter_ge", f"SELECT {_ORDERS} FROM orders WHERE o_totalprice >= 250000")
+def _with_gaps(spark, d):
+    """orders whose price is NaN for one key in nine and NULL for one in ten."""
+    price = F.when(F.col("o_orderkey") % 9 == 0, float("nan")).when(F.col("o_orderkey") % 10 != 0, F.col("o_totalprice"))
+    return table(spark, d, "orders").withColumn("o_totalprice", price)
+
+
+_KNOWN = "o_orderkey % 9 <> 0 AND o_orderkey % 10 <> 0"
+
+
+@query("P2_filter_ge", f"SELECT {_ORDERS} FROM orders WHERE o_totalprice >= 250000 AND {_KNOWN}")
 def p2(spark, d):
-    return rows.filter_ge(table(spark, d, "orders"), "o_totalprice", 250000).select(*_ORDERS.split(", "))
+    return rows.filter_ge(_with_gaps(spark, d), "o_totalprice", 250000).select(*_ORDERS.split(", "))
 
 
 @query("P2_filter_gt", "SELECT p_partkey, p_size FROM part WHERE p_size > 25")
@@ -178,7 +187,7 @@ def f8(spark, d):
     """SELECT l_orderkey, l_linenumber,
               round_even(l_extendedprice / 100, 0) AS hundreds,
               100.0::DOUBLE + l_quantity * 3.5::DOUBLE + l_tax * 1000.0::DOUBLE AS score,
-              CASE WHEN l_discount = 0 THEN 1.0::DOUBLE ELSE l_tax / l_discount END AS tax_to_discount
+              CASE WHEN l_linenumber = 3 THEN NULL WHEN l_discount = 0 THEN 1.0::DOUBLE ELSE l_tax / l_discount END AS tax_to_discount
        FROM lineitem""",
 )
 def f2(spark, d):
@@ -187,7 +196,7 @@ def f2(spark, d):
         "l_linenumber",
         num.round_half_even(F.col("l_extendedprice") / 100).alias("hundreds"),
         num.linear_score(100.0, {"l_quantity": 3.5, "l_tax": 1000.0}).alias("score"),
-        num.safe_ratio("l_tax", "l_discount").alias("tax_to_discount"),
+        num.safe_ratio("l_tax", F.when(F.col("l_linenumber") != 3, F.col("l_discount"))).alias("tax_to_discount"),
     )
 
 
@@ -312,8 +321,7 @@ def a8(spark, d):
                 GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1) AS l_quantity""",
 )
 def a12(spark, d):
-    df = gappy_lineitem(spark, d).withColumn("l_quantity", num.nan_to_null("l_quantity"))
-    return groups.modes(df, ["l_returnflag", "l_linestatus", "l_quantity"])
+    return groups.modes(gappy_lineitem(spark, d), ["l_returnflag", "l_linestatus", "l_quantity"])
 
 
 @query(
@@ -327,11 +335,13 @@ def o1(spark, d):
 
 @query(
     "O2_sort_desc",
-    "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey",
+    f"""SELECT o_orderkey, CASE WHEN {_KNOWN} THEN o_totalprice END AS o_totalprice FROM orders
+        ORDER BY o_totalprice DESC NULLS LAST, o_orderkey""",
 )
 def o2(spark, d):
-    df = table(spark, d, "orders").select("o_orderkey", "o_totalprice")
-    return rows.sort_rows(df, ["o_totalprice"], descending=True, tiebreak=["o_orderkey"])
+    df = _with_gaps(spark, d).select("o_orderkey", "o_totalprice")
+    ordered = rows.sort_rows(df, ["o_totalprice"], descending=True, tiebreak=["o_orderkey"])
+    return ordered.withColumn("o_totalprice", num.nan_to_null("o_totalprice"))
 
 
 @query(
@@ -352,10 +362,10 @@ def o4(spark, d):
 
 @query(
     "O5_argmax",
-    "SELECT o_orderkey, o_totalprice FROM orders WHERE o_totalprice > 0 ORDER BY o_totalprice DESC, o_orderkey LIMIT 1",
+    f"SELECT o_orderkey, o_totalprice FROM orders WHERE o_totalprice > 0 AND {_KNOWN} ORDER BY o_totalprice DESC, o_orderkey LIMIT 1",
 )
 def o5(spark, d):
-    return rows.argmax(table(spark, d, "orders"), "o_totalprice", "o_orderkey").select("o_orderkey", "o_totalprice")
+    return rows.argmax(_with_gaps(spark, d), "o_totalprice", "o_orderkey").select("o_orderkey", "o_totalprice")
 
 
 @query(

@@ -104,3 +104,30 @@ def test_regression_recovers_known_weights(spark):
     scored = models.score_and_convert(model, df, rate=1350, unit=10)
     assert scored.agg(F.max(F.abs(F.col("prediction") - F.col("y")))).first()[0] < 0.2
     assert scored.where("a = 0").first()["converted"] == pytest.approx(5 * 135, abs=20)
+
+
+def test_split_counts_rows_without_a_label(spark):
+    df = spark.range(1000).select("id", F.when(F.col("id") % 10 != 0, F.col("id") % 2).alias("y"))
+    out = features.stratified_split(df, "y", "id")
+    got = {r["y"]: (r["n"], r["t"]) for r in out.groupBy("y").agg(F.count("*").alias("n"), F.count_if("is_test").alias("t")).collect()}
+    assert got == {None: (100, 20), 0: (400, 80), 1: (500, 100)}
+    weights = features.balanced_weights(df, "y")
+    assert weights.count() == 1000 and weights.where("y is null").first()["weight"] == pytest.approx(1000 / 300)
+
+
+def test_split_narrows_until_few_are_ranked(spark):
+    df = spark.range(3000).select("id", (F.col("id") % 3).alias("y"))
+    plain = {r["id"] for r in features.stratified_split(df, "y", "id").where("is_test").collect()}
+    narrow = {r["id"] for r in features.stratified_split(df, "y", "id", digits=1, ranked=5).where("is_test").collect()}
+    assert plain == narrow and len(plain) == 600
+
+
+def test_split_keys_do_not_run_together(spark):
+    df = spark.createDataFrame([("a|b", "c", 0), ("a", "b|c", 0), ("a", None, 0), (None, "a", 0)], "k string, j string, y int")
+    assert features.stratified_split(df, "y", ["k", "j"], 0.5).where("is_test").count() == 2
+
+
+def test_many_categories_are_refused(spark):
+    df = spark.range(50).select(F.col("id").cast("string").alias("c"))
+    with pytest.raises(ValueError, match="c \\(50\\)"):
+        features.fit_features(df, [], ["c"], max_categories=49)

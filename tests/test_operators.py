@@ -138,3 +138,13 @@ def test_labels_and_ranges(spark):
     assert [r["c"] for r in merged.collect()] == ["South Korea", "France", None]
     assert [r["k"] for r in clean.group_flag(merged, "c", "South Korea", "k").collect()] == [1, 0, 0]
     assert clean.range_clean(df, "x").count() == 1
+
+
+def test_missing_is_last_never_passes_and_is_no_mode(spark):
+    df = spark.createDataFrame([(1, float("nan")), (2, None), (3, 2.0), (4, 5.0), (5, float("nan"))], "k long, x double")
+    assert [r["k"] for r in rows.sort_rows(df, ["x"], descending=True, tiebreak=["k"]).collect()] == [4, 3, 1, 2, 5]
+    assert [r["k"] for r in rows.filter_ge(df, "x", 1).collect()] == [3, 4] and rows.argmax(df, "x", "k").first()["k"] == 4
+    assert groups.modes(df, ["x"]).first()["x"] == 2.0
+    assert [r["x"] for r in clean.impute_mode(df, ["x"]).orderBy("k").collect()] == [2.0, 2.0, 2.0, 5.0, 2.0]
+    ratios = df.select(num.safe_ratio("x", F.lit(0.0)).alias("z"), num.safe_ratio(F.lit(1.0), "x").alias("r")).where("k = 2").first()
+    assert ratios["z"] is None and ratios["r"] is None

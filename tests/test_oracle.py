@@ -9,8 +9,10 @@ from compare import connect, difference
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 ORACLES = entry.oracle_sql()
-# These fit three classifiers with full-size settings; test_learning covers the same code on small ones.
-SLOW = {"M6_random_forest", "M7_gradient_boosting", "M8_logistic_regression", "M9_batch_predict", "M14_compare_and_select", "M15_save_model"}
+# Fits with full-size settings that M15 repeats; the correctness run covers them.
+SLOW = {"M6_random_forest", "M7_gradient_boosting", "M14_compare_and_select"}
+# The queries on whole texts may run Python in their tasks.
+TEXT = {n for n in entry.queries() if n.startswith("op") or n == "pipeline"}
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no tables")
 
@@ -26,7 +28,16 @@ def test_every_oracle_has_a_query():
 
 @pytest.mark.parametrize("name", [n for n in entry.queries() if n in ORACLES and n not in SLOW])
 def test_agrees_with_sql(spark, con, name):
-    assert difference(spark, con, entry.queries()[name], ORACLES[name], SF_DIR) is None
+    plans = []
+
+    def run(spark, d):
+        df = entry.queries()[name](spark, d)
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return df
+
+    assert difference(spark, con, run, ORACLES[name], SF_DIR) is None
+    assert "CartesianProduct" not in plans[0] and "NestedLoopJoin" not in plans[0]
+    assert name in TEXT or not any(p in plans[0] for p in ("EvalPython", "InArrow", "InPandas"))
 
 
 @pytest.mark.parametrize("name", [n for n in entry.queries() if n not in ORACLES and n not in SLOW])
@@ -45,9 +56,3 @@ def test_scan_reads_only_what_it_needs(spark, name):
     plan = entry.queries()[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
     assert "o_custkey" not in plan.split("ReadSchema:")[1].split("\n")[0]
     assert "CartesianProduct" not in plan and "BatchEvalPython" not in plan
-
-
-def test_no_python_workers_and_no_products(spark):
-    for name in ("V1_valid", "A14_corr_matrix", "S12_synthetic_survey", "M1_stratified_split", "C7_scatter_dataset"):
-        plan = entry.queries()[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
-        assert "EvalPython" not in plan and "CartesianProduct" not in plan, name
