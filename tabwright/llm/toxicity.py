@@ -115,7 +115,7 @@ def _telling(docs: list[np.ndarray], distinct: list[str], toxic: np.ndarray, lea
     gain, chosen = {f: len(x) for f, x in where.items()}, set()
     while gain:
         best = max(gain, key=lambda f: (gain[f] - weight * bad[f], -len(f), f))
-        if gain[best] < least:
+        if gain[best] < max(2, least // 2):  # what copies share has no gain once their telling words are found
             break
         chosen.add(best)
         del gain[best]
