@@ -200,6 +200,17 @@ def s10_missing(spark, d):
     return codes.agg(F.count(F.lit(1)).alias("n")).withColumn("rows_passed", n)
 
 
+@query(
+    "S9_feed_tables",
+    """SELECT t AS "table", f AS format, n AS row_count, true AS same_content
+       FROM (SELECT 'weather' AS t, count(*) AS n FROM events UNION ALL SELECT 'country', least(count(*), 1) FROM nation
+             UNION ALL SELECT 'ip', least(count(*), 1) FROM region), (SELECT unnest(['csv', 'parquet']) AS f)""",
+)
+def s9_feeds(spark, d):
+    """The feed job's own tables, stored in both formats and read back."""
+    return files.multi_format_materialise(feeds.feed_tables(feeds.feed_landing_scan(spark, _land_feeds(spark, d))))
+
+
 _STREAM_SQL = """SELECT event_id, event_type, CASE WHEN event_id % 7 <> 0 THEN value END AS value,
               CASE WHEN event_id % 7 = 0 THEN 'missing' END AS error FROM events"""
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tabwright.functions import variants
-from tabwright.operators import validate
+from tabwright.operators import numbering, validate
 from tabwright.operators.validate import Contract, Field
 from tabwright.plans.registry import query, table
 
@@ -261,6 +261,19 @@ def v4(spark, d):
     )
 
 
+@query(
+    "V4_row_index",
+    f"""WITH placed AS (SELECT c_custkey, row_number() OVER (ORDER BY c_custkey) - 1 AS position FROM customer)
+        SELECT position AS row_key, type AS first_type
+        FROM placed JOIN (SELECT c_custkey, min_by(type, place) AS type FROM {_CUSTOMER_ERRORS_SQL} GROUP BY 1) USING (c_custkey)""",
+)
+def v4_row_index(spark, d):
+    """Rejects keyed by their place in the file, which the scan itself knows."""
+    placed = numbering.file_position(customer_input(spark, d), "position")
+    errors = validate.error_rows(validate.check(placed, CUSTOMER), "position")
+    return errors.select("row_key", F.col("errors")[0]["type"].alias("first_type"))
+
+
 def _two_feeds(spark, d, planted):
     labels = table(spark, d, "labels")
     if planted:

@@ -63,3 +63,15 @@ def weather_report(feeds: dict[str, DataFrame]) -> tuple[DataFrame, DataFrame]:
     wrapped = checked["country"].select(string_or_object(F.col("v"), "$.name", "common", "Korea").alias("country_name"))
     out = attach_scalar(hourly, wrapped)
     return attach_scalar(out, good["ip"].select(F.col("regionName").alias("ip_region"))), rejected
+
+
+def feed_tables(feeds: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The three tables a feed job stores: weather rows, the country with its region, the address's region and country."""
+    country = check(feeds["country"].select(unwrap_first(F.col("v")).alias("v")), COUNTRY, "v").where("valid")
+    name = string_or_object(F.col("v"), "$.name", "common", "Korea")
+    address = check(feeds["ip"], IP, "v").where("valid")
+    return {
+        "weather": weather_report(feeds)[0],
+        "country": country.select(name.alias("country_name"), F.col("record.region").alias("region")),
+        "ip": address.select(F.col("record.regionName").alias("ip_region"), F.col("record.country").alias("country")),
+    }
