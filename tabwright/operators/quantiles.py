@@ -14,9 +14,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
+from math import ceil, floor
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from tabwright.functions.numbers import nan_to_null
@@ -137,10 +139,9 @@ def _cuts(column: str) -> Column:
 
 def _values_at(long: DataFrame, keys: Sequence[str], grouped: bool, qs: Sequence[float], wanted: Column, ranked: int) -> DataFrame:
     """``(keys..., n, held, x)``: the wanted ranks and the value that stands there."""
-    # Without groups there is a row per column asked for, which the driver may hold; groups stay a table.
-    settle = _held_on_driver if not grouped else lambda df: materialise(df, "quantile-groups")
-    sketch = settle(long.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), _cuts("x").alias("grid")))
-    groups = sketch.count()
+    sketch = long.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), _cuts("x").alias("grid"))
+    if grouped:
+        sketch = materialise(sketch, "quantile-groups")
     slack = 1.0
     while True:
         spans = sketch.select(*keys, "n", _spans(qs, slack).alias("spans"))
@@ -148,19 +149,30 @@ def _values_at(long: DataFrame, keys: Sequence[str], grouped: bool, qs: Sequence
             same = reduce(Column.__and__, (F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys))
             rows = long.join(spans.select(*[F.col(k).alias(f"_{k}") for k in keys], "n", "spans"), same).select(*keys, "n", "x", "spans")
         else:
-            rows = long.withColumn("_s", _literal(spans.collect())).select(*keys, "_s.n", "x", "_s.spans")
+            few = spans.collect()  # without groups, a row per column asked for
+            rows = long.withColumn("_s", _literal(few)).select(*keys, "_s.n", "x", "_s.spans")
         counted = materialise(_counted(rows, keys), "quantile-cells")
         while _most(counted, keys, ranked) > ranked:
             counted = materialise(_narrowed(counted, keys, wanted), "quantile-cells")
-        found = settle(_ranked(counted, keys, wanted))
-        proven = found.groupBy(*keys, "n").agg(F.sum(F.size("held")).alias("have")).where(F.col("have") == F.size(_ranks(wanted)))
-        if proven.count() == groups:
-            return found
+        found = _ranked(counted, keys, wanted)
+        if not grouped:
+            held = found.collect()  # two rows per column and quantile at most
+            have = {v: sum(len(r["held"]) for r in held if r["variable"] == v) for v in (r["variable"] for r in few)}
+            need = {r["variable"]: len({f(q * (r["n"] - 1)) for q in qs for f in (floor, ceil)}) for r in few}
+            if have == need:
+                return _rows(long.sparkSession, held, found.schema)
+        else:
+            found = materialise(found, "quantile-values")
+            proven = found.groupBy(*keys, "n").agg(F.sum(F.size("held")).alias("have")).where(F.col("have") == F.size(_ranks(wanted)))
+            if proven.count() == sketch.count():
+                return found
         slack *= 20
 
 
-def _held_on_driver(df: DataFrame) -> DataFrame:
-    return df.sparkSession.createDataFrame(df.collect(), df.schema)
+def _rows(spark: SparkSession, rows: list, schema: T.StructType) -> DataFrame:
+    """A handful of rows as literals in the plan."""
+    cells = F.array(*[F.struct(*[F.lit(r[f.name]).cast(f.dataType).alias(f.name) for f in schema]) for r in rows]).cast(T.ArrayType(schema))
+    return spark.range(1).select(F.inline(cells))
 
 
 def _most(counted: DataFrame, keys: Sequence[str], ranked: int) -> int:
