@@ -114,7 +114,7 @@ def test_sketch_is_close(spark):
     assert as_dict(quantiles(df, ["x"], [0.5], method="approx"))[0.5] == pytest.approx(50_000, abs=50)
 
 
-@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(xs=st.lists(st.floats(-1e6, 1e6, allow_nan=False), min_size=1, max_size=60), q=st.sampled_from([0.0, 0.1, 0.5, 0.9, 1.0]))
 def test_agrees_with_linear_interpolation(spark, xs, q):
     got = as_dict(quantiles(frame(spark, xs), ["x"], [q]))[q]
