@@ -43,7 +43,7 @@ def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield batch.slice(at, ROWS_AT_ONCE)
 
 
-def _sketched(width: int, schema: pa.Schema | None = None):
+def _sketched(width: int):
     """Task: a document's set size, its set's digest, and its smallest hash in every coordinate."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
