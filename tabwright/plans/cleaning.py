@@ -8,7 +8,7 @@ from tabwright.functions import numbers as num
 from tabwright.operators import clean
 from tabwright.plans.registry import query, table
 from tabwright.plans.relational import gappy_lineitem
-from tabwright.plans.statistics import EFFECT_INPUT_SQL, effect_input, rounded
+from tabwright.plans.statistics import EFFECT_INPUT_SQL, effect_input
 
 
 @query(

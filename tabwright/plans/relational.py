@@ -112,6 +112,7 @@ def p11(spark, d):
     return rows.rename(df, {"o_orderkey": "id", "o_orderpriority": "priority", "o_totalprice": "price"})
 
 
+# The symbols of the policy, as in functions/text.py.
 _POLICY_SQL = r"""
 SELECT *, lowercase AND uppercase AND digit AND symbol AND single_line AS all_rules FROM (
   SELECT doc_id,

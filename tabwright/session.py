@@ -6,7 +6,6 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 #: Scratch paths handed out by this process, by application.
 _WRITTEN: dict[str, list[str]] = {}

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tabwright.operators import validate as v
-from tabwright.operators.validate import COUNTRY, IP, WEATHER, Contract, Field
+from tabwright.operators.validate import COUNTRY, Contract, Field
 from tabwright.sources import feeds, files
 from tabwright.streaming import landing
 
