@@ -1,8 +1,10 @@
 import math
+import os
 
 import pytest
 from pyspark.sql import functions as F
 
+from tabwright import session
 from tabwright.functions import numbers as num
 from tabwright.functions.text import follows_policy
 from tabwright.operators import clean, groups, numbering, rows
@@ -148,3 +150,12 @@ def test_missing_is_last_never_passes_and_is_no_mode(spark):
     assert [r["x"] for r in clean.impute_mode(df, ["x"]).orderBy("k").collect()] == [2.0, 2.0, 2.0, 5.0, 2.0]
     ratios = df.select(num.safe_ratio("x", F.lit(0.0)).alias("z"), num.safe_ratio(F.lit(1.0), "x").alias("r")).where("k = 2").first()
     assert ratios["z"] is None and ratios["r"] is None
+
+
+def test_scratch_is_released(spark, monkeypatch):
+    kept = session.materialise(spark.range(3))
+    monkeypatch.setattr(session, "_WRITTEN", {})
+    gone = session.materialise(spark.range(3))
+    folder = gone.inputFiles()[0].rsplit("/", 1)[0].removeprefix("file://")
+    assert os.path.isdir(folder) and session.release_scratch(spark) == 1
+    assert not os.path.exists(folder) and kept.count() == 3
