@@ -3,15 +3,17 @@
 A tokenizer feeds a tree builder that closes what the next tag implies (paragraphs, list items, cells and the like). A
 renderer walks the tree, leaves out what is not shown, and lays out the rest: inline text is collapsed and joined, blocks
 stand on lines of their own with blank lines around paragraphs, headings, lists and tables, list items carry a bullet or
-their number, and the cells of a table are padded to their columns' widths.
+their number, and the cells of a table are padded to their columns' widths, long ones folded.
 """
 
 from __future__ import annotations
 
 import html
 import re
+import textwrap
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -21,6 +23,8 @@ from pyspark.sql import types as T
 from tabwright.llm.shipping import ship
 
 ROWS_AT_ONCE = 500
+TEXT_AT_ONCE = 1 << 26  # characters of text after which a batch is sent
+WIDEST = 200  # the most that a column of a table is padded to
 DEEPEST = 300  # elements beyond this depth become children of the last one within it
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
@@ -252,41 +256,96 @@ def _list_lines(e: Element) -> list[str]:
     return out
 
 
-def _rows_of(e: Element) -> Iterator[Element]:
+def _rows_of(e: Element) -> Iterator[tuple[Element, Element]]:
+    """What stands in a table, each with the row group, or the table, that a rowspan cannot leave."""
     for child in e.children:
         if isinstance(child, str) or _unseen(child):
             continue
         if child.name in _ROWS:
             yield from _rows_of(child)
         else:
-            yield child
+            yield e, child
+
+
+def _folded(line: str) -> list[str]:
+    """A line in pieces of at most ``WIDEST``, cut at blanks only; columns and kept white space stay as they are."""
+    text = line.lstrip(" ")
+    indent = line[: len(line) - len(text)]
+    if len(line) <= WIDEST or "  " in text or "\t" in text:
+        return [line]
+    return [indent + x for x in textwrap.wrap(text, max(WIDEST - len(indent), WIDEST // 2), break_long_words=False, break_on_hyphens=False)]
 
 
 def _table_lines(e: Element) -> list[str]:
+    """Cells start where their column starts, whatever the table's size.
+
+    A cell with another to its right is folded at ``WIDEST``; a line that cannot be folded has the rest of its physical
+    line to itself, and the cells to its right go on below it. So a column is never padded beyond ``WIDEST``. Cells that
+    span rows or columns hold their places; a column in which no cell starts takes no room.
+    """
     out: list[str] = []
-    rows: list[list[list[str]]] = []
-    for row in _rows_of(e):
+    rows: list[dict[int, list[str]]] = []  # a row's cells by the column they start in
+    group, reaching = None, []  # cells of earlier rows: first column, column past them, row past them
+    for within, row in _rows_of(e):
         if row.name != "tr":  # a caption, or what stands in a table without a row
             out += _block_lines(Element("#any", {}, [row]))
             continue
-        cells: list[list[str]] = []
+        if within is not group:
+            group, reaching = within, []
+        reaching = [x for x in reaching if x[2] > len(rows)]
+        cells: dict[int, list[str]] = {}
+        column = passed = 0
+        further = []
         for cell in row.children:
+            across = down = 1
             if isinstance(cell, str):
-                if cell.strip(" \t\n\r\f"):
-                    cells.append([_BLANKS.sub(" ", cell).strip(" ")])
-            elif not _unseen(cell):
-                cells.append([x for x in _block_lines(cell) if x] or [""])
-                cells += [[""]] * (min(100, _number(cell.attributes.get("colspan"), 1)) - 1)
+                lines = [_BLANKS.sub(" ", cell).strip(" ")]
+                if not lines[0]:
+                    continue
+            elif _unseen(cell):
+                continue
+            else:
+                lines = [x for x in _block_lines(cell) if x]
+                across = max(1, _number(cell.attributes.get("colspan"), 1))
+                down = _number(cell.attributes.get("rowspan"), 1)
+            while passed < len(reaching) and reaching[passed][0] <= column:
+                column = max(column, reaching[passed][1])
+                passed += 1
+            cells[column] = lines
+            if down > 1 or down == 0:  # 0: to the end of the row group
+                further.append((column, column + across, len(rows) + down if down else float("inf")))
+            column += across
+        if further:
+            reaching = sorted(reaching + further)
         rows.append(cells)
-    widths = [0] * max(map(len, rows), default=0)
+    place = {c: k for k, c in enumerate(sorted({c for cells in rows for c in cells}))}
+    widths = [0] * len(place)
     for cells in rows:
-        for k, lines in enumerate(cells):
-            widths[k] = max(widths[k], *map(len, lines))
-    if rows and sum(widths) > 100_000 // max(1, len(rows)) and max(widths) > 200:
-        widths = [0] * len(widths)  # a page laid out by one huge table: padding would outgrow the text
+        last = max((c for c, lines in cells.items() if lines), default=0)
+        for c, lines in cells.items():
+            if c < last:
+                cells[c] = lines = [x for line in lines for x in _folded(line)]
+            widths[place[c]] = max(widths[place[c]], *(len(x) for x in lines if len(x) <= WIDEST), 0)
+    starts = [0, *accumulate(w + 2 for w in widths)]
     for cells in rows:
-        for k in range(max(map(len, cells), default=0)):
-            line = "  ".join((lines[k] if k < len(lines) else "").ljust(widths[c]) for c, lines in enumerate(cells))
+        physical: list[list[tuple[int, str]]] = []
+        taken: set[int] = set()  # physical lines that a line too wide for its column has to itself
+        for c, lines in cells.items():
+            k, at, wide = place[c], 0, []
+            for x in lines:
+                while at in taken:
+                    at += 1
+                while len(physical) <= at:
+                    physical.append([])
+                physical[at].append((starts[k], x))
+                if len(x) > widths[k]:
+                    wide.append(at)
+                at += 1
+            taken.update(wide)
+        for pieces in physical:
+            line = ""
+            for start, x in pieces:
+                line = line.ljust(start) + x
             if line.strip(" "):
                 out.append(line.rstrip(" "))
     return out
@@ -311,7 +370,12 @@ def extract(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -
         for batch in batches:
             for at in range(0, batch.num_rows, ROWS_AT_ONCE):
                 part = batch.slice(at, ROWS_AT_ONCE)
-                texts = [visible_text(p or "") for p in part.column("html").to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column("page_id"), pa.array(texts, pa.string())], ["page_id", "text"])
+                texts, held, sent = [], 0, 0
+                for i, page in enumerate(part.column("html")):
+                    texts.append(visible_text(page.as_py() or ""))
+                    held += len(texts[-1])
+                    if held >= TEXT_AT_ONCE or i == part.num_rows - 1:
+                        yield pa.RecordBatch.from_arrays([part.column("page_id").slice(sent, len(texts)), pa.array(texts, pa.string())], ["page_id", "text"])
+                        texts, held, sent = [], 0, i + 1
 
     return plain.mapInArrow(run, T.StructType([plain.schema["page_id"], T.StructField("text", T.StringType())]))

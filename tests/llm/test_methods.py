@@ -315,6 +315,25 @@ def test_broken_markup_keeps_its_text(page):
     assert ("x" in html_text.visible_text(page)) == ("script" not in page)
 
 
+@pytest.mark.parametrize("wide", ["w" * 450, "some words " * 40, "y" * 2000])
+@pytest.mark.parametrize("rows", [2, 400])
+def test_long_tables_with_a_wide_cell_stay_aligned(rows, wide):
+    page = "".join(f"<tr><td>a{i}<td>{wide if i == 1 else 'b'}<td>c{i}<br>second{i}<td>{wide}" for i in range(rows))
+    lines = html_text.visible_text(f"<table>{page}</table>").split("\n")
+    assert len({line.index(f"c{i}") for i in range(rows) for line in lines if re.search(rf"\bc{i}\b", line)}) == 1
+    assert {line.index("second") for line in lines if "second" in line} == {line.index("c0") for line in lines if "c0" in line}
+    assert "".join(" ".join(lines).split()).count("".join(wide.split())[:11]) >= rows + 1 and max(map(len, lines)) < len(wide) + 3 * html_text.WIDEST
+
+
+def test_spanning_cells_hold_their_places():
+    page = "<table><tr><td rowspan=2>a<td>b<td>c<tr><td>d<td>e<tr><td>f<td rowspan=0>g<td>h<tr><td>i<td>j<tbody><tr><td>k<td>l<td>m</table>"
+    assert html_text.visible_text(page) == "a  b  c\n   d  e\nf  g  h\ni     j\nk  l  m"
+    many = "".join(f"<td>{i % 10}" for i in range(151))
+    first, second = html_text.visible_text(f"<table><tr>{many}<tr><td colspan=150>a<td>z</table>").split("\n")
+    assert second.index("z") == len(first) - 1
+    assert html_text.visible_text("<table><tr><td colspan=1000000000 rowspan=1000000000>a<td>b<tr><td>c</table>") == "a  b\n   c"
+
+
 def test_every_operator_has_its_query():
     numbers = sorted(int(re.match(r"op(\d+)_", n)[1]) for n in queries.QUERIES)
     assert numbers == list(range(1, 11)) and {n.split("_")[0] for n in queries.ORACLES} == {"op3", "op6", "op9", "op10"}
