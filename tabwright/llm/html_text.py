@@ -11,7 +11,7 @@ from __future__ import annotations
 import html
 import re
 import textwrap
-from collections.abc import Iterator
+from collections.abc import Generator, Iterator
 from dataclasses import dataclass, field
 from itertools import accumulate
 
@@ -25,7 +25,6 @@ from tabwright.llm.shipping import ship
 ROWS_AT_ONCE = 500
 TEXT_AT_ONCE = 1 << 26  # characters of text after which a batch is sent
 WIDEST = 200  # the most that a column of a table is padded to
-DEEPEST = 300  # elements beyond this depth become children of the last one within it
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
 UNSEEN = frozenset("head script style template noscript iframe object audio video canvas svg math datalist title noembed noframes".split())
@@ -34,6 +33,7 @@ SPACED = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl table pre blockquote hr figure
 # What a start tag ends: the open elements it closes, and the ones that such a search does not leave.
 _PARAGRAPH_ENDS = BLOCK - frozenset("body dd dt html legend li optgroup option summary tbody td tfoot th thead tr".split())
 _CELL = frozenset({"td", "th"})
+_IN_TABLE = _CELL | {"table"}
 _ROWS = frozenset({"thead", "tbody", "tfoot"})
 CLOSES = {
     "li": (frozenset({"li"}), frozenset({"ul", "ol", "menu", "table"})),
@@ -62,24 +62,31 @@ class Element:
     attributes: dict[str, str] = field(default_factory=dict)
     children: list = field(default_factory=list)
 
+Step = Generator["Step", list[str] | None, list[str] | None]
+
 
 def parse(page: str) -> Element:
     """The tree of a page, or of any text; end tags without a start are dropped, open elements end with the page."""
     root = Element("#root")
     stack = [root]
+    places: dict[str, list[int]] = {}  # where in the stack the open elements of a name are
 
     def text(piece: str) -> None:
         if piece:
             stack[-1].children.append(html.unescape(piece) if "&" in piece else piece)
 
+    def highest(names: frozenset) -> int:
+        return max((places[n][-1] for n in names if places.get(n)), default=0)
+
+    def cut(depth: int) -> None:
+        while len(stack) > depth:
+            places[stack.pop().name].pop()
+
     def close_implied(closed: frozenset, kept: frozenset) -> None:
-        for depth in range(len(stack) - 1, 0, -1):
-            if stack[depth].name in kept:
+        while (top := highest(closed)) and top > highest(kept):
+            cut(top)
+            if stack[-1].name not in closed:
                 return
-            if stack[depth].name in closed:
-                del stack[depth:]
-                if stack[-1].name not in closed:
-                    return
 
     at = 0
     while True:
@@ -93,14 +100,11 @@ def parse(page: str) -> Element:
         if not name:
             continue
         if end:
-            if name == "p" and not any(e.name == "p" for e in stack):
+            if name == "p" and not places.get("p"):
                 stack[-1].children.append(Element("p"))
-            for depth in range(len(stack) - 1, 0, -1):
-                if stack[depth].name == name:
-                    del stack[depth:]
-                    break
-                if name not in ("table", "body", "html") and stack[depth].name in ("td", "th", "table"):
-                    break
+            top = places[name][-1] if places.get(name) else 0
+            if top and (name in ("table", "body", "html") or top >= highest(_IN_TABLE)):
+                cut(top)
             continue
         if name in _PARAGRAPH_ENDS:
             close_implied(frozenset({"p"}), _SCOPE)
@@ -118,7 +122,8 @@ def parse(page: str) -> Element:
             element.children.append(html.unescape(inner) if name in ("textarea", "title") else inner)
             past = page.find(">", stop.end()) if stop else -1
             at = past + 1 if past >= 0 else len(page)
-        elif name not in VOID and len(stack) < DEEPEST:
+        elif name not in VOID:
+            places.setdefault(name, []).append(len(stack))
             stack.append(element)
 
 
@@ -171,9 +176,22 @@ class _Layout:
                 self.lines.append(x)
 
 
-def _block_lines(e: Element, kept: bool = False) -> list[str]:
+def _finished(step: Step) -> list[str]:
+    """What a step returns, run with a stack of its own: a step yields the steps it needs, so no depth is too deep."""
+    stack, value = [step], None
+    while stack:
+        try:
+            stack.append(stack[-1].send(value))
+            value = None
+        except StopIteration as done:
+            stack.pop()
+            value = done.value
+    return value
+
+
+def _block_lines(e: Element, kept: bool = False) -> Step:
     layout = _Layout(kept)
-    _render_children(e, layout)
+    yield _render_children(e, layout)
     layout.end()
     while layout.lines and not layout.lines[-1]:
         layout.lines.pop()
@@ -182,15 +200,15 @@ def _block_lines(e: Element, kept: bool = False) -> list[str]:
     return layout.lines
 
 
-def _render_children(e: Element, layout: _Layout) -> None:
+def _render_children(e: Element, layout: _Layout) -> Step:
     for child in e.children:
         if isinstance(child, str):
             layout.text(child)
         elif not _unseen(child):
-            _render(child, layout)
+            yield _render(child, layout)
 
 
-def _render(e: Element, layout: _Layout) -> None:
+def _render(e: Element, layout: _Layout) -> Step:
     name = e.name
     if name == "br":
         layout.end(always=True)
@@ -200,29 +218,29 @@ def _render(e: Element, layout: _Layout) -> None:
         layout.text(e.attributes.get("value", "") if e.attributes.get("type", "text").lower() in ("button", "submit", "reset", "text") else "")
     elif name == "table":
         layout.gap()
-        layout.put(_table_lines(e))
+        layout.put((yield _table_lines(e)))
         layout.gap()
     elif name in ("ul", "ol", "menu"):
         layout.gap() if name != "menu" else layout.end()
-        layout.put(_list_lines(e))
+        layout.put((yield _list_lines(e)))
         layout.gap()
     elif name == "pre" or name == "textarea":
         layout.gap()
         inner = Element(e.name, {}, list(e.children))
         if inner.children and isinstance(inner.children[0], str):
             inner.children[0] = inner.children[0].removeprefix("\n")
-        layout.lines += _block_lines(inner, kept=True)
+        layout.lines += yield _block_lines(inner, kept=True)
         layout.gap()
     elif name == "dd" or name == "blockquote":
         layout.gap() if name in SPACED else layout.end()
-        layout.put(["  " + x if x else x for x in _block_lines(e)])
+        layout.put(["  " + x if x else x for x in (yield _block_lines(e))])
         layout.gap() if name in SPACED else layout.end()
     elif name in BLOCK:
         layout.gap() if name in SPACED else layout.end()
-        _render_children(e, layout)
+        yield _render_children(e, layout)
         layout.gap() if name in SPACED else layout.end()
     else:
-        _render_children(e, layout)
+        yield _render_children(e, layout)
 
 
 def _number(text: str | None, default: int) -> int:
@@ -232,7 +250,7 @@ def _number(text: str | None, default: int) -> int:
         return default
 
 
-def _list_lines(e: Element) -> list[str]:
+def _list_lines(e: Element) -> Step:
     out: list[str] = []
     number = _number(e.attributes.get("start"), 1)
     for child in e.children:
@@ -242,7 +260,7 @@ def _list_lines(e: Element) -> list[str]:
             continue
         if _unseen(child):
             continue
-        lines = [x for x in _block_lines(child if child.name == "li" else Element("#any", {}, [child])) if x]
+        lines = [x for x in (yield _block_lines(child if child.name == "li" else Element("#any", {}, [child]))) if x]
         if child.name != "li":
             out += ["  " + x for x in lines]
             continue
@@ -276,7 +294,7 @@ def _folded(line: str) -> list[str]:
     return [indent + x for x in textwrap.wrap(text, max(WIDEST - len(indent), WIDEST // 2), break_long_words=False, break_on_hyphens=False)]
 
 
-def _table_lines(e: Element) -> list[str]:
+def _table_lines(e: Element) -> Step:
     """Cells start where their column starts, whatever the table's size.
 
     A cell with another to its right is folded at ``WIDEST``; a line that cannot be folded has the rest of its physical
@@ -288,7 +306,7 @@ def _table_lines(e: Element) -> list[str]:
     group, reaching = None, []  # cells of earlier rows: first column, column past them, row past them
     for within, row in _rows_of(e):
         if row.name != "tr":  # a caption, or what stands in a table without a row
-            out += _block_lines(Element("#any", {}, [row]))
+            out += yield _block_lines(Element("#any", {}, [row]))
             continue
         if within is not group:
             group, reaching = within, []
@@ -305,7 +323,7 @@ def _table_lines(e: Element) -> list[str]:
             elif _unseen(cell):
                 continue
             else:
-                lines = [x for x in _block_lines(cell) if x]
+                lines = [x for x in (yield _block_lines(cell)) if x]
                 across = max(1, _number(cell.attributes.get("colspan"), 1))
                 down = _number(cell.attributes.get("rowspan"), 1)
             while passed < len(reaching) and reaching[passed][0] <= column:
@@ -353,14 +371,14 @@ def _table_lines(e: Element) -> list[str]:
 
 def visible_text(page: str) -> str:
     """The page's visible text, laid out."""
-    return "\n".join(_block_lines(parse(page)))
+    return "\n".join(_finished(_block_lines(parse(page))))
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
     """``(page_id, text)`` for every row.
 
     A null or empty page has the text "". Broken markup never fails: unknown or unclosed tags end with the page, stray end
-    tags are dropped. Null ids pass through; repeated rows come out repeated; other columns are not read; an empty table
+    tags are dropped; elements nest as deep as the page has them. Null ids pass through; repeated rows come out repeated; other columns are not read; an empty table
     gives no rows.
     """
     ship(pages.sparkSession)

@@ -334,6 +334,21 @@ def test_spanning_cells_hold_their_places():
     assert html_text.visible_text("<table><tr><td colspan=1000000000 rowspan=1000000000>a<td>b<tr><td>c</table>") == "a  b\n   c"
 
 
+@pytest.mark.parametrize("around", ["<div>", "<span>", "<b><font>", "<blockquote>", "<div><i>", "<table><tr><td>"])
+@pytest.mark.parametrize("hides", ["div hidden", "template", "noscript", "svg"])
+def test_depth_changes_nothing(around, hides):
+    inner = f"<{hides}><div>no<p>no</div>no<b>no</{hides.split()[0]}><table><tr><td>a<td>b<tr><td>long<td>c</table><ol><li>x<li>y</ol>"
+    lines = html_text.visible_text(around * 1000 + inner).split("\n")
+    assert [x.strip() for x in lines if x.strip()] == ["a     b", "long  c", "1. x", "2. y"]
+
+
+def test_a_hidden_ancestor_ends_at_its_own_end_tag():
+    page = "<div hidden>" + "<div>no" * 1000 + "</div>no" * 1000 + "</div>yes"
+    assert html_text.visible_text(page) == "yes"
+    assert html_text.visible_text("<ul><li>x" * 1000).split("\n")[-1] == "  " * 999 + "- x"
+    assert html_text.visible_text("<div><p>" * 100_000 + "deep") == "deep"
+
+
 def test_every_operator_has_its_query():
     numbers = sorted(int(re.match(r"op(\d+)_", n)[1]) for n in queries.QUERIES)
     assert numbers == list(range(1, 11)) and {n.split("_")[0] for n in queries.ORACLES} == {"op3", "op6", "op9", "op10"}
