@@ -1,17 +1,22 @@
 """MinHash near-duplicates by a chosen-path set similarity join.
 
 A document is the set of its distinct word shingles. Documents of equal sets fall into one class first, so copies cost
-one row each. A class then walks down ``trees`` independent trees: at a node it is sent on along two minwise tokens that
-the node chooses (a coordinate and the class's smallest hash there), and so meets only classes that share them. A node
-of few classes is a leaf: its full sets are compared exhaustively. A node that is still large at the last level is
-compared in blocks of bounded size. Each comparison reports a spanning forest of the links it found, never all pairs.
-
-Two sets of similarity s survive a level with chance q = 1 - (1 - s q)**2; at s = 0.8 that stays above 0.93 at any depth,
-so four trees miss a pair with a chance of about 1 in 60,000, and at s = 0.9 of 1 in 40 million.
+one row each. A class then walks down ``trees`` independent trees: at a node it is sent on along two minwise tokens of
+the node's own (a coordinate and the class's smallest hash there), and so meets only classes that share them. A node
+of few classes, at any level, is a leaf: its full sets are compared exhaustively. A node that is still large at the last
+level is compared in blocks of bounded size. Each comparison reports a spanning forest of the links it found, never all
+pairs.
+
+No two places of a tree and no two trees share a coordinate, so a pair's chances multiply. Two sets of similarity s
+meet on some path of d levels with chance q(d) = 1 - (1 - s q(d - 1))**2, q(0) = 1, and four trees miss them with chance
+(1 - q(d))**4: at s = 0.8, 1 in 390,000 if their nodes are leaves at the first level, 1 in 120,000 at the second and 1 in
+81,000 at the third. Before a leaf's sets are read, its pairs are screened on all their smallest hashes, with a bound that
+loses a pair at the wanted similarity with a chance under one in a billion; sets of up to 64 shingles are not screened.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,7 +31,8 @@ from tabwright.llm.components import components
 from tabwright.llm.shipping import ship
 from tabwright.session import materialise
 
-COORDINATES = 32
+SCREEN_LOSS = 1e-9
+UNSCREENED = 64  # sets of so many shingles are short to read, and too short for a screen
 UNIT_SHINGLES = 1_000_000  # about as many shingles as two blocks hold each
 ROWS_AT_ONCE = 2_000
 
@@ -43,22 +49,27 @@ def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield batch.slice(at, ROWS_AT_ONCE)
 
 
-def _sketched(width: int):
+def _per_tree(depth: int) -> int:
+    """Coordinates of a tree: two for the root and for every node above the last level, numbered as in a heap."""
+    return 2 ** (depth + 1) - 2
+
+
+def _sketched(width: int, coordinates: int):
     """Task: a document's set size, its set's digest, and its smallest hash in every coordinate."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        factors = (words.odd_factors(COORDINATES, 77) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
+        factors = (words.odd_factors(coordinates, 77) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
         for batch in _pieces(batches):
             bounds, values, digests = _sets(batch.column("text"), width)
             full = np.diff(bounds) > 0
             low = (values >> np.uint64(32)).astype(np.uint32)
-            mins = np.zeros((batch.num_rows, COORDINATES), np.uint32)
-            for k in range(COORDINATES if full.any() else 0):
+            mins = np.zeros((batch.num_rows, coordinates), np.uint32)
+            for k in range(coordinates if full.any() else 0):
                 spread = (low ^ np.uint32(k * 0x9E3779B1 & 0xFFFFFFFF)) * factors[k]
                 spread ^= spread >> np.uint32(15)
                 spread *= np.uint32(0x2C1B3C6D)
                 mins[full, k] = np.minimum.reduceat(spread, bounds[:-1][full])
-            lists = pa.FixedSizeListArray.from_arrays(pa.array(mins.view(np.int32).ravel()), COORDINATES).cast(pa.list_(pa.int32()))
+            lists = pa.FixedSizeListArray.from_arrays(pa.array(mins.view(np.int32).ravel()), coordinates).cast(pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(np.diff(bounds)), pa.array(digests, pa.binary()), lists],
                 ["doc_id", "n_shingles", "digest", "mins"],
@@ -121,6 +132,37 @@ def _forest(linked: np.ndarray) -> list[tuple[int, int]]:
     return edges
 
 
+def least_shared(coordinates: int, percent: int) -> int:
+    """The most coordinates that two sets of the wanted similarity lack with a chance under ``SCREEN_LOSS``."""
+    p, under, least = percent / 100, 0.0, 0
+    while least < coordinates:
+        under += math.comb(coordinates, least) * p**least * (1 - p) ** (coordinates - least)
+        if under >= SCREEN_LOSS:
+            break
+        least += 1
+    return least
+
+
+def _screened(percent: int):
+    """Task: the classes of a leaf that may be linked to another one there, by sizes and by smallest hashes."""
+
+    def run(table: pa.Table) -> pa.Table:
+        sizes = table.column("n_shingles").to_numpy()
+        marks = table.column("marks").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(len(sizes), -1)
+        shared = np.zeros((len(sizes), len(sizes)), np.int16)
+        for k in range(marks.shape[1]):
+            shared += marks[:, k, None] == marks[None, :, k]
+        small, large = np.minimum(sizes[:, None], sizes), np.maximum(sizes[:, None], sizes)
+        likely = (100 * small >= percent * large) & ((shared >= least_shared(marks.shape[1], percent)) | (small <= UNSCREENED))
+        np.fill_diagonal(likely, False)
+        kept = np.flatnonzero(likely.any(axis=1))
+        left = table.select(["node", "digest"]).take(pa.array(kept))
+        size, total = np.full(len(kept), len(kept)), np.full(len(kept), sizes[kept].sum())
+        return left.append_column("size", pa.array(size, pa.int64())).append_column("total", pa.array(total, pa.int64()))
+
+    return run
+
+
 def _compared(percent: int):
     """Task: a spanning forest of the links among the full sets of one leaf or pair of blocks."""
 
@@ -142,30 +184,33 @@ def _meeting(rows: DataFrame) -> DataFrame:
     return materialise(rows.join(sizes, "node"), "tree")
 
 
-def _branch(node: F.Column, coordinate: F.Column) -> F.Column:
-    return F.xxhash64(node, coordinate, F.get("mins", coordinate))
+def _step(node: F.Column, at: F.Column) -> F.Column:
+    return F.struct(F.xxhash64(node, at, F.get("mins", at)).alias("node"), at.alias("at"))
 
 
-def _leaves(classes: DataFrame, trees: int, depth: int, leaf: int, block: int) -> DataFrame:
+def _leaves(classes: DataFrame, trees: int, depth: int, leaf: int, block: int, percent: int) -> DataFrame:
     """``(unit, digest)``: classes to compare with each other, each unit of bounded size."""
-    first = [F.xxhash64(F.lit(t), F.lit(c), F.col("mins")[c]) for t in range(trees) for c in (2 * t, 2 * t + 1)]
-    rows = _meeting(classes.select(F.explode(F.array(*first)).alias("node"), "digest", "n_shingles"))
+    per_tree = _per_tree(depth)
+    first = [_step(F.lit(0), F.lit(t * per_tree + c)) for t in range(trees) for c in (0, 1)]
+    rows = _meeting(classes.select(F.inline(F.array(*first)), "digest", "n_shingles"))
     units, small = [], (F.col("size") <= leaf) & (F.col("total") <= UNIT_SHINGLES)
-    for _ in range(1, depth):
-        node = F.col("node")
-        one = F.pmod(F.xxhash64(node, F.lit("one")), F.lit(COORDINATES)).cast("int")
-        two = F.pmod(one + 1 + F.pmod(F.xxhash64(node, F.lit("two")), F.lit(COORDINATES - 1)), F.lit(COORDINATES)).cast("int")
-        sent = rows.select("node", "digest", "n_shingles").join(classes.select("digest", "mins"), "digest")
-        rows = _meeting(sent.select(F.explode(F.array(_branch(node, one), _branch(node, two))).alias("node"), "digest", "n_shingles"))
-        units.append(rows.where(small))
+    marks = classes.select("digest", F.transform("mins", lambda x: x.bitwiseAND(127).cast("byte")).alias("marks"))  # enough to tell them apart
+    for level in range(1, depth + 1):
+        leaves = rows.where(small).select("node", "digest", "n_shingles").join(marks, "digest").groupBy("node")
+        units.append(leaves.applyInArrow(_screened(percent), "node long, digest binary, size long, total long"))
         rows = rows.where(~small)
-        if rows.isEmpty():
+        if level == depth:
+            units.append(rows.select("node", "digest", "size", "total"))
+        elif rows.isEmpty():
             break
-    else:
-        units.append(rows)
+        else:
+            sent = rows.select("node", "at", "digest", "n_shingles").join(classes.select("digest", "mins"), "digest")
+            below = F.col("at") + F.pmod(F.col("at"), F.lit(per_tree)) + 2  # the first of the node's two coordinates
+            rows = _meeting(sent.select(F.inline(F.array(_step(F.col("node"), below), _step(F.col("node"), below + 1))), "digest", "n_shingles"))
     nodes = units[0]
     for more in units[1:]:
         nodes = nodes.union(more)
+    nodes = materialise(nodes, "leaves")
     # Several trees often gather the very same classes: compare them once.
     held = nodes.groupBy("node").agg(F.first("size").alias("size"), F.first("total").alias("total"), *(F.bit_xor(F.xxhash64("digest", F.lit(k))).alias(f"x{k}") for k in (0, 1)))
     once = held.groupBy("x0", "x1", "size").agg(F.min("node").alias("node")).select("node")
@@ -201,14 +246,14 @@ def near_duplicates(
     id_type = plain.schema["doc_id"].dataType
     fields = [T.StructField("doc_id", id_type), T.StructField("n_shingles", T.LongType()), T.StructField("digest", T.BinaryType())]
     mins = T.StructField("mins", T.ArrayType(T.IntegerType()))
-    sketches = materialise(plain.mapInArrow(_sketched(width), T.StructType([*fields, mins])), "sketches")
+    sketches = materialise(plain.mapInArrow(_sketched(width, trees * _per_tree(depth)), T.StructType([*fields, mins])), "sketches")
     usable = sketches.where(F.col("digest").isNotNull() & F.col("doc_id").isNotNull())
     owners = materialise(usable.groupBy("digest").agg(F.min("doc_id").alias("owner")), "owners")
     same = (F.col("s.digest") == F.col("o.digest")) & (F.col("s.doc_id") == F.col("o.owner"))
     classes = usable.alias("s").join(owners.alias("o"), same, "left_semi").dropDuplicates(["digest"])
     classes = materialise(classes, "classes")
 
-    units = _leaves(classes, trees, depth, leaf, block)
+    units = _leaves(classes, trees, depth, leaf, block, percent)
     wanted = classes.join(units.select("digest").distinct(), "digest").select("doc_id", "digest")
     texts = plain.join(wanted, "doc_id").select("doc_id", "digest", "text")
     members = T.StructType([fields[0], fields[2], T.StructField("members", T.BinaryType())])

@@ -81,6 +81,39 @@ def test_near_dup_is_exact(spark, copies, limits):
     assert got == want and len(set(want.values())) < len(want)
 
 
+def met(spark, shares, **limits):
+    """Pairs that meet in a unit, of pairs that share the smallest hash in the marked coordinates only."""
+    rows = []
+    for pair, row in enumerate(shares):
+        for side in (0, 1):
+            rows.append((b"%d" % (2 * pair + side), 10, [1000 * pair + c + (0 if same else 500 * side) for c, same in enumerate(row)]))
+    classes = spark.createDataFrame(rows, "digest binary, n_shingles long, mins array<int>")
+    units = near_dup._leaves(classes, 4, 3, percent=80, **limits).dropDuplicates().toArrow().to_pandas()
+    by = units.groupby("unit")["digest"].agg(lambda x: sorted(int(d) for d in x))
+    return {x[0] // 2 for x in by if len(x) == 2 and x[0] // 2 == x[1] // 2}
+
+
+def test_a_small_first_node_is_compared(spark):
+    assert met(spark, [[c == 0 for c in range(64)], [c == 60 for c in range(64)]], leaf=512, block=768) == {0}
+
+
+def test_trees_miss_independently(spark):
+    rng = np.random.default_rng(5)
+    pairs = 4000
+    found = met(spark, (rng.random((pairs, 64)) < 0.5).tolist(), leaf=1, block=768)
+    assert abs((pairs - len(found)) / pairs - 0.4834**4) < 0.012  # 1 - q(3) at s = 0.5, four trees
+
+
+def test_the_screen_drops_only_what_cannot_be_linked():
+    least = near_dup.least_shared(56, 80)
+    assert 15 < least < 30 and near_dup.least_shared(56, 100) == 56
+    rng = np.random.default_rng(2)
+    marks = rng.integers(0, 128, (4, 56)).astype(np.int8)
+    marks[1, :45], marks[3, :45] = marks[0, :45], marks[0, :45]
+    rows = {"node": [1] * 4, "digest": [b"a", b"b", b"c", b"d"], "n_shingles": [1000, 900, 1000, 500], "marks": pa.array(list(marks), pa.list_(pa.int8()))}
+    assert near_dup._screened(80)(pa.table(rows)).to_pylist() == [{"node": 1, "digest": x, "size": 2, "total": 1900} for x in (b"a", b"b")]
+
+
 def test_shared_counts():
     rng = np.random.default_rng(1)
     sets = [np.unique(rng.integers(0, 300, n)).astype(np.uint64) for n in (5, 60, 200, 1, 90)]
