@@ -27,5 +27,12 @@ def row_position(df: DataFrame, key: str, name: str = "position") -> DataFrame:
 
 
 def file_position(df: DataFrame, name: str = "position") -> DataFrame:
-    """0-based position of each row in its file, from a scan of a format that keeps it, as Parquet does."""
-    return df.withColumn(name, F.col("_metadata.row_index"))
+    """0-based position of each row in its table, files by path, from a scan of a format that keeps it, as Parquet does.
+
+    A row's place in its file is added to its file's start, which comes from the files' own row counts.
+    """
+    counts = df.groupBy(F.col("_metadata.file_path").alias("_file")).agg(F.count(F.lit(1)).alias("_n"))
+    earlier = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)  # one row per file
+    starts = counts.select("_file", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_start"))
+    placed = df.withColumns({name: F.col("_metadata.row_index"), "_file": F.col("_metadata.file_path")}).join(starts, "_file")
+    return placed.withColumn(name, F.col("_start") + F.col(name)).drop("_file", "_start")

@@ -159,3 +159,9 @@ def test_scratch_is_released(spark, monkeypatch):
     folder = gone.inputFiles()[0].rsplit("/", 1)[0].removeprefix("file://")
     assert os.path.isdir(folder) and session.release_scratch(spark) == 1
     assert not os.path.exists(folder) and kept.count() == 3
+
+
+def test_file_positions_are_of_the_whole_table(spark, tmp_path):
+    spark.range(90).repartition(3).write.parquet(str(tmp_path / "t"))
+    placed = numbering.file_position(spark.read.parquet(str(tmp_path / "t")))
+    assert sorted(r["position"] for r in placed.collect()) == list(range(90)) and placed.columns == ["id", "position"]
