@@ -55,11 +55,15 @@ def _floors(sample: np.ndarray, sample_ids: np.ndarray, k: int, width: int):
     """Task: a score that each query's k-th best surely reaches, from a sample of all vectors."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        repeated = len(np.unique(sample_ids)) < len(sample_ids)
         for batch in batches:
             ids, vectors = batch.column("vec_id").to_numpy(zero_copy_only=False), _matrix(batch.column("vector"), width)
             floors = np.full(len(ids), np.iinfo(np.int64).min)
             for i, (own, v) in enumerate(zip(ids, vectors, strict=True)):
                 others = _products(sample, v)[sample_ids != own]
+                if repeated:  # an id counts once, by its best vector
+                    order = np.argsort(-others, kind="stable")
+                    others = others[order][np.unique(sample_ids[sample_ids != own][order], return_index=True)[1]]
                 if len(others) >= k:
                     floors[i] = np.partition(others, len(others) - k)[len(others) - k]
             yield pa.RecordBatch.from_arrays([batch.column("vec_id"), pa.array([v.tobytes() for v in vectors], pa.binary()), pa.array(floors)], ["vec_id", "vector", "floor"])
@@ -79,6 +83,8 @@ def _products(vectors: np.ndarray, query: np.ndarray) -> np.ndarray:
 def search_cell(queries: list[tuple[int, np.ndarray, int]], blocks: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]], k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, int]]:
     """Each query's best ``k`` among the blocks that can reach its floor: its id, their ids and scores, blocks visited."""
     high, low = (np.stack([b[x] for b in blocks]) for x in (2, 3))
+    all_ids = np.concatenate([b[0] for b in blocks])
+    repeated = len(np.unique(all_ids)) < len(all_ids)
     safe = all(int(np.abs(b[1]).max(initial=0)) < 1 << 24 for b in blocks)
     wide = [b[1].astype(np.float64) for b in blocks] if safe else None
     for own, query, floor in queries:
@@ -95,7 +101,10 @@ def search_cell(queries: list[tuple[int, np.ndarray, int]], blocks: list[tuple[n
             if not kept.any():
                 continue
             best_ids, best = np.concatenate([best_ids, ids[kept]]), np.concatenate([best, scores[kept]])
-            order = np.lexsort((best_ids, -best))[:k]
+            order = np.lexsort((best_ids, -best))
+            if repeated:  # an id counts once, by its best vector
+                order = order[np.sort(np.unique(best_ids[order], return_index=True)[1])]
+            order = order[:k]
             best_ids, best = best_ids[order], best[order]
             if len(best) == k:
                 least = max(least, int(best[-1]))

@@ -324,6 +324,12 @@ def test_top_k_is_exact(spark, shape):
     assert got == sorted(want)
 
 
+def test_an_id_of_many_vectors_leaves_room_for_others(spark):
+    rows = [(1, [1.0, 1.0])] + [(2, [9.0, 9.0 + i]) for i in range(30)] + [(3 + i, [1.0, 2.0 + i]) for i in range(5)]
+    found = top_k.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") == 1, k=4)
+    assert [r["vec_id"] for r in found.orderBy("rank").collect()] == [2, 7, 6, 5]
+
+
 def test_blocks_below_the_kth_score_are_not_visited():
     near = np.eye(4, dtype=np.int64) * 50
     blocks = [(np.arange(4) + 4 * b, near - 40 * b, (near - 40 * b).max(axis=0), (near - 40 * b).min(axis=0)) for b in range(3)]
