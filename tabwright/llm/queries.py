@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabwright.llm import bpe, decontaminate, html_text, language, near_dup, quality, secrets, token_counts, top_k, toxicity
+from tabwright.llm import bpe, decontaminate, html_text, language, near_dup, quality, secrets, suffix_dedup, token_counts, top_k, toxicity
 from tabwright.session import materialise
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -174,3 +174,21 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op5_html_text")
 def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(_table(spark, sf_dir, "pages"))
+
+
+REPEATS_SQL = """WITH d AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+      pieces AS (SELECT r, p, substr(x, 2 * p + 1, 2446) AS x FROM (SELECT r, x, unnest(range(0, length(x) // 2 - 199, 1024)) AS p FROM d WHERE length(x) >= 400)),
+      heads AS (SELECT r, p + i AS i, md5(substr(x, 2 * i + 1, 400)) AS s FROM (SELECT r, p, x, unnest(range(0, length(x) // 2 - 199)) AS i FROM pieces)),
+      twice AS (SELECT s FROM heads GROUP BY s HAVING count(*) > 1),
+      hit AS (SELECT r, i, i > lag(i, 1, -1000) OVER (PARTITION BY r ORDER BY i) + 200 AS new FROM heads SEMI JOIN twice USING (s)),
+      spans AS (SELECT r, min(i) AS a, max(i) + 200 AS b FROM (SELECT r, i, sum(new::INT) OVER (PARTITION BY r ORDER BY i) AS g FROM hit) GROUP BY r, g),
+      gaps AS (SELECT r, a, b, lag(b, 1, 0) OVER (PARTITION BY r ORDER BY a) AS before FROM spans),
+      cut AS (SELECT r, count(*) AS n_spans, sum(b - a) AS n_removed, max(b) AS last, string_agg(substr(x, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) AS kept FROM gaps JOIN d USING (r) GROUP BY r)
+    SELECT doc_id, (length(x) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+      sha256(unhex(coalesce(kept, '') || substr(x, 2 * coalesce(last, 0) + 1))) AS kept_sha256 FROM d LEFT JOIN cut USING (r)"""
+
+
+@_query("op11_suffix_dedup", REPEATS_SQL)
+def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = suffix_dedup.remove_repeats(_table(spark, sf_dir, "documents"), length=200)
+    return left.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
