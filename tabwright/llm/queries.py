@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabwright.llm import bpe, decontaminate, html_text, language, near_dup, quality, secrets, suffix_dedup, token_counts, top_k, toxicity
+from tabwright.llm import bpe, decontaminate, html_text, language, near_dup, periodic_runs, quality, secrets, suffix_dedup, token_counts, top_k, toxicity, whitening
 from tabwright.session import materialise
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -192,3 +192,34 @@ REPEATS_SQL = """WITH d AS (SELECT row_number() OVER () AS r, doc_id, hex(encode
 def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     left = suffix_dedup.remove_repeats(_table(spark, sf_dir, "documents"), length=200)
     return left.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def _planted(docs: DataFrame) -> DataFrame:
+    """Every tenth document, by its digest, repeats its words from some word on: the contract's own test cases."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.when(h % 10 == 0, F.filter(F.split("text", "[\\x20\\x09-\\x0D]+"), lambda w: w != ""))
+    split = docs.select("doc_id", "text", words.alias("w")).withColumns({"n": F.size("w"), "g": F.floor(h / 10).cast("bigint")})
+    a = F.pmod("g", "n").cast("int")
+    split = split.withColumn("a", F.when(F.col("n") > 0, a)).withColumn("p", (1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8))).cast("int"))
+    times = F.ceil((F.col("n") - F.col("a")) / F.col("p")).cast("int")
+    repeated = F.concat(F.slice("w", F.lit(1), F.col("a")), F.flatten(F.array_repeat(F.slice("w", F.col("a") + 1, F.col("p")), times)))
+    return split.select("doc_id", F.when(F.col("a").isNotNull(), F.array_join(F.slice(repeated, F.lit(1), F.col("n")), " ")).otherwise(F.col("text")).alias("text"))
+
+
+@_query("op12_periodic_runs")
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.find_runs(_planted(_table(spark, sf_dir, "documents")), least=12)
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("back"), (-r["period"]).alias("brief"))))
+    listed = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"), r["period"].cast("string")), F.lit("\n"))), "")
+    rows = found.select("doc_id", F.size("runs").cast("bigint").alias("n_runs"), best.alias("best"), F.sha2(listed, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+    length, period = F.col("best.length"), -F.col("best.brief")
+    return rows.select(
+        "doc_id", "n_runs", (-F.col("best.back")).alias("start"), length.alias("length"), period.alias("period"),
+        F.floor(1000 * length / period).cast("bigint").alias("exponent_milli"), "runs_sha256", "collapsed_sha256",
+    )
+
+
+@_query("op13_whitening")
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    white = whitening.whiten(_table(spark, sf_dir, "embeddings"), components=32, scale=64.0, shift=1_000_000)
+    return white.withColumn("deviation", F.col("deviation").cast("bigint"))

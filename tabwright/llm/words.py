@@ -38,9 +38,9 @@ def as_text(column: pa.Array | pa.ChunkedArray) -> pa.Array:
     return pc.fill_null(column, "").cast(pa.large_string())
 
 
-def words_of(texts: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray]:
+def words_of(texts: pa.Array, lower: bool = True) -> tuple[np.ndarray, pa.Array, np.ndarray]:
     """Bounds of each text's words, the distinct words, and the index of every word among them."""
-    parts = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+    parts = pc.ascii_split_whitespace(pc.ascii_lower(texts) if lower else texts)
     flat, offsets = parts.flatten(), parts.offsets.to_numpy()
     offsets = offsets - offsets[0]
     full = pc.not_equal(flat, "")
