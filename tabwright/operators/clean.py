@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabwright.functions.numbers import clip, missing_as_null, nan_to_null, parse_number
-from tabwright.operators.groups import modes
+from tabwright.operators.frequent import modes
 from tabwright.operators.quantiles import median_point, quantile_row
 from tabwright.operators.rows import derive_binary, drop_duplicates, filter_range, sort_rows
 from tabwright.session import materialise

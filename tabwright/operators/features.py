@@ -14,7 +14,7 @@ from pyspark.sql.window import Window
 
 from tabwright.functions.hashing import digest
 from tabwright.functions.numbers import nan_to_null
-from tabwright.operators.groups import modes
+from tabwright.operators.frequent import modes
 from tabwright.operators.quantiles import quantiles
 from tabwright.session import materialise
 

@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabwright.functions.numbers import missing_as_null, nan_to_null
+from tabwright.functions.numbers import nan_to_null
+from tabwright.operators.frequent import modes  # noqa: F401
 
 
 def exact_money(c: str | Column) -> Column:
@@ -82,33 +83,3 @@ def shapes(steps: dict[str, DataFrame]) -> DataFrame:
 
 def mean_by_group(df: DataFrame, key: str, measure: str, name: str = "mean") -> DataFrame:
     return df.groupBy(key).agg(F.avg(nan_to_null(measure)).alias(name))
-
-
-def modes(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """One row: the most frequent value of each column, the smallest among ties, missing skipped.
-
-    Counts per value first, then takes the best pair; ``F.mode`` would hold every
-    distinct value of a column in one buffer.
-    """
-    by_type: dict[str, list[str]] = {}
-    for c in cols:
-        by_type.setdefault(df.schema[c].dataType.simpleString(), []).append(c)
-    picked = {}
-    for same in by_type.values():
-        cells = F.array(*[F.struct(F.lit(c).alias("variable"), missing_as_null(df, c).alias("value")) for c in same])
-        counted = (
-            df.select(F.explode(cells).alias("_c"))
-            .select("_c.variable", "_c.value")
-            .where(F.col("value").isNotNull())
-            .groupBy("variable", "value")
-            .agg(F.count(F.lit(1)).alias("n"))
-        )
-        best = counted.groupBy("variable").agg(F.min(F.struct((-F.col("n")).alias("rank"), "value")).alias("best"))
-        row = best.agg(
-            F.struct(
-                *[F.max(F.when(F.col("variable") == c, F.col("best.value"))).alias(c) for c in same]
-            ).alias("_row")
-        ).scalar()
-        picked.update({c: row[c] for c in same})
-    one = df.sparkSession.range(1)
-    return one.select(*[picked[c].alias(c) for c in cols])

@@ -311,7 +311,7 @@ def m15(spark, d):
     models.save_model(picked.best_model, path)
     before = picked.best_scored.select("line_key", *_NUMERIC, *_CATEGORICAL, F.col("prediction").alias("before"))
     after = models.batch_predict(models.load_model(path), before)
-    candidates = F.lit(picked.results.count())
+    candidates = F.lit(picked.results.count()).cast("bigint")
     return after.agg(
         F.count(F.lit(1)).alias("scored"), F.count_if(F.col("before") != F.col("prediction")).alias("changed"), candidates.alias("candidates")
     )

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tabwright.functions import numbers as num
 from tabwright.functions.text import is_blank
-from tabwright.operators import audit, groups, numbering, rows
+from tabwright.operators import audit, frequent, groups, numbering, rows
 from tabwright.plans.registry import query, table
 
 _ORDERS = "o_orderkey, o_orderstatus, o_totalprice"
@@ -261,6 +261,16 @@ def a3(spark, d):
     return groups.frequency_rank(table(spark, d, "orders"), "o_orderpriority", "o_orderkey")
 
 
+@query(
+    "A3_top_values",
+    """SELECT l_partkey, n, row_number() OVER (ORDER BY n DESC, l_partkey)::INTEGER AS place
+       FROM (SELECT l_partkey, count(*) AS n FROM lineitem GROUP BY 1) QUALIFY place <= 20""",
+)
+def a3_top(spark, d):
+    """The most frequent parts, by a sketch and an exact recount of its candidates."""
+    return frequent.top_values(table(spark, d, "lineitem"), "l_partkey", 20)
+
+
 @query(
     "A4_collect_by",
     """SELECT o_orderpriority, CAST(o_orderkey // 5000 AS BIGINT) AS piece,
