@@ -1,13 +1,15 @@
 """Exact quantiles without sorting the data or gathering a group in one task.
 
 Spark's ``percentile`` keeps a value-to-count map per group in one buffer, which grows
-with the number of distinct values. Here a sketch of bounded size first cuts each group
-into brackets of equal depth, whatever the distribution. A second pass counts the rows
-between the wanted brackets, and the rows inside them per distinct value: a fixed small
-share of the rows is left, and a hot value is one row. While more than ``ranked`` values
-of a group are left, their own equal-depth cuts narrow them again. Only then are they
-ranked, and the ranks found prove the brackets right; if one is not there, the brackets
-are widened and counted again. The same path serves every size.
+with the number of distinct values. Here a mergeable sketch of bounded size, all columns
+in one aggregate, first gives a bracket around each wanted rank, whatever the
+distribution. A second pass counts the rows between the brackets, and the rows inside
+them per distinct value: a fixed small share of the rows is left, and a hot value is one
+row. Without groups only those rows leave the scan; the others are conditional counts.
+While more than ``ranked`` values of a group are left, their own equal-depth cuts narrow
+them again. Only then are they ranked, and the ranks found prove the brackets right; if
+one is not there, the brackets are widened and counted again. The same path serves every
+size. A kept sketch of the same rows can stand in for the first pass.
 """
 
 from __future__ import annotations
@@ -24,8 +26,12 @@ from pyspark.sql.window import Window
 from tabwright.functions.numbers import nan_to_null
 from tabwright.session import materialise
 
-GRID = 1_000  # cuts of the sketch
-ACCURACY = 10_000  # the sketch's ranks are off by at most a 10,000th of the rows
+GRID = 1_000  # cuts that narrow a group with too many values left
+ACCURACY = 10_000  # their ranks are off by at most a 10,000th of the cells
+DEPTH = 8_192  # size of the first sketch: its ranks are off by a 1,470th of the rows or less in 99 of 100 cases
+#: Half the width of a bracket, as a share of the rows, and the rows from which it is wide enough; the last holds all.
+LEVELS = ((0.0017, 2_000), (0.05, 50), (1.0, 0))
+AT_ONCE = 16  # columns whose stretches are counted in one aggregate
 
 
 def _long(df: DataFrame, cols: Sequence[str], by: Sequence[str]) -> DataFrame:
@@ -45,24 +51,71 @@ def _ranks(wanted: Column) -> Column:
     return F.array_distinct(F.flatten(F.transform(position, lambda p: F.array(F.floor(p), F.ceil(p)))))
 
 
-def _spans(wanted: Sequence[float], slack: float) -> Column:
-    """Per wanted quantile the two cuts, among ``grid``, that its two ranks surely lie between."""
-    spread = F.lit(slack) * (F.lit(2 / ACCURACY + 1 / GRID) + F.lit(2.0) / F.col("n"))
+def sketch_of(x: str | Column) -> Column:
+    return F.kll_sketch_agg_double(x, DEPTH)
 
-    def cut(place: Column) -> Column:
-        return F.get("grid", F.greatest(F.lit(0), F.least(F.lit(GRID), place)).cast("int"))
 
-    return F.array(*[F.struct(cut(F.floor((F.lit(q) - spread) * GRID)).alias("lo"), cut(F.ceil((F.lit(q) + spread) * GRID)).alias("hi")) for q in wanted])
+def sketched(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """``(by..., variable, n, sketch)``: rows that are not missing, and their sketch, of all columns in one aggregate."""
+    aggs = [a.alias(f"{k}{i}") for i, c in enumerate(cols) for k, a in (("_n", F.count(nan_to_null(c))), ("_s", sketch_of(nan_to_null(c))))]
+    cells = F.array(*[F.struct(F.lit(c).alias("variable"), F.col(f"_n{i}").alias("n"), F.col(f"_s{i}").alias("sketch")) for i, c in enumerate(cols)])
+    wide = df.groupBy(*by).agg(*aggs)
+    return wide.select(*by, F.explode(cells).alias("_c")).select(*by, "_c.*").where("n > 0")
 
 
-def _counted(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+def _spans(sketch: DataFrame, keys: Sequence[str], qs: Sequence[float], wider: int) -> DataFrame:
+    """Per wanted quantile the two cuts that its two ranks surely lie between, or ``wider`` ones."""
+    places = [min(max(q + side * level, 0.0), 1.0) for q in qs for level, _ in LEVELS for side in (-1, 1)]
+    cuts = sketch.select(*keys, "n", F.kll_sketch_get_quantile_double("sketch", F.array(*map(F.lit, places))).alias("cuts"))
+    level = F.lit(len(LEVELS) - 1)
+    for i, (_, least) in reversed(list(enumerate(LEVELS))):
+        level = F.when(F.col("n") >= least, i).otherwise(level)
+    level = F.least(level + wider, F.lit(len(LEVELS) - 1))
+
+    def cut(i: int, side: int) -> Column:
+        return F.get("cuts", F.lit(2 * len(LEVELS) * i + side) + 2 * level)
+
+    return cuts.select(*keys, "n", F.array(*[F.struct(cut(i, 0).alias("lo"), cut(i, 1).alias("hi")) for i in range(len(qs))]).alias("spans"))
+
+
+def _counted(rows: DataFrame, keys: Sequence[str], spans: int) -> DataFrame:
     """Rows inside a span counted per value, the others per stretch between spans; ``at`` puts them in order."""
-    inside = F.exists("spans", lambda s: (F.col("x") >= s["lo"]) & (F.col("x") <= s["hi"]))
-    stretch = F.aggregate("spans", F.lit(0), lambda n, s: n + (s["lo"] <= F.col("x")).cast("int"))
+    edges = [(F.col("spans")[i]["lo"], F.col("spans")[i]["hi"]) for i in range(spans)]
+    inside = reduce(Column.__or__, ((F.col("x") >= lo) & (F.col("x") <= hi) for lo, hi in edges), F.lit(False))
+    stretch = sum(((lo <= F.col("x")).cast("int") for lo, _ in edges), F.lit(0))
     cells = rows.select(*keys, "n", "x", F.when(inside, F.col("x")).alias("value"), F.when(~inside, stretch).alias("stretch"))
     return cells.groupBy(*keys, "n", "value", "stretch").agg(F.count(F.lit(1)).alias("c"), F.min("x").alias("at"))
 
 
+def _counted_wide(df: DataFrame, few: Sequence) -> DataFrame:
+    """The same without groups, from spans on the driver: conditional counts, and an explode of the values inside."""
+    counts, cells = [], []
+    for k in range(0, len(few), AT_ONCE):
+        aggs = []
+        for i, r in enumerate(few[k : k + AT_ONCE]):
+            x, spans = nan_to_null(r["variable"]), sorted((s["lo"], s["hi"]) for s in r["spans"])
+            for t in range(len(spans) + 1):
+                above = max((hi for _, hi in spans[:t]), default=None)
+                if above is not None and t < len(spans) and above >= spans[t][0]:
+                    continue
+                outside = [*([] if above is None else [x > above]), *([x < spans[t][0]] if t < len(spans) else [])]
+                here = reduce(Column.__and__, outside)
+                aggs += [F.count_if(here).alias(f"c{i}_{t}"), F.min(F.when(here, x)).alias(f"at{i}_{t}")]
+            inside = reduce(Column.__or__, (x.between(lo, hi) for lo, hi in spans))
+            cells.append(F.when(inside, F.struct(F.lit(r["variable"]).alias("variable"), F.lit(r["n"]).alias("n"), x.alias("value"))))
+        row = df.agg(*aggs).first().asDict()
+        for i, r in enumerate(few[k : k + AT_ONCE]):
+            for t in range(len(r["spans"]) + 1):
+                if row.get(f"c{i}_{t}"):
+                    counts.append((r["variable"], r["n"], None, t, row[f"c{i}_{t}"], row[f"at{i}_{t}"]))
+    near = df.where(reduce(Column.__or__, (c.isNotNull() for c in cells))) if cells else df
+    exploded = near.select(F.explode(F.array(*cells) if cells else F.expr("array(cast(null as struct<variable:string,n:bigint,value:double>))")).alias("_c"))
+    held = exploded.where("_c is not null").select("_c.*").groupBy("variable", "n", "value").agg(F.count(F.lit(1)).alias("c"))
+    held = held.select("variable", "n", "value", F.lit(None).cast("int").alias("stretch"), "c", F.col("value").alias("at"))
+    schema = "variable string, n bigint, value double, stretch int, c bigint, at double"
+    return held.unionByName(df.sparkSession.createDataFrame(counts, schema))
+
+
 def _ranked(counted: DataFrame, keys: Sequence[str], wanted: Column) -> DataFrame:
     """The values that hold a wanted rank, with the ranks they hold."""
     w = Window.partitionBy(*keys).orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
@@ -98,12 +151,14 @@ def quantiles(
     method: str = "exact",
     accuracy: int = 10_000,
     ranked: int = 200_000,
+    first_cut: DataFrame | None = None,
 ) -> DataFrame:
     """``(by..., variable, n, q, value)``: linear interpolation, missing skipped.
 
-    ``method="exact"`` computes now, in two scans of ``df``, and ranks at most ``ranked``
-    values of a group in one task. ``"approx"`` is the lazy one-pass sketch with rank
-    error ``1 / accuracy``.
+    ``method="exact"`` computes now and ranks at most ``ranked`` values of a group in one
+    task. Its first scan is spared if ``first_cut`` holds the kept ``(by..., variable, n,
+    sketch)`` of exactly these rows, as ``sketched`` gives them. ``"approx"`` is the lazy
+    one-pass sketch with rank error ``1 / accuracy``.
     """
     qs = [float(q) for q in qs]
     if any(not 0.0 <= q <= 1.0 for q in qs):
@@ -120,7 +175,7 @@ def quantiles(
         cells = F.explode(F.arrays_zip(wanted.alias("q"), F.col("_v").alias("value")))
         return sketch.select(*keys, "n", cells.alias("_c")).select(*keys, "n", "_c.q", "_c.value")
 
-    found = _values_at(long, keys, bool(by), qs, wanted, ranked)
+    found = _values_at(df, long, cols, by, qs, wanted, ranked, first_cut)
     pairs = F.transform("held", lambda r: F.struct(r.alias("rank"), F.col("x").alias("value")))
     by_rank = found.groupBy(*keys, "n").agg(
         F.map_from_entries(F.flatten(F.collect_list(pairs))).alias("_at")
@@ -137,36 +192,38 @@ def _cuts(column: str) -> Column:
     return F.expr(f"percentile_approx({column}, array({places}), {ACCURACY})")
 
 
-def _values_at(long: DataFrame, keys: Sequence[str], grouped: bool, qs: Sequence[float], wanted: Column, ranked: int) -> DataFrame:
+def _values_at(
+    df: DataFrame, long: DataFrame, cols: Sequence[str], by: Sequence[str], qs: Sequence[float], wanted: Column, ranked: int, first_cut: DataFrame | None
+) -> DataFrame:
     """``(keys..., n, held, x)``: the wanted ranks and the value that stands there."""
-    sketch = long.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), _cuts("x").alias("grid"))
-    if grouped:
+    keys = [*by, "variable"]
+    sketch = sketched(df, cols, by) if first_cut is None else first_cut.where((F.col("n") > 0) & F.col("variable").isin(*cols)).select(*keys, "n", "sketch")
+    if first_cut is None:
         sketch = materialise(sketch, "quantile-groups")
-    slack = 1.0
-    while True:
-        spans = sketch.select(*keys, "n", _spans(qs, slack).alias("spans"))
-        if grouped:
+    for wider in range(len(LEVELS)):
+        spans = _spans(sketch, keys, qs, wider)
+        if by:
             same = reduce(Column.__and__, (F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys))
             rows = long.join(spans.select(*[F.col(k).alias(f"_{k}") for k in keys], "n", "spans"), same).select(*keys, "n", "x", "spans")
+            counted = materialise(_counted(rows, keys, len(qs)), "quantile-cells")
         else:
             few = spans.collect()  # without groups, a row per column asked for
-            rows = long.withColumn("_s", _literal(few)).select(*keys, "_s.n", "x", "_s.spans")
-        counted = materialise(_counted(rows, keys), "quantile-cells")
+            counted = materialise(_counted_wide(df, few), "quantile-cells")
         while _most(counted, keys, ranked) > ranked:
             counted = materialise(_narrowed(counted, keys, wanted), "quantile-cells")
         found = _ranked(counted, keys, wanted)
-        if not grouped:
+        if not by:
             held = found.collect()  # two rows per column and quantile at most
             have = {v: sum(len(r["held"]) for r in held if r["variable"] == v) for v in (r["variable"] for r in few)}
             need = {r["variable"]: len({f(q * (r["n"] - 1)) for q in qs for f in (floor, ceil)}) for r in few}
             if have == need:
-                return _rows(long.sparkSession, held, found.schema)
+                return _rows(df.sparkSession, held, found.schema)
         else:
             found = materialise(found, "quantile-values")
             proven = found.groupBy(*keys, "n").agg(F.sum(F.size("held")).alias("have")).where(F.col("have") == F.size(_ranks(wanted)))
             if proven.count() == sketch.count():
                 return found
-        slack *= 20
+    raise ValueError("the first cut is not of these rows")
 
 
 def _rows(spark: SparkSession, rows: list, schema: T.StructType) -> DataFrame:
@@ -181,16 +238,6 @@ def _most(counted: DataFrame, keys: Sequence[str], ranked: int) -> int:
     return total if total <= ranked else counted.groupBy(*keys).count().agg(F.max("count")).first()[0]
 
 
-def _literal(rows: list) -> Column:
-    """The spans of the row's variable, from a handful of rows on the driver."""
-    out = F.lit(None)
-    for r in rows:
-        spans = F.array(*[F.struct(F.lit(s["lo"]).alias("lo"), F.lit(s["hi"]).alias("hi")) for s in r["spans"]])
-        out = F.when(F.col("variable") == r["variable"], F.struct(F.lit(r["n"]).alias("n"), spans.alias("spans"))).otherwise(out)
-    kind = "struct<n:bigint,spans:array<struct<lo:double,hi:double>>>"
-    return out.cast(kind)
-
-
 def quantile_row(df: DataFrame, col: str, names: dict[str, float], **options) -> DataFrame:
     """The quantiles of one column as a one-row frame with a column per name."""
     q = quantiles(df, [col], sorted(set(names.values())), **options)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tabwright.functions.numbers import nan_to_null
 from tabwright.operators.quantiles import quantiles
 from tabwright.operators.rows import columns_by_type
+from tabwright.operators.summaries import describe_summaries, summarise
 from tabwright.session import materialise
 
 _QUARTILES = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
@@ -24,27 +25,8 @@ def _by_name(q: DataFrame, keys: Sequence[str], names: dict[str, float]) -> Data
 def describe(df: DataFrame, cols: Sequence[str] | None = None, method: str = "exact") -> DataFrame:
     """One row per numeric column: count, mean, sample std, min, quartiles, max."""
     cols = list(cols or columns_by_type(df, "numeric"))
-    aggs = []
-    for i, c in enumerate(cols):
-        x = nan_to_null(c)
-        aggs += [
-            F.count(x).alias(f"count{i}"),
-            F.avg(x).alias(f"mean{i}"),
-            F.stddev_samp(x).alias(f"std{i}"),
-            F.min(x).alias(f"min{i}"),
-            F.max(x).alias(f"max{i}"),
-        ]
-    stats = ("count", "mean", "std", "min", "max")
-    cells = [
-        F.struct(F.lit(c).alias("variable"), *[F.col(f"{s}{i}").alias(s) for s in stats])
-        for i, c in enumerate(cols)
-    ]
-    moments = df.agg(*aggs).select(F.explode(F.array(*cells)).alias("_r")).select("_r.*")
-    quarters = _by_name(quantiles(df, cols, list(_QUARTILES.values()), method=method), ["variable"], _QUARTILES)
-    # Both sides hold one row per listed column.
-    return moments.join(F.broadcast(quarters), "variable", "left").select(
-        "variable", "count", "mean", "std", "min", *_QUARTILES, "max"
-    )
+    summaries = materialise(summarise(df, cols), "summaries")
+    return describe_summaries(df, summaries, cols, method=method)
 
 
 def spread_samples(df: DataFrame, col: str) -> DataFrame:

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tabwright.operators import clean, groups, hypothesis, rows, summary
+from tabwright.operators import clean, groups, hypothesis, rows, summaries, summary
 from tabwright.operators.quantiles import median_point, quantiles
 from tabwright.plans.registry import query, table
-from tabwright.session import materialise
+from tabwright.session import materialise, scratch_path
 
 
 def rounded(df, digits=6, skip=()):
@@ -49,6 +49,45 @@ def a10(spark, d):
     return rounded(q.select("o_orderstatus", "q", "value"))
 
 
+# The days of the events: the parts of a table that grows.
+_EVENT_STATS = """count(value) AS count, round(avg(value), 6) AS mean, round(stddev_samp(value), 6) AS std, min(value) AS min,
+        round(quantile_cont(value, 0.25), 6) AS q25, round(quantile_cont(value, 0.5), 6) AS q50, round(quantile_cont(value, 0.75), 6) AS q75, max(value) AS max"""
+
+
+def _events_by_day(spark, d):
+    """The events as a table that gets a folder a day, and its days in order."""
+    path = scratch_path(spark, "events-by-day")
+    dated = table(spark, d, "events").select("event_type", "value", F.date_format("ts", "yyyy-MM-dd").alias("day"))
+    dated.repartition("day").write.partitionBy("day").parquet(path)
+    kept = spark.read.parquet(path).withColumn("day", F.col("day").cast("string"))
+    return kept, [r["day"] for r in kept.select("day").distinct().orderBy("day").collect()]
+
+
+@query("A9_describe_grown_table", f"SELECT 'value' AS variable, {_EVENT_STATS} FROM events")
+def a9_grown(spark, d):
+    """All days but the last are summarised; then the last one is added from its own rows and everything described."""
+    events, days = _events_by_day(spark, d)
+    store = summaries.SummaryStore(spark, scratch_path(spark, "day-summaries"), ["value"])
+    store.add_all(events.where(F.col("day") < days[-1]), "day")
+    store.add(days[-1], events.where(F.col("day") == days[-1]))
+    return rounded(summaries.describe_summaries(events, store.merged(), ["value"]))
+
+
+@query(
+    "A17_describe_days_by_type",
+    f"""WITH m AS (SELECT *, strftime(ts, '%Y-%m-%d') AS day FROM events), r AS (SELECT max(day) AS last FROM m)
+        SELECT event_type, 'value' AS variable, {_EVENT_STATS} FROM m, r WHERE day < last GROUP BY event_type""",
+)
+def a17_days(spark, d):
+    """The kept summaries of a range of days, by event type, without another pass for their sketches."""
+    events, days = _events_by_day(spark, d)
+    store = summaries.SummaryStore(spark, scratch_path(spark, "day-summaries"), ["value"], by=["event_type"])
+    store.add_all(events, "day")
+    part = events.where(F.col("day") < days[-1])
+    last = days[-2] if len(days) > 1 else ""
+    return rounded(summaries.describe_summaries(part, materialise(store.merged(last=last), "merged"), ["value"], by=["event_type"]))
+
+
 @query("A11_median", "SELECT round(median(value), 6) AS median FROM events")
 def a11(spark, d):
     return rounded(spark.range(1).select(median_point(table(spark, d, "events"), "value").alias("median")))
