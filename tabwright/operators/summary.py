@@ -3,8 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from itertools import product
+from itertools import product as product_of
 
+import numpy as np
+from pyspark.ml.functions import array_to_vector
+from pyspark.mllib.linalg.distributed import RowMatrix
+from pyspark.mllib.util import MLUtils
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,28 +39,63 @@ def spread_samples(df: DataFrame, col: str) -> DataFrame:
     return df.agg(F.var_samp(x).alias("variance"), F.stddev_samp(x).alias("std"))
 
 
+def _gram(vectors: DataFrame, size: int) -> np.ndarray:
+    """The sum of v v' over a column of vectors of ``size`` entries: one aggregate in blocks inside Spark's tasks."""
+    column = MLUtils.convertVectorColumnsFromML(vectors.select(array_to_vector("v").alias("v")), "v")
+    return RowMatrix(column, 0, size).computeGramianMatrix().toArray()
+
+
+def _corr_directly(df: DataFrame, pairs: Sequence[tuple[str, str]], at_once: int = 50) -> dict[tuple[str, str], float | None]:
+    """The coefficient of a few pairs from their own running moments."""
+    out = {}
+    for k in range(0, len(pairs), at_once):
+        aggs = []
+        for i, (a, b) in enumerate(pairs[k : k + at_once]):
+            both = F.col(a).isNotNull() & F.col(b).isNotNull()
+            x, y = F.when(both, F.col(a)), F.when(both, F.col(b))
+            aggs.append(F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y)).alias(f"r{i}"))
+        row = df.agg(*aggs).first()
+        out |= {pair: row[f"r{i}"] for i, pair in enumerate(pairs[k : k + at_once])}
+    return out
+
+
 def corr_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Pearson ``(var1, var2, r)``, each pair over rows where both are present, all pairs in one pass.
+    """Pearson ``(var1, var2, r)``, each pair over rows where both are present. Computed now, in two passes.
 
-    A column without variance gives a missing r.
+    The first finds every column's mean and whether it has gaps; the second adds up one Gram matrix of the centred
+    columns, their squares and their presence, which holds the counts, sums and products of every pair over its own
+    rows. Its size is that of the columns, and no expression is written for a pair. A pair whose variance nearly
+    cancels in those sums is taken from its own moments in a pass of its own. A column without variance gives a missing r.
     """
-    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
-    aggs = []
-    df = df.select(*[nan_to_null(c).alias(c) for c in cols])
-    for i, (a, b) in enumerate(pairs):
-        both = F.col(a).isNotNull() & F.col(b).isNotNull()
-        x, y = F.when(both, F.col(a)), F.when(both, F.col(b))
-        aggs.append(F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y)).alias(f"r{i}"))
-    at = {pair: i for i, pair in enumerate(pairs)}
-    cells = [
-        F.struct(
-            F.lit(a).alias("var1"),
-            F.lit(b).alias("var2"),
-            F.col(f"r{at[(a, b)] if (a, b) in at else at[(b, a)]}").alias("r"),
-        )
-        for a, b in product(cols, cols)
-    ]
-    return df.agg(*aggs).select(F.explode(F.array(*cells)).alias("_r")).select("_r.*")
+    names = list(dict.fromkeys(cols))
+    df = df.select(*[nan_to_null(c).alias(c) for c in names])
+    whole = df.agg(F.count(F.lit(1)).alias("n"), *[a.alias(f"{k}{i}") for i, c in enumerate(names) for k, a in (("c", F.count(F.col(c))), ("m", F.avg(F.col(c))), ("lo", F.min(c)), ("hi", F.max(c)))]).first()
+    # The centre of a constant column is its value, so that nothing is left of it.
+    centre = [whole[f"lo{i}"] if whole[f"lo{i}"] == whole[f"hi{i}"] else whole[f"m{i}"] for i in range(len(names))]
+    gaps = [i for i in range(len(names)) if whole[f"c{i}"] < whole["n"]]
+    centred = [F.coalesce(F.col(c) - F.lit(centre[i] or 0.0), F.lit(0.0)) for i, c in enumerate(names)]
+    squares = [x * x for x in centred] if gaps else []
+    present = [F.col(names[i]).isNotNull().cast("double") for i in gaps]
+    vector = [F.lit(1.0), *centred, *squares, *present]
+    gram = _gram(df.select(F.array(*vector).alias("v")), len(vector)) if whole["n"] else np.zeros((len(vector), len(vector)))
+    p = len(names)
+    x, xx = np.arange(1, p + 1), np.arange(1 + p, 1 + 2 * p)
+    mask = np.zeros(p, int)  # row and column 0 of the matrix stand for a column that is always present
+    mask[gaps] = 1 + p + len(squares) + np.arange(len(gaps))
+    n, product = gram[np.ix_(mask, mask)], gram[np.ix_(x, x)]
+    total = gram[np.ix_(x, mask)]  # of a over the rows where b is present
+    square = gram[np.ix_(xx, mask)] if gaps else np.repeat(np.diag(product)[:, None], p, axis=1)
+    with np.errstate(all="ignore"):
+        spread = square - total**2 / n
+        r = (product - total * total.T / n) / np.sqrt(spread * spread.T)
+        near = (spread <= 1e-9 * square) & (square > 0)
+    r[(spread <= 0) | (spread.T <= 0)] = np.nan
+    found = {(a, b): None if np.isnan(r[i, j]) and not np.isnan(product[i, j]) else float(r[i, j]) for i, a in enumerate(names) for j, b in enumerate(names)}
+    doubtful = [(names[i], names[j]) for i in range(p) for j in range(i, p) if near[i, j] or near[j, i]]
+    for (a, b), value in _corr_directly(df, doubtful).items():
+        found[a, b] = found[b, a] = value
+    rows = [(a, b, found[a, b]) for a, b in product_of(cols, cols)]
+    return df.sparkSession.createDataFrame(rows, "var1 string, var2 string, r double")
 
 
 def _fences(df: DataFrame, group: str, measure: str) -> tuple[DataFrame, DataFrame]:

@@ -131,3 +131,29 @@ def test_pearson(spark):
     assert got["p"] == pytest.approx(0.4)
     line = spark.createDataFrame([(1.0, 2.0), (2.0, 4.0), (4.0, 8.0)], "a double, b double")
     assert hypothesis.pearson_test(line, "a", "b").first()["p"] == pytest.approx(0.0, abs=1e-6)
+
+
+def test_correlation_of_many_columns_with_gaps(spark):
+    rng = np.random.default_rng(4)
+    n, p = 600, 200
+    data = rng.normal(size=(n, 20)) @ rng.normal(size=(20, p)) + rng.normal(size=(n, p)) + rng.integers(0, 1000, p) * 1e3
+    data[rng.random((n, p)) < 0.1] = np.nan
+    data[:, 3], data[:, 4] = 5.0, np.nan
+    data[:, 5] = np.where(np.arange(n) < 300, 7e8, np.nan)
+    data[:, 6] = np.where(np.arange(n) < 300, data[:, 6], np.nan)
+    data[300:, 7], data[:300, 7] = np.arange(300), 0.1  # constant where columns 5 and 6 are present, not elsewhere
+    pdf = pd.DataFrame(data, columns=[f"c{i}" for i in range(p)])
+    want = pdf.corr().to_numpy()
+    want[7, 5:7] = want[5:7, 7] = np.nan
+    got = np.full((p, p), np.nan)
+    for r in summary.corr_matrix(spark.createDataFrame(pdf).repartition(6), list(pdf)).collect():
+        got[int(r["var1"][1:]), int(r["var2"][1:])] = np.nan if r["r"] is None else r["r"]
+    want[[3, 4, 5]] = want[:, [3, 4, 5]] = np.nan
+    assert np.allclose(got, want, rtol=0, atol=1e-9, equal_nan=True) and np.isfinite(got).sum() > 38_000
+
+
+def test_correlation_of_nothing(spark):
+    df = spark.createDataFrame([], "a double, b double")
+    assert [tuple(r) for r in summary.corr_matrix(df, ["a", "b"]).collect()] == [("a", "a", None), ("a", "b", None), ("b", "a", None), ("b", "b", None)]
+    one = spark.createDataFrame([(1.0, 2.0)], "a double, b double")
+    assert {r["r"] for r in summary.corr_matrix(one, ["a", "b"]).collect()} == {None}
