@@ -14,6 +14,7 @@ from pyspark.sql.window import Window
 
 from tabwright.functions.hashing import digest
 from tabwright.functions.numbers import nan_to_null
+from tabwright.operators.dictionary import NamelessVector, dictionary_indexer
 from tabwright.operators.frequent import modes
 from tabwright.operators.quantiles import quantiles
 from tabwright.session import materialise
@@ -160,38 +161,50 @@ def fit_features(
     """Numeric columns filled and scaled, text columns filled and one-hot, in one vector.
 
     Categories are in alphabetical order; one unseen in training gives all zeros.
-    Everything is learned from ``train`` alone. The fitted model holds every category, so a
-    column with more than ``max_categories`` is refused.
+    Everything is learned from ``train`` alone. A column with more than about
+    ``max_categories`` values is numbered by a dictionary table instead of a model that
+    holds them; the numbers are the same. Such a table lies in the shared folder until the
+    model is saved, which copies it.
     """
-    stages, inputs = [], []
+    stages, inputs, large = [], [], []
     if numeric:
         stages.append(numeric_stage(fit_numeric(train, numeric)))
         inputs += [f"{c}_scaled" for c in numeric]
     if categorical:
-        _refuse_many(train, categorical, max_categories)
+        large = _large(train, categorical, max_categories)
         fills = modes(train, categorical).first().asDict()
-        indexer = StringIndexer(
-            inputCols=[f"{c}_filled" for c in categorical],
-            outputCols=[f"{c}_index" for c in categorical],
-            handleInvalid="keep",
-            stringOrderType="alphabetAsc",
-        )
+        stages.append(fill_stage(fills))
+        small = [c for c in categorical if c not in large]
+        if small:
+            indexer = StringIndexer(
+                inputCols=[f"{c}_filled" for c in small],
+                outputCols=[f"{c}_index" for c in small],
+                handleInvalid="keep",
+                stringOrderType="alphabetAsc",
+            )
+            stages.append(indexer)
+        stages += [dictionary_indexer(train, f"{c}_filled", f"{c}_index", source=c) for c in large]
         # The slot kept for unseen values is the last one, and the encoder drops the last.
         encoder = OneHotEncoder(
             inputCols=[f"{c}_index" for c in categorical], outputCols=[f"{c}_hot" for c in categorical], dropLast=True
         )
-        stages += [fill_stage(fills), indexer, encoder]
+        stages.append(encoder)
+        stages += [NamelessVector(inputCol=f"{c}_hot") for c in large]
         inputs += [f"{c}_hot" for c in categorical]
     stages.append(VectorAssembler(inputCols=inputs, outputCol=output))
+    if large:
+        stages.append(NamelessVector(inputCol=output))
     return Pipeline(stages=stages).fit(train)
 
 
-def _refuse_many(train: DataFrame, cols: Sequence[str], most: int) -> None:
-    cells = F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v")) for c in cols])).alias("_x")
-    sizes = train.select(cells).select("_x.*").distinct().groupBy("c").agg(F.count("v").alias("n"))
-    many = [f"{r['c']} ({r['n']})" for r in sizes.where(F.col("n") > most).collect()]
-    if many:
-        raise ValueError(f"more than {most} categories: {', '.join(sorted(many))}")
+def _large(train: DataFrame, cols: Sequence[str], most: int) -> list[str]:
+    """Columns of more than about ``most`` values; which side of the line one falls on changes no result.
+
+    A column with an empty value counts among them: no name of a vector entry may be empty.
+    """
+    found = [(F.approx_count_distinct(F.col(c)).alias(f"n{i}"), F.coalesce(F.bool_or(F.col(c).cast("string") == ""), F.lit(False)).alias(f"e{i}")) for i, c in enumerate(cols)]
+    sizes = train.agg(*[a for pair in found for a in pair]).first()
+    return [c for i, c in enumerate(cols) if sizes[f"n{i}"] > most or sizes[f"e{i}"]]
 
 
 def balanced_weights(df: DataFrame, label: str, name: str = "weight") -> DataFrame:

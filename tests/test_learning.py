@@ -127,7 +127,41 @@ def test_split_keys_do_not_run_together(spark):
     assert features.stratified_split(df, "y", ["k", "j"], 0.5).where("is_test").count() == 2
 
 
-def test_many_categories_are_refused(spark):
-    df = spark.range(50).select(F.col("id").cast("string").alias("c"))
-    with pytest.raises(ValueError, match="c \\(50\\)"):
-        features.fit_features(df, [], ["c"], max_categories=49)
+def test_a_dictionary_gives_the_features_of_the_model(spark, tmp_path):
+    """The same vectors whichever side of the line a column falls on; saved and read again too."""
+    values = ["b", "a", "é", "Z", "a'b", " ", "a\\b", None, "a", "b", "b"]
+    train = spark.createDataFrame([(i, v, v and v * 2, float(i)) for i, v in enumerate(values * 3)], "k int, c string, d string, x double")
+    new = spark.createDataFrame([(100, "nowhere", "bb", 0.0), (101, None, None, None), (102, "é", "ZZ", 5.0)], "k int, c string, d string, x double")
+    model = features.fit_features(train, ["x"], ["c", "d"])
+    table = features.fit_features(train, ["x"], ["c", "d"], max_categories=0)
+    for df in (train, new):
+        want, got = model.transform(df), table.transform(df)
+        assert {r["k"]: r["features"].toArray().tolist() for r in got.collect()} == {r["k"]: r["features"].toArray().tolist() for r in want.collect()}
+        assert got.columns == want.columns and got.schema["features"].metadata["ml_attr"] == {"num_attrs": 15}
+    models.save_model(table, str(tmp_path / "m"))
+    again = models.load_model(str(tmp_path / "m"))
+    assert str(tmp_path) in again.stages[2].getOrDefault("table")
+    assert {r["k"]: r["features"] for r in again.transform(new).collect()} == {r["k"]: r["features"] for r in table.transform(new).collect()}
+
+
+def test_an_empty_category(spark):
+    df = spark.createDataFrame([("",), ("b",), ("",), (None,)], "c string")
+    out = features.fit_features(df, [], ["c"]).transform(df)
+    assert sorted((r["c"] or "", r["features"].toArray().tolist()) for r in out.collect()) == [("", [1.0, 0.0])] * 3 + [("b", [0.0, 1.0])]
+
+
+def test_300_000_categories(spark):
+    """A near-unique column beside a value that half the rows hold."""
+    n = 300_000
+    df = spark.range(2 * n).select("id", F.when(F.col("id") < n, F.concat(F.lit("v"), F.md5(F.col("id").cast("string")))).otherwise("hot").alias("c"))
+    prepare = features.fit_features(df, [], ["c"])
+    out = prepare.transform(df).select("id", "c", "c_index", "features")
+    assert out.schema["features"].metadata["ml_attr"] == {"num_attrs": n + 1}
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BroadcastHashJoin") >= 1 and "CartesianProduct" not in plan
+    ranked = df.select("c").distinct().toPandas()["c"].sort_values().reset_index(drop=True)
+    places = dict(zip(ranked, ranked.index, strict=True))
+    got = out.where("id % 1000 = 0 or id in (0, 299999)").collect()
+    assert len(got) == 601 and all(r["c_index"] == places[r["c"]] == r["features"].indices[0] for r in got)
+    checks = out.agg(F.count("*"), F.countDistinct("c_index"), F.max("c_index"), F.count_if(F.col("c_index") == places["hot"])).first()
+    assert tuple(checks) == (2 * n, n + 1, n, n)
