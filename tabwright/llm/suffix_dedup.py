@@ -13,8 +13,9 @@ that equal heads always meet in one task:
 * The sort is a bottom-up mergesort over all classes of a task at once. Suffixes are compared by prefix polynomial hashes:
   a binary search finds their common extension, the byte behind it decides. Neighbours whose heads tie are verified byte
   for byte; a collision of hashes means a new base and a new sort.
-* A class too large for one task is dealt over several; each reports one digest for every distinct head it holds, and
-  heads that several tasks report repeat as well.
+* An anchor with too many contexts for one task is dealt over several. Of its heads only those go on that can tie: heads
+  of up to ``RANGE`` neighbouring offsets share a core of bytes, and a core that only one context holds settles them all.
+  Each task then reports one digest for every distinct head it sorted, and heads that several tasks report repeat as well.
 """
 
 from __future__ import annotations
@@ -33,9 +34,10 @@ from tabwright.llm.shipping import ship
 from tabwright.llm.words import as_text, mix
 from tabwright.session import materialise
 
-PIECE = 4_000_000  # bytes that a task hashes at once; positions in a piece must fit 24 bits
+PIECE = 1_000_000  # bytes that a task hashes at once; positions in a piece must fit 24 bits
 CONTEXTS_A_TASK = 6_000
 BLOCK = 512  # contexts of one anchor that are sorted in one task
+RANGE = 8  # neighbouring offsets of an anchor whose heads are told apart by their core first
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
@@ -171,25 +173,44 @@ def _packed(once: bool):
     return run
 
 
-def _cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Task: the wanted contexts' bytes, cut from their texts."""
-    unpack = zstandard.ZstdDecompressor()
-    for batch in batches:
-        for row in range(0, batch.num_rows, 256):
-            part = batch.slice(row, 256)
-            wanted = part.column("wanted")
-            counts = wanted.value_lengths().to_numpy()
-            flat = wanted.flatten()
-            start, size = (flat.field(n).to_pylist() for n in ("start", "size"))
-            pieces, at = [], 0
-            for packed, n, count in zip(part.column("packed").to_pylist(), part.column("n_bytes").to_pylist(), counts.tolist(), strict=True):
-                text = unpack.decompress(packed, max_output_size=n)
-                pieces.extend(text[a : a + b] for a, b in zip(start[at : at + count], size[at : at + count], strict=True))
-                at += count
-            own = pa.array(np.repeat(np.arange(part.num_rows), counts))
-            names = ["start", "offset", "h", "g", "copies", "salt", "cut", "task"]
-            columns = [part.column(n).take(own) for n in ("d1", "d2")] + [flat.field(n) for n in names] + [pa.array(pieces, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, ["d1", "d2", *names, "bytes"])
+def cores_of(piece: bytes, offset: int, length: int, seed_length: int) -> list[int | None]:
+    """For each ``RANGE`` of offsets the hash of the bytes that a context's heads there have in common; None without any."""
+    heads, out = len(piece) - length + 1, []
+    for low in range(0, length - seed_length + 1, RANGE):
+        high = min(low + RANGE, length - seed_length + 1) - 1
+        here = low <= offset and high > offset - heads
+        out.append(xxhash.xxh3_64_intdigest(piece[offset - low : offset - high + length]) - 2**63 if here else None)
+    return out
+
+
+_FIELDS = ["start", "offset", "h", "g", "copies", "salt", "cut", "task"]
+_FETCHED = "d1 long, d2 long, start long, offset int, h long, g long, copies long, salt long, cut boolean, task int, bytes binary, cores array<long>"
+
+
+def _cut_out(length: int, seed_length: int):
+    """Task: the wanted contexts' bytes, cut from their texts, with the cores of those that are dealt over tasks."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpack = zstandard.ZstdDecompressor()
+        for batch in batches:
+            for row in range(0, batch.num_rows, 256):
+                part = batch.slice(row, 256)
+                wanted = part.column("wanted")
+                counts = wanted.value_lengths().to_numpy()
+                flat = wanted.flatten()
+                start, size, offset, cut = (flat.field(n).to_pylist() for n in ("start", "size", "offset", "cut"))
+                pieces, at = [], 0
+                for packed, n, count in zip(part.column("packed").to_pylist(), part.column("n_bytes").to_pylist(), counts.tolist(), strict=True):
+                    text = unpack.decompress(packed, max_output_size=n)
+                    pieces.extend(text[a : a + b] for a, b in zip(start[at : at + count], size[at : at + count], strict=True))
+                    at += count
+                cores = [cores_of(p, o, length, seed_length) if c else [] for p, o, c in zip(pieces, offset, cut, strict=True)]
+                own = pa.array(np.repeat(np.arange(part.num_rows), counts))
+                columns = [part.column(n).take(own) for n in ("d1", "d2")] + [flat.field(n) for n in _FIELDS]
+                columns += [pa.array(pieces, pa.binary()), pa.array(cores, pa.list_(pa.int64()))]
+                yield pa.RecordBatch.from_arrays(columns, ["d1", "d2", *_FIELDS, "bytes", "cores"])
+
+    return run
 
 
 def suffix_order(hashes: PrefixHashes, data: np.ndarray, start: np.ndarray, kind: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -274,6 +295,12 @@ def _sorted(length: int):
         heads = sizes - length + 1
         owner = np.repeat(np.arange(len(pieces)), heads)
         inner = np.arange(len(owner)) - np.repeat(np.cumsum(heads) - heads, heads)
+        # Of contexts that are dealt over tasks, the heads whose core another context holds.
+        live = np.zeros((len(pieces), length // RANGE + 1), bool)
+        for i, ranges in enumerate(frame["live"]):
+            live[i, slice(None) if ranges is None else ranges] = True
+        kept = live[owner, (frame["offset"].to_numpy()[owner] - inner) // RANGE]
+        owner, inner = owner[kept], inner[kept]
         start = base[owner] + inner
         group = frame.groupby(["h", "salt"], sort=False).ngroup().to_numpy()
         kind = group[owner] * (2 * length) + (frame["offset"].to_numpy()[owner] - inner)
@@ -289,7 +316,7 @@ def _sorted(length: int):
         repeats[order] = copies[of] > 1
         single = frame["copies"].to_numpy() == 1  # contexts with copies are known to repeat
         hit = np.flatnonzero(repeats & single[owner])
-        new = np.concatenate([[True], (hit[1:] != hit[:-1] + 1) | (owner[hit[1:]] != owner[hit[:-1]])]) if len(hit) else np.zeros(0, bool)
+        new = np.concatenate([[True], (inner[hit[1:]] != inner[hit[:-1]] + 1) | (owner[hit[1:]] != owner[hit[:-1]])]) if len(hit) else np.zeros(0, bool)
         a = hit[new]
         b = hit[np.concatenate([new[1:], [True]])] if len(hit) else hit
         d1, d2, at = (frame[c].to_numpy() for c in ("d1", "d2", "start"))
@@ -370,8 +397,15 @@ def remove_repeats(
     dealt = dealt.withColumn("task", F.pmod(F.xxhash64("h", "salt"), F.lit(tasks)).cast("int"))
     wanted = dealt.groupBy("d1", "d2").agg(F.collect_list(F.struct("start", "size", "offset", "h", "g", "copies", "salt", "cut", "task")).alias("wanted"))
     held = texts.mapInArrow(_packed(once=True), "d1 long, d2 long, n_bytes long, packed binary").join(wanted, ["d1", "d2"])
-    cut = held.mapInArrow(_cut_out, "d1 long, d2 long, start long, offset int, h long, g long, copies long, salt long, cut boolean, task int, bytes binary")
-    found = materialise(cut.groupBy("task").applyInArrow(_sorted(length), _FOUND), "found")
+    fetched = materialise(held.mapInArrow(_cut_out(length, seed_length), _FETCHED), "fetched")
+    marks = fetched.where("cut").select("h", "g", F.posexplode("cores").alias("range", "core")).where("core is not null")
+    cores = marks.groupBy("h", "range", "core").agg(F.count("*").alias("times"), F.min("g").alias("least"), F.max("g").alias("most"))
+    cores = materialise(cores.where("least != most").select("h", "range", "core", "times"), "cores")
+    shared = join_hot_apart(marks, cores, ["h", "range", "core"], "times", marks.count())
+    live = shared.groupBy("h", "g").agg(F.collect_set("range").alias("live"))
+    sent = fetched.drop("cores").where("not cut").withColumn("live", F.lit(None).cast("array<int>"))
+    sent = sent.unionByName(fetched.drop("cores").where("cut").join(live, ["h", "g"]))
+    found = materialise(sent.groupBy("task").applyInArrow(_sorted(length), _FOUND), "found")
     heads = found.where("w1 is not null")
     twice = heads.groupBy("w1", "w2").agg(F.count("*").alias("tasks")).where("tasks > 1")
     across = heads.where("d1 is not null").join(twice, ["w1", "w2"], "left_semi")

@@ -5,6 +5,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from tabwright.llm import suffix_dedup
@@ -87,6 +88,20 @@ def test_a_collision_is_seen():
     assert suffix_dedup._verified(data, np.array([0, 4]), np.array([0, 1]), np.array([False, True]), 3)
 
 
+def test_heads_that_tie_share_their_core():
+    text = bytes(random.Random(2).choice(b"ab") for _ in range(60))
+    length, seed = 20, 6
+    for a, b, anchor in ((5, 45, 12), (9, 50, 20), (3, 31, 8)):
+        first, last = max(0, anchor + length - b), min(length - seed, anchor - a)  # offsets of the heads that fit
+        cores = suffix_dedup.cores_of(text[a:b], anchor - a, length, seed)
+        for q, core in enumerate(cores):
+            low, high = q * suffix_dedup.RANGE, min((q + 1) * suffix_dedup.RANGE, length - seed + 1) - 1
+            assert (core is not None) == (low <= last and high >= first)
+            if core is not None:
+                assert a <= anchor - low and anchor - high + length <= b
+                assert core == xxhash.xxh3_64_intdigest(text[anchor - low : anchor - high + length]) - 2**63
+
+
 def test_edges(spark):
     text = "lorem ipsum dolor sit amet " * 40_000
     docs = spark.createDataFrame([(1, text), (None, "é" * 150), (None, "é" * 150), (1, "short"), (2, None), (3, "")], "doc_id long, text string")
