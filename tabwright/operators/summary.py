@@ -6,13 +6,11 @@ from collections.abc import Sequence
 from itertools import product as product_of
 
 import numpy as np
-from pyspark.ml.functions import array_to_vector
-from pyspark.mllib.linalg.distributed import RowMatrix
-from pyspark.mllib.util import MLUtils
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabwright.functions.numbers import nan_to_null
+from tabwright.operators.gram import gram
 from tabwright.operators.quantiles import quantiles
 from tabwright.operators.rows import columns_by_type
 from tabwright.operators.summaries import describe_summaries, summarise
@@ -39,12 +37,6 @@ def spread_samples(df: DataFrame, col: str) -> DataFrame:
     return df.agg(F.var_samp(x).alias("variance"), F.stddev_samp(x).alias("std"))
 
 
-def _gram(vectors: DataFrame, size: int) -> np.ndarray:
-    """The sum of v v' over a column of vectors of ``size`` entries: one aggregate in blocks inside Spark's tasks."""
-    column = MLUtils.convertVectorColumnsFromML(vectors.select(array_to_vector("v").alias("v")), "v")
-    return RowMatrix(column, 0, size).computeGramianMatrix().toArray()
-
-
 def _corr_directly(df: DataFrame, pairs: Sequence[tuple[str, str]], at_once: int = 50) -> dict[tuple[str, str], float | None]:
     """The coefficient of a few pairs from their own running moments."""
     out = {}
@@ -77,14 +69,14 @@ def corr_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     squares = [x * x for x in centred] if gaps else []
     present = [F.col(names[i]).isNotNull().cast("double") for i in gaps]
     vector = [F.lit(1.0), *centred, *squares, *present]
-    gram = _gram(df.select(F.array(*vector).alias("v")), len(vector)) if whole["n"] else np.zeros((len(vector), len(vector)))
+    sums = gram(df, vector) if whole["n"] else np.zeros((len(vector), len(vector)))
     p = len(names)
     x, xx = np.arange(1, p + 1), np.arange(1 + p, 1 + 2 * p)
     mask = np.zeros(p, int)  # row and column 0 of the matrix stand for a column that is always present
     mask[gaps] = 1 + p + len(squares) + np.arange(len(gaps))
-    n, product = gram[np.ix_(mask, mask)], gram[np.ix_(x, x)]
-    total = gram[np.ix_(x, mask)]  # of a over the rows where b is present
-    square = gram[np.ix_(xx, mask)] if gaps else np.repeat(np.diag(product)[:, None], p, axis=1)
+    n, product = sums[np.ix_(mask, mask)], sums[np.ix_(x, x)]
+    total = sums[np.ix_(x, mask)]  # of a over the rows where b is present
+    square = sums[np.ix_(xx, mask)] if gaps else np.repeat(np.diag(product)[:, None], p, axis=1)
     with np.errstate(all="ignore"):
         spread = square - total**2 / n
         r = (product - total * total.T / n) / np.sqrt(spread * spread.T)

@@ -1,10 +1,13 @@
 import math
 
+import numpy as np
 import pytest
+from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
-from tabwright.operators import features, models
+from tabwright.operators import features, models, newton
 from tabwright.sources.synthetic import survey_of_size
 
 
@@ -165,3 +168,69 @@ def test_300_000_categories(spark):
     assert len(got) == 601 and all(r["c_index"] == places[r["c"]] == r["features"].indices[0] for r in got)
     checks = out.agg(F.count("*"), F.countDistinct("c_index"), F.max("c_index"), F.count_if(F.col("c_index") == places["hot"])).first()
     assert tuple(checks) == (2 * n, n + 1, n, n)
+
+
+def plain_newton(x, y, w, penalty):
+    x1 = np.column_stack([np.ones(len(x)), x])
+    ridge, beta = np.diag([0.0] + [penalty] * x.shape[1]), np.zeros(x.shape[1] + 1)
+    for _ in range(100):
+        p = 1 / (1 + np.exp(-x1 @ beta))
+        beta = beta - np.linalg.solve((x1.T * (w * p * (1 - p))) @ x1 + ridge, x1.T @ (w * (p - y)) + ridge @ beta)
+    return beta
+
+
+def labelled(spark, x, y, w):
+    rows = [(Vectors.dense(a), int(b), float(c)) for a, b, c in zip(x.tolist(), y, w, strict=True)]
+    return spark.createDataFrame(rows, ["features", "y", "weight"])
+
+
+def test_newton_finds_the_minimum(spark):
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(400, 5)) * [1, 10, 0.1, 1, 1]
+    y = (x @ [2, -0.1, 5, 0, 1] + rng.logistic(size=400) > 0.7).astype(int)
+    w = rng.uniform(0.2, 3, 400)
+    for c in (1.0, 0.01):
+        model = models.logistic_regression("y", w.sum(), c=c).fit(labelled(spark, x, y, w))
+        want = plain_newton(x, y, w, 1 / c)
+        assert isinstance(model, newton.LogisticModel)
+        assert [model.intercept, *model.coefficients] == pytest.approx(want.tolist(), rel=1e-7, abs=1e-9)
+    slow = models.logistic_regression("y", w.sum(), c=0.01).fallback().fit(labelled(spark, x, y, w))
+    assert [slow.intercept, *slow.coefficients] == pytest.approx(want.tolist(), abs=2e-3)
+
+
+def test_newton_on_labels_that_a_plane_parts(spark):
+    x = np.arange(-20, 20).reshape(-1, 1) + 0.5
+    y = (x[:, 0] > 0).astype(int)
+    model = models.logistic_regression("y", 40.0).fit(labelled(spark, x, y, np.ones(40)))
+    assert [model.intercept, *model.coefficients] == pytest.approx(plain_newton(x, y, np.ones(40), 1.0).tolist(), abs=1e-7)
+
+
+def test_newton_gives_way(spark):
+    """One label only, columns that repeat each other without a penalty, too many features."""
+    x = np.column_stack([np.arange(30.0), np.arange(30.0)])
+    y = (np.arange(30) % 3 == 0).astype(int)
+    one = models.logistic_regression("y", 30.0).fit(labelled(spark, x, np.ones(30, int), np.ones(30)))
+    assert not isinstance(one, newton.LogisticModel) and one.transform(labelled(spark, x, y, np.ones(30))).where("prediction = 1").count() == 30
+    rows = labelled(spark, x, y, np.ones(30)).select(vector_to_array("features").alias("x"), F.col("y").cast("double").alias("y"), F.col("weight").alias("w"))
+    beta = newton.minimise(rows, 2, 0.0)
+    assert beta is None or np.isfinite(beta).all()
+
+
+def test_predictions_and_a_saved_newton_model(spark, tmp_path):
+    df = labelled(spark, np.array([[1.0, 0.0], [0.0, 1.0], [2.0, 1.0]]), [1, 0, 1], [1.0, 1.0, 1.0])
+    model = PipelineModel([newton.LogisticModel(weights=[1.0, -2.0], bias=0.5)])
+    models.save_model(model, str(tmp_path / "m"))
+    rows = models.load_model(str(tmp_path / "m")).transform(df).collect()
+    assert [r["prediction"] for r in rows] == [1.0, 0.0, 1.0]
+    assert [r["probability"] for r in rows] == pytest.approx([1 / (1 + math.exp(-s)) for s in (1.5, -1.5, 0.5)])
+
+
+def test_forests_do_not_depend_on_partitions(spark):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(300, 4))
+    df = labelled(spark, x, (x[:, 0] * x[:, 1] > 0).astype(int), np.ones(300))
+    scores = []
+    for parts in (1, 5):
+        model = models.random_forest("y", trees=5, depth=4).fit(models.in_fixed_order(df.repartition(parts), "y"))
+        scores.append(sorted((tuple(r["features"]), tuple(r["probability"])) for r in model.transform(df).collect()))
+    assert scores[0] == scores[1]
