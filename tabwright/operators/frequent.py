@@ -1,7 +1,8 @@
 """The most frequent values of columns, exact, from summaries of bounded size.
 
-Counting every value of a near-unique column would shuffle the column. Here each task keeps a frequent-items sketch of at
-most ``TRACKED`` values a column, and the merged sketch only proposes candidates. A second pass counts the candidates
+Columns of few values are counted, value by value: tasks send a row for each. Counting every value of a near-unique
+column would shuffle the column, so there each task keeps a frequent-items sketch of at most ``TRACKED`` values, and the
+merged sketch only proposes candidates. A second pass counts the candidates
 exactly, and all other values together by the bucket of their hash. A bucket's rows bound the count of every value in
 it, so a bucket with fewer rows than the last wanted candidate holds no winner: that is the proof. Values of the
 buckets that are left, none where some value stands out, are counted one by one.
@@ -21,7 +22,7 @@ from tabwright.functions.numbers import missing_as_null
 TRACKED = 4_096  # values in a sketch
 BUCKETS = 4_096  # buckets of the other values
 LISTED = 64  # candidates of a column, more if more values are asked for
-FEW = 200  # up to so many candidates, of all columns, are counted without a row for each cell
+FEW = 1_000  # columns of about so many values are counted at once
 #: Kinds without a sketch: each of their values is counted.
 _BARE = (T.BinaryType, T.ArrayType, T.StructType, T.NullType, T.VariantType)
 
@@ -42,30 +43,19 @@ def _counted_one_by_one(cells: DataFrame, k: int) -> list[tuple[Any, int]]:
     return [(r["x"], r["n"]) for r in counted.orderBy(F.desc("n"), "x").limit(k).collect()]
 
 
-def _few(df: DataFrame, held: DataFrame, candidates: dict[str, list], sizes: dict[str, int], k: int) -> dict[str, list]:
-    """Columns whose few candidates turn out to be all the values there are."""
-    few = []
-    for c in sorted(candidates, key=lambda c: len(candidates[c])):
-        if len(candidates[c]) < LISTED and sum(len(candidates[f]) for f in few) + len(candidates[c]) <= FEW:
-            few.append(c)
-    if not few:
-        return {}
-    counts = [F.count_if(F.col(c) == F.get(held.select(c).scalar(), F.lit(j))).alias(f"{i}_{j}") for i, c in enumerate(few) for j in range(len(candidates[c]))]
-    row = df.agg(F.count(F.lit(1)), *counts).first()
-    found = {c: [(v, row[f"{i}_{j}"]) for j, v in enumerate(candidates[c])] for i, c in enumerate(few)}
-    return {c: _best(x, k) for c, x in found.items() if sum(n for _, n in x) == sizes[c]}
-
-
 def frequent_values(df: DataFrame, cols: Sequence[str], k: int = 1) -> dict[str, list[tuple[Any, int]]]:
     """For each column its ``k`` most frequent values and their counts, smaller values first among ties, missing skipped.
 
-    Computed now. At most ``k`` values a column and the sketches reach the driver, and no task sends more than
-    ``TRACKED`` + ``BUCKETS`` rows a column, unless so many values are as frequent as the winners that they have to be
-    counted to tell them apart.
+    Computed now. At most ``k`` values a column, candidates and bucket counts reach the driver, and no task sends more
+    than ``LISTED`` + ``BUCKETS`` rows a column, unless so many values are as frequent as the winners that they have to
+    be counted to tell them apart.
     """
     cols = list(dict.fromkeys(cols))
     clean = df.select(*[_value(df, c).alias(c) for c in cols])
-    out = {c: _counted_one_by_one(clean.where(F.col(c).isNotNull()).select(F.col(c).alias("x")), k) for c in cols if isinstance(df.schema[c].dataType, _BARE)}
+    plain = [c for c in cols if not isinstance(df.schema[c].dataType, _BARE)]
+    distinct = clean.agg(*[F.approx_count_distinct(F.col(c)).alias(c) for c in plain]).first().asDict() if plain else {}
+    few = [c for c in cols if distinct.get(c, 0) <= FEW]
+    out = {c: _counted_one_by_one(clean.where(F.col(c).isNotNull()).select(F.col(c).alias("x")), k) for c in few}
     open_ = [c for c in cols if c not in out]
     if not open_:
         return out
@@ -73,15 +63,10 @@ def frequent_values(df: DataFrame, cols: Sequence[str], k: int = 1) -> dict[str,
     tracked = max(TRACKED, 4 * listed)
     names = {c: "`" + c.replace("`", "``") + "`" for c in open_}
     sketches = [F.expr(f"approx_top_k({names[c]}, {listed}, {tracked}) FILTER (WHERE {names[c]} IS NOT NULL)").alias(f"s{i}") for i, c in enumerate(open_)]
-    sketched = clean.agg(*sketches, *[F.count(names[c]).alias(f"n{i}") for i, c in enumerate(open_)]).first()
+    sketched = clean.agg(*sketches).first()
     candidates = {c: [x["item"] for x in sketched[f"s{i}"] or ()] for i, c in enumerate(open_)}
-    sizes = {c: sketched[f"n{i}"] for i, c in enumerate(open_)}
     kinds = T.StructType([T.StructField(c, T.ArrayType(df.schema[c].dataType)) for c in open_])
     held = df.sparkSession.createDataFrame([tuple(candidates[c] for c in open_)], kinds)
-    out |= _few(clean, held, candidates, sizes, k)
-    open_ = [c for c in open_ if c not in out]
-    if not open_:
-        return {c: out[c] for c in cols}
     cells = []
     for i, c in enumerate(open_):
         place = F.array_position(held.select(names[c]).scalar(), F.col(names[c]))  # 0 for a value that is no candidate

@@ -20,7 +20,9 @@ def run(spark, values, kind, k=1, parts=4):
 
 
 @pytest.mark.parametrize("k", [1, 3])
-def test_kinds(spark, k):
+@pytest.mark.parametrize("few", [0, 1000])
+def test_kinds(spark, k, few, monkeypatch):
+    monkeypatch.setattr(frequent, "FEW", few)
     rng = random.Random(k)
     for kind, pool in {
         "string": ["", "é", "b", "Z", None],
@@ -49,6 +51,7 @@ def test_a_value_that_stands_out_moves_no_column(spark, monkeypatch):
     values = [f"v{i}" for i in range(119_000)] + ["hot"] * 600 + ["warm"] * 400
     random.Random(1).shuffle(values)
     assert run(spark, values, "string", 2) == [("hot", 600), ("warm", 400)] and not seen
+    assert run(spark, values[:900], "string") and seen  # few values are counted
 
 
 def test_no_value_stands_out(spark, monkeypatch):
@@ -61,6 +64,7 @@ def test_no_value_stands_out(spark, monkeypatch):
 def test_only_near_buckets_are_counted(spark, monkeypatch):
     monkeypatch.setattr(frequent, "LISTED", 4)
     monkeypatch.setattr(frequent, "TRACKED", 16)
+    monkeypatch.setattr(frequent, "FEW", 0)
     seen = one_by_one(monkeypatch)
     rng = random.Random(4)
     values = [int(rng.paretovariate(0.7)) % 5000 for _ in range(20_000)]

@@ -198,6 +198,22 @@ def test_newton_finds_the_minimum(spark):
     assert [slow.intercept, *slow.coefficients] == pytest.approx(want.tolist(), abs=2e-3)
 
 
+def test_a_sample_only_moves_the_start(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(3000, 3))
+    y = (x @ [3, -2, 1] + rng.logistic(size=3000) > 0).astype(int)
+    passes, plain = [], newton._pass
+    monkeypatch.setattr(newton, "_pass", lambda *a: passes.append(1) or plain(*a))
+    found, counts = [], []
+    for sampled in (0, 1500):
+        monkeypatch.setattr(newton, "SAMPLED", sampled)
+        model = models.logistic_regression("y", 3000.0).fit(labelled(spark, x, y, np.ones(3000)))
+        found.append([model.intercept, *model.coefficients])
+        counts.append(len(passes))
+        passes.clear()
+    assert found[0] == pytest.approx(found[1], rel=1e-6, abs=1e-8) and counts[1] < counts[0]
+
+
 def test_newton_on_labels_that_a_plane_parts(spark):
     x = np.arange(-20, 20).reshape(-1, 1) + 0.5
     y = (x[:, 0] > 0).astype(int)
