@@ -3,8 +3,9 @@
 Document labels become token labels: features (a word or its first letters) that speak for toxic documents are chosen
 greedily, each for toxic documents that earlier ones leave unexplained, so that words which merely occur in copies of a
 toxic document are not. In toxic documents the tokens with a chosen feature are the labelled ones. The field learns from
-windows of those documents; its forward-backward marginals give the offending offsets, and a logistic curve over their
-sum, maximum and number gives the document's score.
+every window of 32 words that holds a chosen feature, in toxic and in clean documents; the words of all other windows
+count as clean tokens, each with the number of times it occurs. Forward-backward marginals give the offending offsets,
+and a logistic curve over their sum, maximum and number gives the document's score.
 """
 
 from __future__ import annotations
@@ -22,8 +23,10 @@ from pyspark.sql import types as T
 
 from tabwright.llm import words
 from tabwright.llm.shipping import ship
+from tabwright.session import materialise
 
 PREFIXES = (4, 5, 6)
+WINDOW = 32  # words
 ROWS_AT_ONCE = 2_000
 _RUN = re.compile("[^\x20\x09-\x0d]+")
 _EDGE = re.compile(r"^[\W\d_]+|[\W\d_]+$")
@@ -90,11 +93,13 @@ def _summary(chance: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return out
 
 
-def _telling(docs: list[np.ndarray], distinct: list[str], toxic: np.ndarray, least: int, precision: float) -> set[str]:
-    """Features that explain the toxic documents: chosen greedily by the documents that still lack two of them."""
+def _telling(docs: list[list[str]], toxic: np.ndarray, least: int, precision: float) -> set[str]:
+    """Features that explain the toxic documents, given the words of each: chosen greedily by the documents that still
+    lack two of them."""
+    known: dict[str, tuple[str, ...]] = {}
 
-    def held(d: np.ndarray, among: set[str] | None = None) -> set[str]:
-        found = {f for w in np.unique(d).tolist() for f in features(distinct[w])}
+    def held(d: list[str], among: set[str] | None = None) -> set[str]:
+        found = {f for w in d for f in (known.get(w) or known.setdefault(w, features(w)))}
         return found if among is None else found & among
 
     places = np.flatnonzero(toxic).tolist()
@@ -127,29 +132,44 @@ def _telling(docs: list[np.ndarray], distinct: list[str], toxic: np.ndarray, lea
     return chosen
 
 
-def _windows(docs: list[np.ndarray], marks: list[np.ndarray], width: int, rng: np.random.Generator) -> tuple[list, list]:
-    """Stretches of ``width`` words: those with marked words, four a document at most, or a random one."""
-    texts, tags = [], []
-    for d, m in zip(docs, marks, strict=True):
-        at = {int(k) // width for k in np.flatnonzero(m)} or {int(rng.integers(0, max(1, -(-len(d) // width))))}
-        for k in sorted(at)[:4]:
-            texts.append(d[k * width : (k + 1) * width])
-            tags.append(m[k * width : (k + 1) * width])
-    return texts, tags
+@dataclass
+class Tagged:
+    """What the field learns from: windows with a tag for each word, and how often every other word occurs."""
+
+    windows: list[list[str]] = field(default_factory=list)
+    tags: list[list[int]] = field(default_factory=list)
+    rest: Counter = field(default_factory=Counter)
+
+    def add(self, text: str | None, toxic: bool, telling: set[str]) -> None:
+        """All windows of a text that hold a telling feature, tagged if the text is toxic; the other words are counted."""
+        found = _RUN.findall(text or "")
+        hits = {w: not telling.isdisjoint(features(w)) for w in set(found)}
+        for k in range(0, len(found), WINDOW):
+            part = found[k : k + WINDOW]
+            marks = [hits[w] for w in part]
+            if any(marks):
+                self.windows.append(part)
+                self.tags.append([int(m and toxic) for m in marks])
+            else:
+                self.rest.update(part)
 
 
-def _fit_field(docs: list[np.ndarray], distinct: list[str], marks: list[np.ndarray], steps: int, seed: int) -> Field:
-    """Maximise the penalised likelihood of the tags by Adam over all windows."""
-    texts, tags = _windows(docs, marks, 32, np.random.default_rng(seed))
-    bounds = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
-    y = np.concatenate(tags).astype(float)
-    used, token = np.unique(np.concatenate(texts), return_inverse=True)
+def _fit_field(seen: Tagged, steps: int) -> Field:
+    """Maximise the penalised likelihood of the tags by Adam over all windows and all other words."""
+    rest = sorted(seen.rest)
+    names: dict[str, int] = {}
+    token = np.array([names.setdefault(w, len(names)) for t in [*seen.windows, rest] for w in t], np.int64)
+    inside = sum(map(len, seen.windows))
+    within = {w for t in seen.windows for w in t}
     vocabulary: dict[str, int] = {}
-    slots = np.full((len(used), 1 + len(PREFIXES)), -1, np.int32)
-    for i, w in enumerate(used.tolist()):
-        for k, f in enumerate(features(distinct[w])):
-            slots[i, k] = vocabulary.setdefault(f, len(vocabulary))
+    slots = np.full((len(names), 1 + len(PREFIXES)), -1, np.int32)
+    for w, i in names.items():
+        for k, f in enumerate(features(w)):  # what no window holds is told by the bias alone
+            slots[i, k] = vocabulary.setdefault(f, len(vocabulary)) if w in within else vocabulary.get(f, -1)
     ids = slots[token]
+    bounds = np.concatenate([np.cumsum([0, *map(len, seen.windows)]), inside + 1 + np.arange(len(rest))])
+    y = np.array([t for tags in seen.tags for t in tags] + [0] * len(rest), float)
+    times = np.concatenate([np.ones(inside), [seen.rest[w] for w in rest]])
     inner = np.ones(len(token), bool)
     inner[bounds[:-1]] = False
     after = np.flatnonzero(inner)
@@ -157,6 +177,7 @@ def _fit_field(docs: list[np.ndarray], distinct: list[str], marks: list[np.ndarr
     theta, m, v = np.zeros(size + 4), np.zeros(size + 4), np.zeros(size + 4)
     theta[size - 1] = -3.0
     held = np.bincount((2 * y[after - 1] + y[after]).astype(int), minlength=4)
+    flat = ids.ravel()
     for step in range(1, steps + 1):
         table = np.append(theta[: size - 1], 0.0)
         scores = table[ids].sum(axis=1) + theta[size - 1]
@@ -164,8 +185,7 @@ def _fit_field(docs: list[np.ndarray], distinct: list[str], marks: list[np.ndarr
         p = marginals(scores, bounds, moves)
         pair = _pair_sums(scores, p, after, moves)
         grad = np.zeros(size + 4)
-        error = p - y
-        flat = ids.ravel()
+        error = (p - y) * times
         grad[: size - 1] = np.bincount(flat[flat >= 0], np.repeat(error, ids.shape[1])[flat >= 0], minlength=size - 1)
         grad[size - 1] = error.sum()
         grad[size:] = pair - held
@@ -192,55 +212,128 @@ def _pair_sums(scores: np.ndarray, p: np.ndarray, after: np.ndarray, moves: np.n
     return np.array([(1 - a - b + both).sum(), (b - both).sum(), (a - both).sum(), both.sum()])
 
 
-def _fit_curve(x: np.ndarray, toxic: np.ndarray) -> tuple[float, ...]:
-    """Logistic curve by Newton steps; both classes weigh as they occur."""
+def _fit_curve(x: np.ndarray, toxic: np.ndarray, times: np.ndarray) -> tuple[float, ...]:
+    """Logistic curve by Newton steps; a document weighs ``times``, so that both labels weigh as they occur."""
     w = np.zeros(x.shape[1])
     ridge = np.diag([1e-3] + [0.05] * (x.shape[1] - 1))
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -40, 40)))
-        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + ridge, x.T @ (p - toxic) + ridge @ w)
+        step = np.linalg.solve((x * (times * p * (1 - p))[:, None]).T @ x + ridge, x.T @ (times * (p - toxic)) + ridge @ w)
         w -= step
         if np.abs(step).max() < 1e-8:
             break
     return tuple(map(float, w))
 
 
-def fit(texts: list[str], toxic: list[int], *, least: int = 4, precision: float = 0.9, steps: int = 80, seed: int = 7) -> Field:
+def _flat(toxic: float, all_: float) -> Field:
+    share = (toxic + 0.5) / (all_ + 1)
+    return Field(curve=(float(np.log(share / (1 - share))), 0.0, 0.0, 0.0))
+
+
+def _least(least: int, toxic: int) -> int:
+    return max(least, int(0.002 * toxic))
+
+
+def fit(texts: list[str], toxic: list[int], *, least: int = 4, precision: float = 0.9, steps: int = 80) -> Field:
     """Fit on labelled texts. Without both labels, or without any telling feature, the share of toxic texts is the score."""
-    names: dict[str, int] = {}
-    docs = [np.array([names.setdefault(w, len(names)) for w in _RUN.findall(t or "")], np.int32) for t in texts]
-    distinct = list(names)
     y = np.asarray(toxic, dtype=int) == 1
-    share = (y.sum() + 0.5) / (len(y) + 1)
-    flat = Field(curve=(float(np.log(share / (1 - share))), 0.0, 0.0, 0.0))
     if y.all() or not y.any():
-        return flat
-    chosen = _telling(docs, distinct, y, max(least, int(0.002 * y.sum())), precision)
-    hit = np.fromiter((not chosen.isdisjoint(features(w)) for w in distinct), bool, len(distinct))
-    marks = [hit[d] & t for d, t in zip(docs, y, strict=True)]
-    kept = [i for i, d in enumerate(docs) if len(d)]
-    if not any(marks[i].any() for i in kept):
-        return flat
-    model = _fit_field([docs[i] for i in kept], distinct, [marks[i] for i in kept], steps, seed)
-    table = np.fromiter(map(model.emission, distinct), float, len(distinct))
-    bounds = np.concatenate([[0], np.cumsum([len(d) for d in docs])])
-    chance = marginals(table[np.concatenate(docs)], bounds, model.transitions)
-    model.curve = _fit_curve(_summary(chance, bounds), y.astype(float))
+        return _flat(y.sum(), len(y))
+    telling = _telling([sorted(set(_RUN.findall(t or ""))) for t in texts], y, _least(least, y.sum()), precision)
+    seen = Tagged()
+    for t, label in zip(texts, y.tolist(), strict=True):
+        seen.add(t, label, telling)
+    if not any(map(any, seen.tags)):
+        return _flat(y.sum(), len(y))
+    model = _fit_field(seen, steps)
+    model.curve = _fit_curve(np.concatenate([_evidence(pa.array([t], pa.string()), model)[0] for t in texts]), y.astype(float), np.ones(len(y)))
     return model
 
 
-def fit_from_labels(docs: DataFrame, labels: DataFrame, *, per_label: int = 1_500, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", **options) -> Field:
-    """Fit on at most ``per_label`` labelled documents of each label, chosen by a digest of their id.
+def _words_of_sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        found = [sorted(set(_RUN.findall(t))) for t in batch.column("text").to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column("digest"), batch.column("toxic"), pa.array(found, pa.list_(pa.string()))], ["digest", "toxic", "words"])
+
+
+def _tagged_sample(telling: set[str]):
+    """Task: the windows of its texts, and its other words with their numbers."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["digest", "place", "words", "tags", "word", "times"]
+        kinds = [pa.string(), pa.int32(), pa.list_(pa.string()), pa.list_(pa.int32()), pa.string(), pa.int64()]
+        rest: Counter = Counter()
+        for batch in batches:
+            rows = []
+            for digest, toxic, text in zip(*(batch.column(c).to_pylist() for c in ("digest", "toxic", "text")), strict=True):
+                seen = Tagged()
+                seen.add(text, toxic, telling)
+                rows += [(digest, k, w, t, None, None) for k, (w, t) in enumerate(zip(seen.windows, seen.tags, strict=True))]
+                rest.update(seen.rest)
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kinds[k]) for k in range(6)], names)
+        counted = sorted(rest.items())
+        yield pa.RecordBatch.from_arrays([*(pa.nulls(len(counted), kinds[k]) for k in range(4)), pa.array([w for w, _ in counted], kinds[4]), pa.array([n for _, n in counted], kinds[5])], names)
+
+    return run
+
+
+def _summaries_of_sample(model: Field):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = _evidence(batch.column("text"), model)[0]
+            yield pa.RecordBatch.from_arrays([batch.column("digest"), batch.column("toxic"), pa.array(x.tolist(), pa.list_(pa.float64()))], ["digest", "toxic", "x"])
+
+    return run
+
 
-    The bound is what may reach the driver; rows without an id, a text or a label take no part, and equal texts count
-    once. ``docs`` and ``labels`` are whatever the caller allows to learn from.
+def fit_from_labels(
+    docs: DataFrame, labels: DataFrame, *, per_label: int = 1_500, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
+    least: int = 4, precision: float = 0.9, steps: int = 80,
+) -> Field:
+    """Fit on at most ``per_label`` labelled texts of each label, chosen by a digest of the text.
+
+    That bound is the only one: of the chosen texts every window and word takes part. Equal texts count once, and as
+    toxic if any label says so. Rows without an id, a text or a label take no part. The curve weighs each label by the
+    number of its texts among all that are labelled, so a score does not depend on how many were chosen. Texts stay in
+    their tasks: the driver gets the different words of each chosen text, the windows that hold a telling word, and the
+    numbers of the other words. ``docs`` and ``labels`` are whatever the caller allows to learn from.
     """
-    known = labels.select(F.col(id_col).alias("_id"), F.col(label_col).alias("_label")).dropna()
-    picks = [known.where(c).orderBy(F.xxhash64("_id"), "_id").limit(per_label) for c in (F.col("_label") == 1, F.col("_label") != 1)]
+    ship(docs.sparkSession)
+    known = labels.select(F.col(id_col).alias("_id"), (F.col(label_col) == 1).alias("toxic")).dropna()
+    texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("text")).dropna()
+    own = texts.select("_id", F.md5("text").alias("digest")).join(known, "_id")
+    labelled = materialise(own.groupBy("digest").agg(F.max("toxic").alias("toxic"), F.min("_id").alias("_id")), "labelled")
+    sizes = {r["toxic"]: r["count"] for r in labelled.groupBy("toxic").count().collect()}
+    if len(sizes) < 2:
+        return _flat(sizes.get(True, 0), sum(sizes.values()))
+    picks = [labelled.where(c).orderBy(F.xxhash64("digest"), "digest").limit(per_label) for c in (F.col("toxic"), ~F.col("toxic"))]
     chosen = F.broadcast(picks[0].union(picks[1]))  # at most 2 * per_label short rows
-    texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).join(chosen, "_id").dropna()
-    rows = texts.dropDuplicates(["_text"]).orderBy("_id", "_label").toArrow()
-    return fit(rows.column("_text").to_pylist(), rows.column("_label").to_pylist(), **options)
+    sample = texts.join(chosen, "_id").where(F.md5("text") == F.col("digest")).select("digest", "toxic", "text").dropDuplicates(["digest"])
+    sample = materialise(sample, "labelled-sample")
+    held = sample.mapInArrow(_words_of_sample, "digest string, toxic boolean, words array<string>").orderBy("digest").toArrow()
+    y = held.column("toxic").to_numpy().astype(bool)
+    telling = _telling(held.column("words").to_pylist(), y, _least(least, y.sum()), precision)
+    tagged = sample.mapInArrow(_tagged_sample(telling), "digest string, place int, words array<string>, tags array<int>, word string, times long")
+    tagged = materialise(tagged, "tagged")
+    windows = tagged.where("words is not null").select("digest", "place", "words", "tags").orderBy("digest", "place").toArrow()
+    rest = tagged.where("word is not null").groupBy("word").agg(F.sum("times").alias("times")).toArrow()
+    seen = Tagged(windows.column("words").to_pylist(), windows.column("tags").to_pylist(), Counter(dict(zip(rest.column("word").to_pylist(), rest.column("times").to_pylist(), strict=True))))
+    if not any(map(any, seen.tags)):
+        return _flat(sizes[True], sum(sizes.values()))
+    model = _fit_field(seen, steps)
+    shown = sample.mapInArrow(_summaries_of_sample(model), "digest string, toxic boolean, x array<double>").orderBy("digest").toArrow()
+    x, y = np.array(shown.column("x").to_pylist()).reshape(-1, 4), shown.column("toxic").to_numpy().astype(bool)
+    weight = np.where(y, sizes[True] / max(1, y.sum()), sizes[False] / max(1, (~y).sum()))
+    model.curve = _fit_curve(x, y.astype(float), weight * len(y) / weight.sum())
+    return model
+
+
+def _evidence(texts: pa.Array, model: Field) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each text's summary, the chance of every token, and each text's bounds among them."""
+    bounds, distinct, index = words.words_of(words.as_text(texts))
+    table = np.fromiter(map(model.emission, distinct.to_pylist()), float, len(distinct))
+    chance = marginals(table[index] if len(index) else np.zeros(0), bounds, model.transitions)
+    return _summary(chance, bounds), chance, bounds
 
 
 def score(docs: DataFrame, model: Field, id_col: str = "doc_id", text_col: str = "text", confident: float = 0.5) -> DataFrame:
@@ -254,7 +347,11 @@ def score(docs: DataFrame, model: Field, id_col: str = "doc_id", text_col: str =
 
 
 def drop_toxic(docs: DataFrame, model: Field, text_col: str = "text", threshold: float = 0.7) -> DataFrame:
-    """The rows of ``docs``, whole, whose text scores under ``threshold``. Rows never leave their task."""
+    """The rows of ``docs``, whole, whose text scores under ``threshold``. Rows never leave their task.
+
+    A null, empty or blank text has the curve's lowest score. Repeated rows, rows without an id and all columns, whatever
+    their names, stay as they are; an empty table gives no rows.
+    """
     rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col(text_col).alias("text"))
     return _scored(rows, model, 2.0).where(F.col("score") < threshold).select("row.*")
 
@@ -271,10 +368,7 @@ def _scored(plain: DataFrame, model: Field, confident: float) -> DataFrame:
         for batch in batches:
             for at in range(0, batch.num_rows, ROWS_AT_ONCE):
                 part = batch.slice(at, ROWS_AT_ONCE)
-                bounds, distinct, index = words.words_of(words.as_text(part.column("text")))
-                table = np.fromiter(map(field_.emission, distinct.to_pylist()), float, len(distinct))
-                chance = marginals(table[index] if len(index) else np.zeros(0), bounds, field_.transitions)
-                x = _summary(chance, bounds)
+                x, chance, bounds = _evidence(part.column("text"), field_)
                 scores = 1 / (1 + np.exp(-np.clip(x @ np.array(field_.curve), -40, 40)))
                 spans = [_spans(part.column("text")[i].as_py(), chance[a:b], confident) if x[i, 2] > confident else [] for i, (a, b) in enumerate(zip(bounds[:-1], bounds[1:], strict=True))]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(scores), pa.array(spans, pa.list_(span))], [name, "score", "spans"])

@@ -253,6 +253,56 @@ def held_out(frame, folds, fold):
     return np.array([zlib.crc32(str(i).encode()) % folds == fold for i in frame["doc_id"]])
 
 
+def test_every_window_takes_part():
+    words_ = ["zwurb"] + ["calm"] * 99 + ["zwurb"] + ["calm"] * 99
+    seen = toxicity.Tagged()
+    seen.add(" ".join(words_ * 4), True, {"=zwurb"})
+    seen.add(" ".join(["fine"] * 40 + ["zwurb"] * 2), False, {"=zwurb"})
+    assert sum(map(sum, seen.tags)) == 8 and len(seen.windows) == 9 and seen.tags[-1] == [0] * 10
+    assert sum(map(len, seen.windows)) + sum(seen.rest.values()) == 842 and seen.rest["fine"] == 32
+
+
+def test_a_toxic_passage_far_into_a_text(spark):
+    """Two of the telling words occur behind the fourth marked window only, and the field learns them."""
+    rng = random.Random(12)
+    rows = []
+    for k in range(240):
+        w = prose(rng, 400).split()
+        if k % 4 == 0:
+            for at in (10, 50, 90, 130, 170):
+                w[at] = "zwurb"
+            w[350:352] = ["plonktic", "grelk"]
+        rows.append((k, " ".join(w), int(k % 4 == 0)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = toxicity.fit_from_labels(docs, docs)
+    late = [(1000 + k, " ".join([prose(rng, 380), "plonktic grelk", prose(rng, 5)])) for k in range(6)]
+    spans = toxicity.score(spark.createDataFrame(late, "doc_id long, text string"), model).collect()
+    assert all(any("plonktic" in t[s["start"] : s["end"]] for s in r["spans"]) for r in spans for i, t in late if i == r["doc_id"])
+
+
+def test_equal_texts_with_unequal_labels_are_toxic(spark):
+    rng = random.Random(13)
+    rows = [(k, "zwurb calm words", k % 2) for k in range(40)] + [(100 + k, prose(rng, 20), 0) for k in range(60)] + [(200 + k, prose(rng, 20) + " zwurb", 1) for k in range(30)]
+    models = []
+    for parts in (1, 2, 5):
+        docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int").repartition(parts)
+        models.append(toxicity.fit_from_labels(docs, docs))
+    assert models[0] == models[1] == models[2] and models[0].curve[1:] != (0.0, 0.0, 0.0)
+    both = [(k, "one text", k % 2) for k in range(40)]
+    docs = spark.createDataFrame(both, "doc_id long, text string, toxic int")
+    assert toxicity.fit_from_labels(docs, docs).curve[0] > 0
+
+
+def test_labels_weigh_as_they_occur(spark):
+    """Fewer chosen texts of the frequent label leave the score of evidence about where it was."""
+    rng = random.Random(14)
+    rows = [(k, prose(rng, 30) + (" zwurb zwurbing" if k % 8 == 0 else " zwurb" if k % 9 == 1 else ""), int(k % 8 == 0)) for k in range(1200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    probe = spark.createDataFrame([(0, prose(rng, 30))], "doc_id long, text string")
+    whole, some = (toxicity.score(probe, toxicity.fit_from_labels(docs, docs, per_label=n)).first()["score"] for n in (1500, 150))
+    assert whole < 0.15 and some < 0.15
+
+
 def test_toxic_documents_are_found(spark):
     rng = random.Random(11)
     rows = []
