@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tabwright.llm import words
 from tabwright.llm.shipping import ship
@@ -24,22 +25,14 @@ from tabwright.session import materialise
 ROWS_AT_ONCE = 1_000
 
 
-def _item_rows(width: int, percent: int):
-    """Task: every distinct shingle of an item, and whether it belongs to the item's sketch."""
+def _item_rows(width: int):
+    """Task: every distinct shingle of an item's row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             bounds, values = words.distinct_sets(*words.hash_shingles(words.as_text(batch.column("text")), width))
-            sizes = np.diff(bounds)
-            rank = np.arange(len(values)) - np.repeat(bounds[:-1], sizes)
-            # Partitions are sizes of one number of binary digits; distinct_sets sorts, so the first are the smallest.
-            top = (1 << np.frexp(sizes.astype(float))[1].astype(np.int64)) - 1
-            sketch = np.minimum(top * (100 - percent) // 100 + 1, np.maximum(sizes, 1))
-            ids = batch.column("item_id").take(pa.array(np.repeat(np.arange(len(sizes)), sizes)))
-            yield pa.RecordBatch.from_arrays(
-                [ids, pa.array(values.view(np.int64)), pa.array(np.repeat(sizes, sizes)), pa.array(rank < np.repeat(sketch, sizes))],
-                ["item_id", "shingle", "item_size", "sketched"],
-            )
+            ids = batch.column("item_id").take(pa.array(np.repeat(np.arange(batch.num_rows), np.diff(bounds))))
+            yield pa.RecordBatch.from_arrays([ids, pa.array(values.view(np.int64))], ["item_id", "shingle"])
 
     return run
 
@@ -109,9 +102,13 @@ def leaks(
     kind = plain.schema["_row"].dataType.simpleString()
     wanted = items.select(F.col(item_col).alias("item_id"), F.col(item_text_col).alias("text"))
     item_kind = wanted.schema["item_id"].dataType.simpleString()
-    index = wanted.mapInArrow(_item_rows(width, percent), f"item_id {item_kind}, shingle bigint, item_size bigint, sketched boolean")
-    index = index.groupBy("item_id", "shingle").agg(F.bool_or("sketched").alias("sketched"))
-    index = materialise(index, "items")
+    united = wanted.mapInArrow(_item_rows(width), f"item_id {item_kind}, shingle bigint").distinct()
+    # Partitions are sizes of one number of binary digits, sketched by what the largest size of theirs may lack, and one.
+    own = Window.partitionBy("item_id")
+    ranked = united.select("*", F.count("*").over(own).alias("item_size"), F.row_number().over(own.orderBy("shingle")).alias("rank"))
+    top = F.expr("shiftleft(1L, length(bin(item_size)))") - 1
+    sketch = F.floor(top * (100 - percent) / 100) + 1
+    index = materialise(ranked.select("item_id", "shingle", (F.col("rank") <= sketch).alias("sketched")), "items")
     sizes = index.groupBy("item_id").agg(F.count("*").alias("item_size"))
     if index.count() <= sent_shingles:
         table = index.groupBy("shingle").agg(F.bool_or("sketched").alias("sketched")).toPandas()  # at most sent_shingles rows

@@ -275,13 +275,14 @@ def near_duplicates(
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The rows of ``docs``, whole, less those whose component keeps another document.
 
-    Of rows that share an id one stays, whichever comes first. Rows without an id stay, all of them.
+    Of rows that share an id the one of the smallest digest stays, whatever their order. Rows without an id stay, all of
+    them; null, empty and blank texts are nobody's copy. All columns stay, whatever their names; an empty table gives no rows.
     """
     marks = near_duplicates(docs, id_col, text_col, **options).where("doc_id is not null")
     marks = materialise(marks.groupBy(F.col("doc_id").alias("_id")).agg(F.count("*").alias("_times"), F.bool_or("kept").alias("_kept")).where("not _kept or _times > 1"), "marks")
-    rows = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"))
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
     joined = rows.join(marks, F.col("row")[id_col] == marks["_id"], "left").where(F.coalesce("_kept", F.lit(True)))
     if marks.where("_kept").isEmpty():
         return joined.select("row.*")
-    once = joined.where("_times > 1").dropDuplicates(["_id"])
-    return joined.where("_times is null").union(once).select("row.*")
+    once = joined.where("_times > 1").groupBy("_id").agg(F.min_by("row", F.md5(F.to_json("row"))).alias("row"))
+    return joined.where("_times is null").select("row").union(once.select("row")).select("row.*")

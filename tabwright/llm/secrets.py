@@ -91,9 +91,13 @@ def find_secrets(docs: DataFrame, rules: Sequence[Rule] = BASE_RULES + MORE_RULE
 
 
 def redact(docs: DataFrame, rules: Sequence[Rule] = BASE_RULES + MORE_RULES, id_col: str = "doc_id", text_col: str = "text", cover: str = "[secret]") -> DataFrame:
-    """``docs``, whole, with every run of text that spans cover replaced by ``cover``; other rows are as they were."""
+    """``docs``, whole, with every run of text that spans cover replaced by ``cover``; other rows are as they were.
+
+    Null and empty texts stay; rows that share an id are covered by their own text's spans; repeated rows, rows without an
+    id and all columns, whatever their names, stay; an empty table gives no rows.
+    """
     found = _found(_rows(docs, id_col, text_col), rules)
-    rows = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"))
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
     text = F.col("row")[text_col]
     joined = rows.join(found, F.col("row")[id_col].eqNullSafe(found["_id"]) & (F.xxhash64(F.coalesce(text, F.lit(""))) == found["_mark"]), "left")
     start = F.struct(F.lit("").alias("out"), F.lit(0).cast("bigint").alias("at"))

@@ -29,7 +29,7 @@ def ship(spark: SparkSession) -> None:
                 if name.endswith(".py"):
                     full = os.path.join(folder, name)
                     out.write(full, os.path.relpath(full, os.path.dirname(root)))
-    path = scratch_path(spark, "code") + ".zip"
+    path = scratch_path(spark, "code") + "/tabwright.zip"  # in a folder, so that it is released with it
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     stream = place.getFileSystem(context._jsc.hadoopConfiguration()).create(place)
     stream.write(bytearray(archive.getvalue()))

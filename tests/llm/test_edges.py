@@ -1,13 +1,14 @@
 """Every operator on nulls, empty and very long texts, repeated rows, empty tables, and columns with clashing names."""
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from tabwright.llm import bpe, decontaminate, html_text, language, near_dup, quality, secrets, token_counts, top_k, toxicity
+from tabwright.llm import bpe, decontaminate, html_text, language, near_dup, quality, secrets, token_counts, top_k, toxicity, words
 
 LONG = "lorem ipsum dolor sit amet " * 40_000
 DOCS = [(1, "one two three four five six"), (2, None), (3, ""), (4, "   \n\t "), (None, "one two three four five six"), (1, "one two three four five six"), (5, LONG), (6, "é"), (7, "12 !!")]
-CLASH = ("score", "spans", "ids", "decoded", "row", "mark", "node", "unit", "digest", "kept", "rules", "edits", "item_id", "lang", "label", "_id", "_mark", "_row", "trigram")
+CLASH = ("score", "spans", "ids", "decoded", "row", "mark", "node", "unit", "digest", "kept", "rules", "edits", "item_id", "lang", "label", "_id", "_mark", "_row", "trigram", "a.b")
 
 
 @pytest.fixture(scope="module")
@@ -46,6 +47,25 @@ def test_keep_one(docs):
     assert ids(rows.collect()) == ids([{"doc_id": d} for d in (1, 2, 3, 4, 5, 6, 7, None)])
 
 
+def test_keep_one_does_not_depend_on_order(spark):
+    rows = [(1, f"text {k} of the same id and more words", k) for k in range(12)] + [(2, "another text of five words", 0)]
+    kept = [sorted(map(tuple, near_dup.keep_one(spark.createDataFrame(rows, "doc_id long, text string, `a.b` int").repartition(n)).collect())) for n in (1, 2, 5)]
+    assert kept[0] == kept[1] == kept[2] and [r[0] for r in kept[0]] == [1, 2]
+
+
+def test_items_are_sketched_after_they_are_united(spark):
+    """Rows of one item share their smallest hashes; a document holds 54 of the 67 united shingles."""
+    words_ = [f"w{k}" for k in range(71)]
+    order = sorted(range(67), key=lambda k: words.hash_shingles(words.as_text(pa.array([" ".join(words_[k : k + 5])])), 5)[1].view("int64")[0])
+    lacked = set(order[:13])
+    items = spark.createDataFrame([(1, " ".join(words_)), (1, " ".join(words_[:40]))], "item_id long, text string")
+    text = " . ".join(" ".join(words_[k : k + 5]) for k in range(67) if k not in lacked)
+    found = decontaminate.leaks(spark.createDataFrame([(1, text)], "doc_id long, text string"), items).collect()
+    assert [(r["doc_id"], r["item_id"], r["shared"], r["item_size"]) for r in found] == [(1, 1, 54, 67)]
+    halves = spark.createDataFrame([(1, " ".join(words_[:40])), (1, " ".join(words_[35:]))], "item_id long, text string")
+    assert decontaminate.leaks(spark.createDataFrame([(1, text)], "doc_id long, text string"), halves).count() == 1
+
+
 def test_decontaminate(spark, docs):
     items = spark.createDataFrame([(1, "one two three four five six"), (2, None), (3, ""), (4, "12 !!"), (None, "é")], "item_id long, text string").withColumn("shingle", F.lit(0))
     found = {(r["doc_id"], r["item_id"]) for r in decontaminate.leaks(docs, items).collect()}

@@ -79,3 +79,20 @@ def test_queries_digest_what_operators_give(spark):
     counted = queries.QUERIES["op4_token_counts"](spark, SF)
     for r in counted.where(F.col("n_edits") > 0).collect():
         assert r["n_before"] == len(library.encode(texts[r["doc_id"]], add_special_tokens=False).ids) and r["n_renewed"] < 40 * r["n_edits"]
+
+
+def test_any_rows_and_any_columns_pass(spark, corpus):
+    """Nulls, empty texts, repeated rows and columns of clashing and dotted names in every stage."""
+    base = corpus[0]
+    rows = [(1, "one two three four five six"), (1, "one two three four five six"), (2, None), (3, ""), (None, None), (None, "lost words here and there again"), (4, "token = " + "ab12" * 9)]
+    names = ("ids", "decoded", "_digest", "n_tokens", "round_trip", "row", "_id", "_mark", "a.b", "spans", "score", "_row", "label")
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumns({c: F.lit("x") for c in names})
+    left = docs
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        left = stage(spark, left, base)
+        assert left.columns == docs.columns, name
+    out = corpus_pipeline.encode(spark, left, base)
+    assert out.columns == [c for c in docs.columns if c not in ("text", "n_tokens", "ids", "round_trip")] + ["n_tokens", "ids", "round_trip"]
+    assert sorted(r["doc_id"] or 0 for r in out.collect()) == [0, 0, 1, 2, 3, 4] and out.where("round_trip and `a.b` = 'x'").count() == 6
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs.limit(0), base).count() == 0
