@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
+from tabwright.functions.hashing import digest
 from tabwright.functions.numbers import clip, missing_as_null, nan_to_null, parse_number
 from tabwright.operators.frequent import modes
 from tabwright.operators.quantiles import median_point, quantile_row
@@ -99,6 +102,32 @@ def scatter_bins(df: DataFrame, x: str, y: str, group: str, x_step: float, y_ste
     return points.groupBy(group, *cell).agg(F.count(F.lit(1)).alias("n"))
 
 
+def scatter_sample(df: DataFrame, x: str, y: str, group: str, key: str, k: int, seed: int = 42) -> DataFrame:
+    """Of the same points at most ``k`` a group, for drawing: those of the smallest digests of ``key``, a unique column.
+
+    The rows are the same on any cluster and however the table is cut; samples of parts merge into the sample of the whole
+    by sampling their union again. A group's size gives a digest below which its sample surely lies, but for a chance
+    that the count of rows found there shows; only such rows are ranked.
+    """
+    name = f"{x}_Num"
+    points = coerce_numeric(df, x, name).dropna(subset=[name, y]).select(key, name, y, group)
+    mark = digest(key, seed, "scatter")
+    sizes = materialise(points.groupBy(F.col(group).alias("_g")).agg(F.count(F.lit(1)).alias("_n")), "sizes")
+    slack = 1.0
+    while True:
+        share = F.lit(k + slack * (6 * math.sqrt(k) + 20)) / F.col("_n")
+        # The digest's first 13 digits as a share of all: exact in a double.
+        below = F.conv(F.substring(mark, 1, 13), 16, 10).cast("double") < share * float(16**13)
+        near = materialise(points.join(sizes, F.col(group).eqNullSafe(F.col("_g"))).where(below), "near")
+        found = near.groupBy("_g", "_n").agg(F.count(F.lit(1)).alias("_c")).alias("f")
+        short = sizes.alias("s").join(found, F.expr("s._g <=> f._g"), "left").where(F.coalesce("f._c", F.lit(0)) < F.least(F.lit(k), F.col("s._n")))
+        if short.isEmpty():
+            break
+        slack *= 4
+    rank = F.row_number().over(Window.partitionBy(group).orderBy(mark, key))
+    return near.withColumn("_rank", rank).where(F.col("_rank") <= k).select(key, name, y, group)
+
+
 def range_clean(df: DataFrame, col: str, low: float = 10_000, high: float = 500_000) -> DataFrame:
     """Strictly between the bounds."""
     x = nan_to_null(col)

@@ -188,3 +188,15 @@ def f4(spark, d):
     return table(spark, d, "events").select(
         "event_id", num.parse_number(F.regexp_extract("props", r"([0-9]+)", 1)).alias("k")
     )
+
+
+@query(
+    "C7_scatter_sample",
+    """SELECT l_key, l_quantity AS "l_quantity_Num", l_extendedprice, l_returnflag FROM (
+         SELECT *, row_number() OVER (PARTITION BY l_returnflag ORDER BY md5('42:scatter:' || l_key), l_key) AS place
+         FROM (SELECT l_orderkey * 10 + l_linenumber AS l_key, l_quantity, l_extendedprice, l_returnflag FROM lineitem)) WHERE place <= 200""",
+)
+def c7_sample(spark, d):
+    """Points to draw of each flag, the same on every cluster."""
+    keyed = table(spark, d, "lineitem").withColumn("l_key", F.col("l_orderkey") * 10 + F.col("l_linenumber"))
+    return clean.scatter_sample(keyed, "l_quantity", "l_extendedprice", "l_returnflag", "l_key", 200)

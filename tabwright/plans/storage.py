@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
-from tabwright.operators import hypothesis, summary, validate
+from tabwright.functions.hashing import digest
+from tabwright.operators import differences, hypothesis, seen, summary, validate
 from tabwright.operators.clean import clean_survey
 from tabwright.operators.validate import Contract, Field
 from tabwright.plans.registry import query, table
@@ -14,7 +16,7 @@ from tabwright.plans.validation import CUSTOMER, customer_input
 from tabwright.session import materialise, scratch_path
 from tabwright.sources import feeds, files, report
 from tabwright.sources.synthetic import AI_SELECT, ED_LEVEL, REMOTE_WORK, synthetic_survey
-from tabwright.streaming import landing
+from tabwright.streaming import landing, totals
 
 _SUPPLIER = "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double"
 
@@ -253,6 +255,62 @@ def _streamed(spark, events, landings):
     return good.unionByName(bad)
 
 
+@query(
+    "A1_stream_totals",
+    """SELECT date_trunc('day', ts)::TIMESTAMP AS period, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY ALL""",
+)
+def a1_stream(spark, d):
+    """Totals a day and type over three landings with a restart between: a part of each landing's last day comes with the next."""
+    events = table(spark, d, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"), "event_type", "value")
+    base = scratch_path(spark, "totals")
+    day = F.dayofmonth("ts")
+    late = (day % 10 == 0) & (F.col("event_id") % 5 == 0)
+    landing_of = F.least(F.floor((day - 1) / 10) + F.when(late, 1).otherwise(0), F.lit(2))
+    for k in range(3):
+        events.where(landing_of == k).write.mode("append").parquet(f"{base}/landing")
+        stream = spark.readStream.schema(events.schema).parquet(f"{base}/landing")
+        totals.start_totals(totals.period_totals(stream, "ts", ["event_type"], "value", "1 day", "1 day"), f"{base}/totals", f"{base}/checkpoint").awaitTermination()
+    found = totals.read_totals(spark, f"{base}/totals", ["event_type"])
+    return found.select(F.col("period").cast("timestamp_ntz").alias("period"), "event_type", "n", F.round("total", 4).alias("total"))
+
+
+@query(
+    "S8_differing_rows",
+    """WITH t AS (SELECT o_orderkey, row_number() OVER (ORDER BY md5('42:change:' || o_orderkey)) AS k FROM orders)
+       SELECT o_orderkey, CASE WHEN k <= 5 THEN 'removed' ELSE 'changed' END AS status,
+              CASE WHEN k <= 5 THEN NULL WHEN k <= 12 THEN 'o_totalprice' ELSE 'o_orderstatus' END AS columns
+       FROM t WHERE k <= 15 UNION ALL SELECT -o_orderkey, 'added', NULL FROM t WHERE k BETWEEN 16 AND 20""",
+)
+def s8_differing(spark, d):
+    """Twenty planted changes in a table that is written and read back: five keys gone, five new, ten with another value."""
+    orders = table(spark, d, "orders")
+    chosen = orders.select("o_orderkey", digest("o_orderkey", 42, "change").alias("m")).orderBy("m").limit(20)
+    planted = chosen.withColumn("k", F.row_number().over(Window.orderBy("m"))).drop("m")  # twenty rows
+    marked = orders.join(F.broadcast(planted), "o_orderkey", "left")
+    k = F.col("k")
+    changed = marked.where(k.isNull() | (k > 5)).withColumns(
+        {
+            "o_totalprice": F.when(k.between(6, 12), F.col("o_totalprice") + 0.01).otherwise(F.col("o_totalprice")),
+            "o_orderstatus": F.when(k.between(13, 15), "?").otherwise(F.col("o_orderstatus")),
+        }
+    ).select(*orders.columns)
+    new = orders.join(F.broadcast(planted.where("k > 15").select("o_orderkey")), "o_orderkey").withColumn("o_orderkey", -F.col("o_orderkey"))
+    path = scratch_path(spark, "changed")
+    files.parquet_sink(changed.unionByName(new), path)
+    found = differences.differing_rows(orders, files.parquet_scan(spark, path, orders.schema), ["o_orderkey"])
+    return found.select("o_orderkey", "status", F.array_join("columns", ",").alias("columns"))
+
+
+@query("U2_repeats_across_landings", "SELECT DISTINCT l_partkey, l_returnflag, CASE WHEN l_linenumber <> 7 THEN l_linenumber END AS line FROM lineitem")
+def u2_landings(spark, d):
+    """Three landings whose rows repeat within and across them; a fourth repeats the first."""
+    items = table(spark, d, "lineitem").select("l_orderkey", "l_partkey", "l_returnflag", F.when(F.col("l_linenumber") != 7, F.col("l_linenumber")).alias("line"))
+    kept = seen.SeenRows(spark, scratch_path(spark, "seen"))
+    for k in (0, 1, 2, 0):
+        kept.add(f"landing-{k}", items.where(F.pmod("l_orderkey", F.lit(3)) == k).drop("l_orderkey"))
+    return kept.rows()
+
+
 def _u(name: str) -> str:
     head = f"'0x' || substr(md5('42:{name}:' || o_orderkey), 1, 12)"
     return f"(CAST(CAST({head} AS BIGINT) AS DOUBLE) / 281474976710656.0::DOUBLE)"

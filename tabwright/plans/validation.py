@@ -8,6 +8,8 @@ from tabwright.functions import variants
 from tabwright.operators import numbering, validate
 from tabwright.operators.validate import Contract, Field
 from tabwright.plans.registry import query, table
+from tabwright.session import scratch_path
+from tabwright.sources.publish import Publication
 
 
 def _payload(spark, d):
@@ -311,6 +313,36 @@ def v5_open(spark, d):
     return _gate_counts(_two_feeds(spark, d, planted=False))
 
 
+@query(
+    "V5_published_together",
+    """SELECT 'labels' AS "table", count(*) AS n, 2::BIGINT AS batches FROM labels WHERE doc_id % 4 <> 0
+       UNION ALL SELECT 'events', count(*), 2 FROM events WHERE event_id % 4 <> 0 UNION ALL SELECT 'rejected', 1, 1""",
+)
+def v5_published(spark, d):
+    """Four batches of two tables: one fails its check, one is killed between its tables and run again, one comes twice."""
+    shelf = Publication(spark, scratch_path(spark, "published"))
+
+    def batch(name, where, planted=False):
+        feeds = _two_feeds(spark, d, planted)
+        return name, {"labels": feeds["labels"].where(where("doc_id")), "events": feeds["events"].where(where("event_id"))}
+
+    def killed(table_name):
+        raise InterruptedError(table_name)
+
+    first = batch("first", lambda key: F.col(key) % 4 == 2)
+    shelf.publish_checked(*first)
+    shelf.publish_checked(*batch("bad", lambda key: F.col(key) % 4 == 0, planted=True))
+    third = batch("third", lambda key: F.col(key) % 2 == 1)
+    try:
+        shelf.publish_checked(*third, written=killed)
+    except InterruptedError:
+        pass
+    shelf.publish_checked(*third)
+    shelf.publish_checked(*first)
+    counts = [shelf.read(t).agg(F.count(F.lit(1)).alias("n"), F.countDistinct("batch").alias("batches")).select(F.lit(t).alias("table"), "n", "batches") for t in ("labels", "events", "rejected")]
+    return counts[0].unionByName(counts[1]).unionByName(counts[2])
+
+
 @query(
     "V6_validation_summary",
     f"""WITH bad AS (SELECT DISTINCT c_custkey FROM {_CUSTOMER_ERRORS_SQL})
