@@ -35,25 +35,33 @@ _PARAGRAPH_ENDS = BLOCK - frozenset("body dd dt html legend li optgroup option s
 _CELL = frozenset({"td", "th"})
 _IN_TABLE = _CELL | {"table"}
 _ROWS = frozenset({"thead", "tbody", "tfoot"})
+_BEFORE_ROWS = frozenset({"caption", "colgroup"})
 CLOSES = {
     "li": (frozenset({"li"}), frozenset({"ul", "ol", "menu", "table"})),
     "dt": (frozenset({"dt", "dd"}), frozenset({"dl", "table"})),
     "dd": (frozenset({"dt", "dd"}), frozenset({"dl", "table"})),
-    "td": (_CELL, frozenset({"table", "tr"})),
-    "th": (_CELL, frozenset({"table", "tr"})),
-    "tr": (_CELL | {"tr", "caption"}, frozenset({"table"}) | _ROWS),
-    "thead": (_CELL | {"tr", "caption"} | _ROWS, frozenset({"table"})),
-    "tbody": (_CELL | {"tr", "caption"} | _ROWS, frozenset({"table"})),
-    "tfoot": (_CELL | {"tr", "caption"} | _ROWS, frozenset({"table"})),
+    "td": (_CELL | _BEFORE_ROWS, frozenset({"table", "tr"})),
+    "th": (_CELL | _BEFORE_ROWS, frozenset({"table", "tr"})),
+    "tr": (_CELL | {"tr"} | _BEFORE_ROWS, frozenset({"table"}) | _ROWS),
+    "thead": (_CELL | {"tr"} | _BEFORE_ROWS | _ROWS, frozenset({"table"})),
+    "tbody": (_CELL | {"tr"} | _BEFORE_ROWS | _ROWS, frozenset({"table"})),
+    "tfoot": (_CELL | {"tr"} | _BEFORE_ROWS | _ROWS, frozenset({"table"})),
+    "colgroup": (_BEFORE_ROWS, frozenset({"table"})),
     "option": (frozenset({"option"}), frozenset({"select", "datalist"})),
     "optgroup": (frozenset({"option", "optgroup"}), frozenset({"select"})),
     "body": (frozenset({"head"}), frozenset()),
 }
 _SCOPE = frozenset({"table", "td", "th", "caption", "html", "template", "button", "object"})
-_TAG = re.compile(r"<(?:!--(?:>|->|.*?(?:--!?>|\Z))|[!?][^>]*(?:>|\Z)|(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z))", re.S)
-_ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
+# Attributes as browsers cut them: a quote opens a value only behind "="; one that nothing closes holds the rest of the page.
+# Nothing is tried twice, so time is linear.
+_VALUE = r"(?:\"([^\"]*+)(?:\"|\Z)|'([^']*+)(?:'|\Z)|([^\s>\"'][^\s>]*+))"
+_ONE = r"([^\s/>][^\s/>=]*+)(?:\s*+=\s*+" + _VALUE + r"?+)?+"
+_ATTRIBUTE = re.compile(_ONE, re.S)
+_ALL = r"(?:[\s/]++|" + re.sub(r"(?<!\\)\((?!\?)", "(?:", _ONE) + r")*+"
+_TAG = re.compile(r"<(?:!--(?:>|->|.*?(?:--!?>|\Z))|[!?][^>]*(?:>|\Z)|(/?)([A-Za-z][^\s/>]*+)(" + _ALL + r")(?:>|\Z))", re.S)
 _BLANKS = re.compile(r"[ \t\n\r\f]+")
-_NOT_SHOWN = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))\b", re.I)
+_NOT_SHOWN = re.compile(r"(?:^|;)\s*display\s*:\s*none\b", re.I)
+_VISIBILITY = re.compile(r"(?:^|;)\s*visibility\s*:\s*(\w+)", re.I)
 
 
 @dataclass
@@ -113,7 +121,9 @@ def parse(page: str) -> Element:
         if name in BLOCK and name != "html":
             close_implied(frozenset({"head"}), frozenset())
         raw = found.group(3)
-        attributes = {m[1].lower(): html.unescape(m[2] or m[3] or m[4] or "") for m in _ATTRIBUTE.finditer(raw)} if raw.strip(" /\n\t") else {}
+        attributes: dict[str, str] = {}
+        for m in _ATTRIBUTE.finditer(raw):
+            attributes.setdefault(m[1].lower(), html.unescape(m[2] or m[3] or m[4] or ""))  # the first of a name counts
         element = Element(name, attributes)
         stack[-1].children.append(element)
         if name in RAW:
@@ -127,6 +137,23 @@ def parse(page: str) -> Element:
             stack.append(element)
 
 
+def _settle_visibility(root: Element) -> None:
+    """Take out what is invisible: the text and the empty elements under ``visibility: hidden``, up to descendants that
+    are made visible again."""
+    order, open_ = [], [(root, False)]
+    while open_:
+        e, hidden = open_.pop()
+        said = _VISIBILITY.findall(e.attributes.get("style", "")) if e.attributes else ()
+        hidden = said[-1].lower() in ("hidden", "collapse") if said else hidden
+        order.append((e, hidden))
+        open_ += [(c, hidden) for c in e.children if not isinstance(c, str)]
+    gone: set[int] = set()
+    for e, hidden in reversed(order):
+        e.children = [c for c in e.children if (not hidden if isinstance(c, str) else id(c) not in gone)]
+        if hidden and not e.children:
+            gone.add(id(e))
+
+
 def _unseen(e: Element) -> bool:
     if e.name in UNSEEN or "hidden" in e.attributes or (e.name == "dialog" and "open" not in e.attributes):
         return True
@@ -231,6 +258,12 @@ def _render(e: Element, layout: _Layout) -> Step:
             inner.children[0] = inner.children[0].removeprefix("\n")
         layout.lines += yield _block_lines(inner, kept=True)
         layout.gap()
+    elif name == "details" and "open" not in e.attributes:  # closed: its summary is all there is to see
+        layout.end()
+        summary = next((c for c in e.children if not isinstance(c, str) and c.name == "summary"), None)
+        if summary and not _unseen(summary):
+            yield _render(summary, layout)
+        layout.end()
     elif name == "dd" or name == "blockquote":
         layout.gap() if name in SPACED else layout.end()
         layout.put(["  " + x if x else x for x in (yield _block_lines(e))])
@@ -371,15 +404,18 @@ def _table_lines(e: Element) -> Step:
 
 def visible_text(page: str) -> str:
     """The page's visible text, laid out."""
-    return "\n".join(_finished(_block_lines(parse(page))))
+    root = parse(page)
+    if "visibility" in page.lower():
+        _settle_visibility(root)
+    return "\n".join(_finished(_block_lines(root)))
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
     """``(page_id, text)`` for every row.
 
     A null or empty page has the text "". Broken markup never fails: unknown or unclosed tags end with the page, stray end
-    tags are dropped; elements nest as deep as the page has them. Null ids pass through; repeated rows come out repeated; other columns are not read; an empty table
-    gives no rows.
+    tags are dropped; elements nest as deep as the page has them, in time that grows with its length. Null ids pass through;
+    repeated rows come out repeated; other columns are not read; an empty table gives no rows.
     """
     ship(pages.sparkSession)
     plain = pages.select(F.col(id_col).alias("page_id"), F.col(html_col).alias("html"))

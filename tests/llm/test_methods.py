@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -387,6 +388,36 @@ def test_blocks_below_the_kth_score_are_not_visited():
     assert visited == 1 and ids.tolist() == [0, 1] and scores.tolist() == [50, 50]
 
 
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        ("<p don't>hello</p><p>it's fine</p><p>end</p>", "hello\n\nit's fine\n\nend"),
+        ("<a title=Bob's href=x>link</a> text it's <b>bold</b>", "link text it's bold"),
+        ('<p title="a > b" x=\'<i>\'>one<p a=b"c>two', "one\n\ntwo"),
+        ("<p a = \"x\"y'>z>q</p>", "z>q"),
+        ("<p =x>a</p><p/ /b=c/>d", "a\n\nd"),
+        ("a<p title='never closed>b</p>", "a"),
+        ("<table><colgroup><col><col><tr><td>a<td>b<tr><td>c<td>d</table>", "a  b\nc  d"),
+        ("<table><caption>t<colgroup><col><tbody><tr><td>a<td>b</table>", "t\na  b"),
+        ("<details>no <summary>s</summary> no <p>no</details>x", "s\nx"),
+        ("<details open><summary>s</summary>yes</details>x", "s\nyes\nx"),
+        ("<div style='visibility:hidden'>no <b style='visibility: visible'>yes</b> no</div>", "yes"),
+        ("<ul><li>a<li style='visibility:hidden'>no<li style='VISIBILITY:collapse'><i style='visibility:visible'>b</i></ul>", "- a\n- b"),
+        ("<p style='visibility:visible'>a<b style='display:none'>no<i style='visibility:visible'>no</i></b>", "a"),
+        ("<p hidden=x hidden>no</p><p title=a title='b>'>c", "c"),
+    ],
+)
+def test_tags_as_browsers_cut_them(page, text):
+    assert html_text.visible_text(page) == text
+
+
+def test_pages_are_cut_in_linear_time():
+    for page in ("<a " * 100_000 + "'", "<" * 100_000, "<a x='" * 50_000, "<p a=b " * 50_000 + ">", "<!-" * 100_000, "</" * 100_000):
+        began = time.perf_counter()
+        html_text.visible_text(page)
+        assert time.perf_counter() - began < 2
+
+
 PAGE = """<html><head><title>no</title><style>p{}</style></head><body><h1>A &amp; B</h1><p>one<p>two <b>x</b>
  y<ul><li>a<li>b<ol start=3><li>c<li>d</ol></ul><table><caption>cap<tr><th>n<th>value<tr><td>longer<td>1</table>
 <div hidden>no</div><div style="color: red; display:none">no</div><noscript>no</noscript>tail<br>end<script>x<y</script><!-- c -->
