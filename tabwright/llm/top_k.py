@@ -136,28 +136,31 @@ def top_k(vectors: DataFrame, queries: Column, id_col: str = "vec_id", vector_co
     Scores are integer inner products of ``floor(scale * x)``; ties go to the smaller id; fewer than ``k`` others give
     fewer rows. Vectors that are null, or hold null or non-finite components, and rows without an id take no part.
     Shorter vectors count as padded with zeros. Rows that repeat an id and its vector count once; rows of one id are
-    never each other's results. Other columns are not read. An empty table gives no rows.
+    never each other's results. Other columns are not read. An empty table gives no rows. Where the square of the largest
+    scaled component times the width passes 64 bits, scores could; such a table is refused.
     """
     spark = vectors.sparkSession
     ship(spark)
     rows = vectors.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("bigint").alias("vec_id"), quantised(F.col(vector_col), scale).alias("vector"), queries.alias("asks"))
     rows = materialise(rows.where("vector is not null").dropDuplicates(["vec_id", "vector"]), "vectors")
-    total, width, asking = rows.agg(F.count("*"), F.coalesce(F.max(F.size("vector")), F.lit(0)), F.count_if("asks")).first()
+    reach = F.greatest(F.max(F.array_max("vector")), -F.min(F.array_min("vector")))
+    total, width, asking, largest = rows.agg(F.count("*"), F.coalesce(F.max(F.size("vector")), F.lit(0)), F.count_if("asks"), F.coalesce(reach, F.lit(0))).first()
     width = max(1, width)
+    if largest**2 * width >= 1 << 63:
+        raise ValueError("inner products may leave the range of 64-bit integers")
     per_cell = block * blocks_per_cell
-    spread = rows.repartitionByRange(max(1, -(-total // per_cell)), F.array_position("vector", F.array_max("vector")), F.array_position("vector", F.array_min("vector")), "vec_id")
+    cells = max(1, -(-total // per_cell))
+    spread = rows.repartitionByRange(cells, F.array_position("vector", F.array_max("vector")), F.array_position("vector", F.array_min("vector")), "vec_id")
     ordered = spread.sortWithinPartitions(F.array_position("vector", F.array_max("vector")), F.array_position("vector", F.array_min("vector")), "vec_id")
     blocks = materialise(ordered.mapInArrow(_blocks(block, width), "group bigint, ids array<bigint>, vectors binary, high binary, low binary"), "blocks")
     seen = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample).select("vec_id", "vector").toArrow()  # at most sample rows
     floors = _floors(_matrix(seen.column("vector").combine_chunks(), width), seen.column("vec_id").to_numpy(), k, width)
     asked = rows.where("asks").select("vec_id", "vector").mapInArrow(floors, "vec_id bigint, vector binary, floor bigint")
     query_groups = max(1, -(-asking // queries_per_cell))
-    groups = blocks.select("group").distinct()
     asked = materialise(asked.withColumn("part", F.pmod(F.xxhash64("vec_id"), F.lit(query_groups))), "queries")
     # The stated queries against all rows: every query group meets every block group once.
     block_side = blocks.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(query_groups - 1)).cast("array<bigint>")))
-    ids = [r[0] for r in groups.collect()]  # one number per cell row, a 32,768th of the vectors
-    query_side = asked.withColumn("group", F.explode(F.array(*map(F.lit, ids)).cast("array<bigint>")))
+    query_side = asked.withColumn("group", F.explode(F.sequence(F.lit(0), F.lit(cells - 1)).cast("array<bigint>")))
     found = block_side.groupBy("group", "part").cogroup(query_side.groupBy("group", "part")).applyInArrow(_searched(k), "query_id bigint, vec_id bigint, score bigint")
     place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     best = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))

@@ -134,6 +134,14 @@ def test_top_k(spark):
     assert top_k.top_k(table.limit(0), F.lit(True)).count() == 0
 
 
+def test_top_k_refuses_scores_beyond_64_bits(spark):
+    table = spark.createDataFrame([(0, [1e9, 1.0]), (1, [-1e9, 2.0]), (20, [2.0, 2.0])], "vec_id long, embedding array<double>")
+    with pytest.raises(ValueError, match="64-bit"):
+        top_k.top_k(table, F.lit(True))
+    small = spark.createDataFrame([(0, [1e7, 1.0]), (1, [-1e7, 2.0])], "vec_id long, embedding array<double>")
+    assert top_k.top_k(small, F.col("vec_id") == 0).first()["score"] == -(64 * 10**7) ** 2 + 64 * 128
+
+
 def test_html(spark):
     pages = spark.createDataFrame([(1, "<p>a"), (2, None), (3, ""), (1, "<p>a"), (None, "plain"), (4, "<div>" * 5000 + "deep"), (5, "<" * 1000), (6, "x" * 10**6)], "page_id long, html string").withColumn("text", F.lit("x"))
     found = {(r["page_id"], r["text"]) for r in html_text.extract(pages).collect()}
