@@ -10,6 +10,11 @@ from pyspark.sql import functions as F
 from tabwright.operators import cells, models
 
 
+@pytest.fixture(autouse=True)
+def small_tables_too(monkeypatch):
+    monkeypatch.setattr(cells, "FROM", 0)
+
+
 def rows_of_vectors(spark, x, y, w):
     rows = [(Vectors.dense(a), int(b), float(c)) for a, b, c in zip(x.tolist(), y, w, strict=True)]
     return spark.createDataFrame(rows, ["features", "y", "weight"])
